@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from platemark.plans import problem_queries
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return problem_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return problem_queries.oracle_sql()
