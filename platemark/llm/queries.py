@@ -5,16 +5,65 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from platemark.llm import topn
+from platemark.llm import canonical, survivors, topn
 from platemark.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p1_records(spark, folder).select("first_id", "code_id", "description_id")
+
+
+def p1_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The surviving records themselves."""
+    return survivors.best_labels(table(spark, folder, "sign_mappings_clean"), table(spark, folder, "label_sources"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return canonical.map_to_canonical(table(spark, folder, "page_4_signs"), "row_id", "code", table(spark, folder, "sign_legend"), "code", "description")
+
+
+def p4_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries that mean nothing of the list, with the number of their rows."""
+    rows = table(spark, folder, "page_4_signs").select("row_id", "code")
+    none = p4_found(spark, folder).filter("legend_code = ''").select("row_id")
+    return rows.join(none, "row_id", "left_semi").groupBy("code").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     t = lambda name: table(spark, folder, name)
     return topn.best_candidates(t("candidate_assignments"), t("reference_matcher_run_manifest"), t("page_4_signs"))
 
 
+P1_BASE = r"""
+WITH named AS (
+  SELECT mapping_id, code, description, label_source, updated_at,
+         regexp_replace(replace(replace(lower(filename), '%20', ' '), chr(92), '/'), '^(.|\n)*/', '') AS f
+  FROM sign_mappings_clean),
+crops AS (
+  SELECT n.mapping_id, n.code, n.description, n.updated_at, coalesce(s.trust, -2147483648) AS trust,
+         regexp_extract(f, '^\s*page[\s_-]*0*([0-9]+)[\s_-]+([a-z]+)[\s_-]+0*([0-9]+)([a-z]?)(?:[^a-z0-9]|$)', 1) || '/' ||
+         regexp_extract(f, '^\s*page[\s_-]*0*([0-9]+)[\s_-]+([a-z]+)[\s_-]+0*([0-9]+)([a-z]?)(?:[^a-z0-9]|$)', 2) || '/' ||
+         regexp_extract(f, '^\s*page[\s_-]*0*([0-9]+)[\s_-]+([a-z]+)[\s_-]+0*([0-9]+)([a-z]?)(?:[^a-z0-9]|$)', 3) || '/' ||
+         regexp_extract(f, '^\s*page[\s_-]*0*([0-9]+)[\s_-]+([a-z]+)[\s_-]+0*([0-9]+)([a-z]?)(?:[^a-z0-9]|$)', 4) AS crop,
+         coalesce(regexp_matches(code, '[A-Za-z0-9]') AND lower(trim(code)) NOT IN ('unknown', 'tbd', 'n/a', 'none', 'no description')
+           AND NOT regexp_matches(lower(trim(code)), '^unknown[ _-]*[0-9]+$'), false) AS has_code,
+         coalesce(regexp_matches(description, '[A-Za-z0-9]') AND lower(trim(description)) NOT IN ('unknown', 'tbd', 'n/a', 'none', 'no description'), false) AS has_description
+  FROM named AS n LEFT JOIN label_sources AS s ON n.label_source = s.label_source),
+g AS (SELECT crop, min(mapping_id) AS first_id, count(*) AS n FROM crops WHERE crop <> '///' GROUP BY crop HAVING count(*) >= 2),
+c AS (SELECT crop, mapping_id, row_number() OVER (PARTITION BY crop ORDER BY trust DESC, updated_at DESC NULLS LAST, mapping_id) AS r FROM crops WHERE has_code),
+d AS (SELECT crop, mapping_id, row_number() OVER (PARTITION BY crop ORDER BY trust DESC, updated_at DESC NULLS LAST, mapping_id) AS r FROM crops WHERE has_description)
+"""
+P1_SQL = P1_BASE + """
+SELECT g.first_id, coalesce(c.mapping_id, 0) AS code_id, coalesce(d.mapping_id, 0) AS description_id
+FROM g LEFT JOIN c ON c.crop = g.crop AND c.r = 1 LEFT JOIN d ON d.crop = g.crop AND d.r = 1
+"""
+P1_RECORDS_SQL = P1_BASE + """
+SELECT g.crop, g.first_id, g.n, coalesce(c.mapping_id, 0) AS code_id, mc.code, coalesce(d.mapping_id, 0) AS description_id, md.description
+FROM g LEFT JOIN c ON c.crop = g.crop AND c.r = 1 LEFT JOIN d ON d.crop = g.crop AND d.r = 1
+LEFT JOIN sign_mappings_clean AS mc ON mc.mapping_id = c.mapping_id LEFT JOIN sign_mappings_clean AS md ON md.mapping_id = d.mapping_id
+"""
 P5_SQL = """
 WITH latest AS (
   SELECT * FROM (
@@ -39,8 +88,12 @@ FROM ranked WHERE rank_no <= top_k AND filename IN (SELECT filename FROM page_4_
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found}
+    return {
+        "p1_found": p1_found, "p1_records": p1_records,
+        "p4_found": p4_found, "p4_unmatched": p4_unmatched,
+        "p5_found": p5_found,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_SQL}
+    return {"p1_found": P1_SQL, "p1_records": P1_RECORDS_SQL, "p5_found": P5_SQL}
