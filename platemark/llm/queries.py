@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platemark.llm import canonical, survivors, topn
+from platemark.llm import canonical, encode, leak, split, survivors, topn
 from platemark.sources.tables import table
 
 
@@ -36,6 +36,32 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return topn.best_candidates(t("candidate_assignments"), t("reference_matcher_run_manifest"), t("page_4_signs"))
 
 
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode.encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p7_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """The passages themselves, as spans of words to be removed."""
+    return leak.leaked_passages(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "item_text")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leak.leaks(p7_passages(spark, folder), "doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Which items leaked, and into how many documents."""
+    return p7_found(spark, folder).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+def p8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return split.split_oversized(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_pieces(spark, folder).filter("piece_no = 0").select("doc_id")
+
+
 P1_BASE = r"""
 WITH named AS (
   SELECT mapping_id, code, description, label_source, updated_at,
@@ -92,6 +118,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_found": p1_found, "p1_records": p1_records,
         "p4_found": p4_found, "p4_unmatched": p4_unmatched,
         "p5_found": p5_found,
+        "p6_ids": p6_ids,
+        "p7_found": p7_found, "p7_passages": p7_passages, "p7_items": p7_items,
+        "p8_found": p8_found, "p8_pieces": p8_pieces,
     }
 
 
