@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from platemark.plans import problem_queries
+from platemark.plans import box_queries, problem_queries
+
+MODULES = [problem_queries, box_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return problem_queries.queries()
+    return {name: f for m in MODULES for name, f in m.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return problem_queries.oracle_sql()
+    return {name: sql for m in MODULES for name, sql in m.oracle_sql().items()}
