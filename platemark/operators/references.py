@@ -22,11 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A parent with at most so many distinct keys is broadcast.
-SMALL_PARENT = 50_000
-#: A key is hot from so many rows, or a thousandth of all rows, whichever is more; it is then spread over SALTS tasks.
-HOT_ROWS, SALTS = 200_000, 32
-
+from platemark.operators.sizing import lookup
 
 @dataclass(frozen=True)
 class Reference:
@@ -60,20 +56,6 @@ def month_of(t: Column) -> Column:
     return F.date_format(F.to_timestamp_ntz(F.convert_timezone(F.current_timezone(), F.lit("UTC"), t.cast("timestamp_ntz"))), "yyyy-MM")
 
 
-def _spread(child: DataFrame, parent: DataFrame, on: list[str]) -> DataFrame:
-    """``child`` left join ``parent`` (unique in ``on``), safe against hot keys."""
-    if parent.limit(SMALL_PARENT + 1).count() <= SMALL_PARENT:
-        return child.join(F.broadcast(parent), on, "left")
-    counts = child.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    limit = max(HOT_ROWS, child.count() // 1000)
-    hot = counts.filter(F.col("rows") > limit).select(*on, F.lit(SALTS).alias("salts"))  # a thousand keys at most
-    if hot.isEmpty():
-        return child.join(parent, on, "left")
-    salted = child.join(F.broadcast(hot), on, "left").withColumn("salt", F.pmod(F.xxhash64("row_id"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
-    copies = parent.join(F.broadcast(hot), on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
-    return salted.join(copies, [*on, "salt"], "left").drop("salt")
-
-
 def failing_references(child: DataFrame, row: str, created: Column, references: list[Reference]) -> DataFrame:
     """(row_id, ref_field, kind, created): one row for each failing reference of each row.
 
@@ -100,7 +82,7 @@ def failing_references(child: DataFrame, row: str, created: Column, references:
             on = [k for i, k in enumerate(keys) if m >> i & 1]
             known = parent.dropna(subset=on).groupBy(*on).agg(F.min("born").alias("born"), F.min("gone").alias("gone"), F.lit(True).alias("known"))
             kind = F.when(F.col("known").isNull(), "missing").when(F.col("gone"), "deleted").when(F.col("born") > F.col("created"), "late")
-            held = _spread(rows.filter(F.col("mask") == m).select("row_id", "created", *on), known, on)
+            held = lookup(rows.filter(F.col("mask") == m).select("row_id", "created", *on), known, on, spread_by="row_id")
             found.append(held.select("row_id", F.lit(ref.name).alias("ref_field"), kind.alias("kind"), "created").filter(F.col("kind").isNotNull()))
         if ref.match == "full":
             some = rows.filter((F.col("mask") > 0) & (F.col("mask") < whole))

@@ -1,10 +1,15 @@
-"""Broadcasts that are only made after their size has been checked."""
+"""Joins that check sizes: broadcasts of proven size, and lookups that hot keys can't stop."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: A looked-up table of at most so many rows is broadcast.
+SMALL = 50_000
+#: A key is hot from so many rows, or a thousandth of all rows, whichever is more; it is then spread over SALTS tasks.
+HOT_ROWS, SALTS = 200_000, 32
+
 
 def small_or_shuffled(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """``broadcast(df)`` if it really has at most ``max_rows`` rows, else ``df`` as it is.
@@ -13,3 +18,23 @@ def small_or_shuffled(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     Beyond the bound the join is left to the planner, which shuffles it.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def lookup(child: DataFrame, parent: DataFrame, on: list[str], spread_by: str) -> DataFrame:
+    """``child`` left join ``parent``, which is unique in ``on``.
+
+    A small parent (counted, not assumed) is broadcast, so a hot key moves
+    nothing. Beyond that bound keys that hold more than a thousandth of the
+    child's rows (a thousand keys at most) are salted on both sides, by a hash
+    of the column ``spread_by``, so no task gets a hot key whole.
+    """
+    if parent.limit(SMALL + 1).count() <= SMALL:
+        return child.join(F.broadcast(parent), on, "left")
+    limit = max(HOT_ROWS, child.count() // 1000)
+    hot = child.groupBy(*on).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > limit).select(*on, F.lit(SALTS).alias("salts"))
+    if hot.isEmpty():
+        return child.join(parent, on, "left")
+    salts = F.coalesce("salts", F.lit(1))
+    salted = child.join(F.broadcast(hot), on, "left").withColumn("salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")).drop("salts")
+    copies = parent.join(F.broadcast(hot), on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts.cast("int") - 1))).drop("salts")
+    return salted.join(copies, [*on, "salt"], "left").drop("salt")
