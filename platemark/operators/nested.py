@@ -175,7 +175,7 @@ def _rows(x: StructuralIndex, ids: np.ndarray) -> pd.DataFrame:
         if len(c)
     ]
     if not frames:
-        return pd.DataFrame({"record_id": np.zeros(0, np.int64), "cell_no": np.zeros(0, np.int32), "child": [], "child_no": np.zeros(0, np.int32), "label": [], "value": np.zeros(0)})
+        return pd.DataFrame({"record_id": np.zeros(0, np.int64), "cell_no": np.zeros(0, np.int32), "child": np.zeros(0, object), "child_no": np.zeros(0, np.int32), "label": np.zeros(0, object), "value": np.zeros(0)})
     return pd.concat(frames, ignore_index=True)
 
 

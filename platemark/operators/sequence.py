@@ -73,7 +73,7 @@ def versions(events: DataFrame, key: str, place: list[Column], effects: dict[str
     running = w.rowsBetween(W.unboundedPreceding, 0)
     fields = sorted({f for e in effects.values() for f in e})
     sets = {f: F.coalesce(*[F.when(F.col(event) == e, v[f]) for e, v in effects.items() if f in v]) for f in fields}
-    return events.select("*", F.row_number().over(w).alias("version_no"), *[F.last(c, ignorenulls=True).over(running).alias(f) for f, c in sets.items()])
+    return events.select("*", F.row_number().over(w).cast("long").alias("version_no"), *[F.last(c, ignorenulls=True).over(running).alias(f) for f, c in sets.items()])
 
 
 def page_of(df: DataFrame, order: list[Column], offset: int, size: int) -> DataFrame:

@@ -80,6 +80,10 @@ class StructuralIndex:
 
         stop = start + 1
         closing = np.flatnonzero(quote & ~inside)
+        if not m:  # nothing but white space: no text is complete
+            self.level, self.parent, self.place, self.key = (np.zeros(0, np.int64) for _ in range(4))
+            self.stop, self.value, self.ok = stop, np.zeros(0, bool), np.zeros(docs, bool)
+            return
         strings = np.flatnonzero(kind == STR)
         stop[strings] = closing[np.minimum(np.searchsorted(closing, start[strings]), max(len(closing) - 1, 0))] + 1 if len(closing) else start[strings] + 1
         last = np.flatnonzero(scalar & ~np.concatenate((scalar[1:], [False])))
@@ -101,7 +105,7 @@ class StructuralIndex:
         open_first = opens[order[:-1]]
         wrong = open_first & ((doc[nxt] != doc[order[:-1]]) | (level[nxt] != level[order[:-1]]) | (kind[nxt] != kind[order[:-1]] + 2))
         ok &= ~np.bincount(doc[order[:-1][wrong]], minlength=docs).astype(bool)
-        if m and opens[order[-1]]:
+        if opens[order[-1]]:
             ok[doc[order[-1]]] = False
 
         rank = np.arange(m)
@@ -134,9 +138,7 @@ class StructuralIndex:
         has_tokens = np.bincount(doc, minlength=docs) > 0
         final = np.searchsorted(start, begin + sizes) - 1
         ok &= has_tokens
-        if m:
-            end_kind = kind[np.maximum(final, 0)]
-            ok &= ~has_tokens | np.isin(end_kind, (STR, SCALAR, END_OBJ, END_ARR))
+        ok &= ~has_tokens | np.isin(kind[np.maximum(final, 0)], (STR, SCALAR, END_OBJ, END_ARR))
         known: dict[bytes, bool] = {}
         for i in scalars:
             text = self.bytes[start[i] : stop[i]]
@@ -147,7 +149,7 @@ class StructuralIndex:
                 ok[doc[i]] = False
         self.ok = ok
 
-        value = self.value = begins & ~is_key & ok[doc] if m else np.zeros(0, bool)
+        value = self.value = begins & ~is_key & ok[doc]
         commas = np.sort(np.maximum(level[kind == COMMA], 0) * wide + rank[kind == COMMA])
         self.place = np.searchsorted(commas, np.maximum(level, 0) * wide + rank) - np.searchsorted(commas, np.maximum(level, 0) * wide + np.maximum(parent, 0))
 
