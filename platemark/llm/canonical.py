@@ -108,7 +108,7 @@ class CanonicalMatcher:
         """Code of the longest mention, leftmost first; a code with further digits beside it is another code."""
         text = f" {words} "
         found = []
-        for end, (size, code) in self.automaton.iter(text):
+        for end, (size, code) in self.automaton.iter(text) if len(self.automaton) else ():
             start = end - size + 1
             before, after = text[:start].rsplit(" ", 1)[-1], text[end + 1 :].split(" ", 1)[0]
             if text[start + 1 : end].replace(" ", "").isalpha() or not (before.isdigit() or after.isdigit()):

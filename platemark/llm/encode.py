@@ -45,7 +45,8 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
                 if len(seen) >= COUNT_AT:
                     yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
                     seen = Counter()
-        yield pd.DataFrame({"word": list(seen), "n": np.array(list(seen.values()), np.int64)})
+        if seen:
+            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     texts = df.select(F.col(text).alias("t")).filter(F.col("t") != "")
     return texts.mapInPandas(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))

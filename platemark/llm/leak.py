@@ -242,9 +242,10 @@ def leaked_passages(df: DataFrame, key: str, text: str, items: DataFrame, item_k
         docs: list[list[int]] = []
         size = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> Iterator[pd.DataFrame]:
             out = [(ids[d], known.ids[n], *span) for (d, n), spans in shard_hits(docs, known).items() for span in merged(spans)]
-            return pd.DataFrame(out, columns=["id", "item", "first_word", "last_word", "matched"])
+            if out:
+                yield pd.DataFrame(out, columns=["id", "item", "first_word", "last_word", "matched"])
 
         symbol = known.symbol.get
         for batch in batches:
@@ -256,10 +257,10 @@ def leaked_passages(df: DataFrame, key: str, text: str, items: DataFrame, item_k
                 docs.append(words)
                 size += len(words)
                 if size >= SHARD:
-                    yield flush()
+                    yield from flush()
                     ids, docs, size = [], [], 0
         if docs:
-            yield flush()
+            yield from flush()
 
     kinds = dict(df.dtypes)[key], dict(items.dtypes)[item_key]
     texts = df.select(F.col(key).alias("id"), F.col(text).alias("t")).filter(F.col("t") != "")

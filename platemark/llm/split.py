@@ -173,7 +173,8 @@ def split_oversized(df: DataFrame, key: str, text: str, vocabulary: str | None =
                 if len(rows) > 2000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
-            yield pd.DataFrame(rows, columns=names)
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     names = ["id", *[c.split()[0] for c in PIECES.split(", ")]]
     kind = dict(df.dtypes)[key]
