@@ -27,14 +27,17 @@ def _trunc(c: Column) -> Column:
 def intersection(a: Box, b: Box) -> Column:
     across = F.least(a[0] + a[2], b[0] + b[2]) - F.greatest(a[0], b[0])
     down = F.least(a[1] + a[3], b[1] + b[3]) - F.greatest(a[1], b[1])
-    return F.when((across > 0) & (down > 0), across * down).otherwise(0.0)
+    return F.greatest(across, F.lit(0)).cast("double") * F.greatest(down, F.lit(0))
 
 
 def iou(a: Box, b: Box) -> Column:
-    """Overlap over union; 0 where boxes only touch or have no area."""
-    both = intersection(a, b).cast("double")
-    union = a[2] * a[3] + b[2] * b[3] - both
-    return F.when((both > 0) & (union > 0), both / union).otherwise(0.0)
+    """Overlap over union; 0 where boxes only touch or have no area.
+
+    Kept short on purpose: it is evaluated for every pair, in generated code
+    that the JVM compiles only up to a certain size.
+    """
+    both = intersection(a, b)
+    return F.coalesce(both / F.nullif(F.greatest(a[2] * a[3] + b[2] * b[3] - both, F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
 
 
 def center_distance(a: Box, b: Box) -> Column:

@@ -39,6 +39,11 @@ def with_bins(df: DataFrame, b: g.Box, size: float, around: float = 0.0) -> Data
     return df.withColumn("by", cells(b[1] - around, b[1] + b[3] + around))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Partitioned by ``keys`` over all cores, however few bytes there are: for steps whose work isn't told by their input's size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def overlapping_pairs(left: DataFrame, right: DataFrame, page: str, size: float, at_least: float) -> DataFrame:
     """Pairs of boxes of the same page whose overlap over union reaches ``at_least`` (> 0).
 
@@ -48,12 +53,13 @@ def overlapping_pairs(left: DataFrame, right: DataFrame, page: str, size: float,
     corner of the overlap, and only there, so nothing has to be made distinct.
     """
     names = ("x", "y", "w", "h")
-    a = with_bins(left.select(F.col("id").alias("left_id"), page, *[F.col(c).alias(f"a{c}") for c in names]), g.box("ax", "ay", "aw", "ah"), size)
-    other = right.select(F.col("id").alias("right_id"), page, *[F.col(c).alias(f"r{c}") for c in names])
+    a = with_bins(left.select(F.col("id").alias("left_id"), page, *[F.col(c).cast("double").alias(f"a{c}") for c in names]), g.box("ax", "ay", "aw", "ah"), size)
+    other = right.select(F.col("id").alias("right_id"), page, *[F.col(c).cast("double").alias(f"r{c}") for c in names])
     b = with_bins(other, g.box("rx", "ry", "rw", "rh"), size)
     met = (F.floor(F.greatest("ax", "rx") / size) == F.col("bx")) & (F.floor(F.greatest("ay", "ry") / size) == F.col("by"))
     overlap = g.iou(g.box("ax", "ay", "aw", "ah"), g.box("rx", "ry", "rw", "rh"))
-    return a.join(b, [page, "bx", "by"]).filter(met).select("left_id", "right_id", overlap.alias("iou")).filter(F.col("iou") >= at_least)
+    a, b = spread(a, page, "bx", "by"), spread(b, page, "bx", "by")
+    return a.join(b.hint("shuffle_hash"), [page, "bx", "by"]).filter(met).select("left_id", "right_id", overlap.alias("iou")).filter(F.col("iou") >= at_least)
 
 
 def suppress(df: DataFrame, page: str, order: list[Column], at_least: float, size: float, rounds: int = 50) -> DataFrame:
@@ -166,7 +172,7 @@ def merge_near(df: DataFrame, keys: list[str], at_least: float, distance: float)
             out[k] = v
         return out[[*keys, "x", "y", "w", "h", "members"]]
 
-    return df.select(*keys, "x", "y", "w", "h").groupBy(*keys).applyInPandas(run, schema)
+    return spread(df.select(*keys, "x", "y", "w", "h"), *keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def row_buckets(df: DataFrame, keys: list[str], tolerance: float) -> DataFrame:

@@ -186,7 +186,7 @@ def page_match(spark: SparkSession, folder: str) -> DataFrame:
     """
     editions = table(spark, folder, "reference_matcher_run_manifest").select(norm_key("edition_id").alias("edition")).distinct()
     refs = _references(spark, folder).join(F.broadcast(editions), "edition").withColumnRenamed("page_number", "page")
-    joined = _instances(spark, folder).join(refs, "page")
+    joined = boxes.spread(_instances(spark, folder), "filename").join(refs, "page")
     best = matching.ranked(_rescored(joined), ["edition", "filename"], 3, "reference_position_id")
     return best.select("edition", "filename", "reference_position_id", "rank", *SCORES)
 
