@@ -33,8 +33,8 @@ PASSAGE, UNCHANGED = 14, 0.85
 SEED = 4
 #: Words of a shard; a longer document is a shard of its own.
 SHARD = 1_000_000
-#: More words in the items than this is no evaluation set; the operator refuses it.
-MAX_ITEM_WORDS = 20_000_000
+#: More characters in the items than this is no evaluation set; the operator refuses it before it collects them.
+MAX_ITEM_CHARS = 50_000_000
 BREAK, OTHER = 1, 2  # between documents; any word no item has
 
 _BB = "b|i|u|s|url|img|size|color|colour|quote|list|code|font|center|left|right|spoiler|table|tr|td|th|hr|email|sup|sub|li|ul|ol|\\*"
@@ -231,9 +231,9 @@ def leaked_passages(df: DataFrame, key: str, text: str, items: DataFrame, item_k
     each, repeated items as well. Texts of any length are searched whole.
     Empty tables give an empty result; other columns are not read.
     """
+    if (items.agg(F.sum(F.length(item_text))).first()[0] or 0) > MAX_ITEM_CHARS:
+        raise ValueError(f"the evaluation items have more than {MAX_ITEM_CHARS} characters")
     rows = [tuple(r) for r in items.select(item_key, item_text).collect()]
-    if sum(len(t or "") for _, t in rows) > 10 * MAX_ITEM_WORDS:
-        raise ValueError("too many evaluation items")
     shared = df.sparkSession.sparkContext.broadcast(sorted(rows, key=lambda r: str(r[0])))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
