@@ -61,3 +61,18 @@ def region_extent(df: DataFrame, keys: list[str]) -> DataFrame:
 def cell_size_from_corners(extent: Column, gap: Column, n: Column) -> Column:
     """(extent - gap * (n - 1)) / n, rounded half to even; null without cells."""
     return F.when(n > 0, F.bround((extent - gap * (n - 1)).cast("double") / n, 0).cast("int"))
+
+
+def page_type(page: Column, legend_page: int = 5) -> Column:
+    """Pages with crops, and the page that only holds the legend."""
+    return F.when(page == legend_page, "legend").otherwise("standard")
+
+
+def invalid_regions(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, problem) of regions whose lists don't have as many sizes as ``columns`` and ``rows`` say, or whose sizes aren't positive."""
+    some_bad = lambda sizes: F.exists(sizes, lambda v: v <= 0)
+    problems = F.array(
+        F.when(F.size("column_widths") != F.col("columns"), "column_widths"), F.when(F.size("row_heights") != F.col("rows"), "row_heights"),
+        F.when(some_bad("column_widths") | some_bad("row_heights"), "not_positive"),
+    )
+    return df.select(*keys, F.explode(F.filter(problems, lambda p: p.isNotNull())).alias("problem"))

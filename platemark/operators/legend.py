@@ -37,3 +37,8 @@ def simple_entries(lines: DataFrame, line: str, *keep: str) -> DataFrame:
     """(keep, code, description) of lines of one code and its description."""
     stripped = lines.select(*keep, F.trim(line).alias("line")).filter(F.col("line").rlike(SIMPLE_LINE))
     return stripped.select(*keep, F.regexp_extract("line", SIMPLE_LINE, 1).alias("code"), F.trim(F.regexp_extract("line", SIMPLE_LINE, 2)).alias("description"))
+
+
+def body_blocks(blocks: DataFrame, right: float = 1320.0, top: float = 150.0, bottom: float = 1800.0, least: int = 20) -> DataFrame:
+    """Text blocks (x0, y0, text) of a legend page's body: left of ``right``, between ``top`` and ``bottom``, of more than ``least`` characters."""
+    return blocks.filter((F.col("x0") < right) & (F.col("y0") > top) & (F.col("y0") < bottom) & (F.length(F.trim("text")) > least))

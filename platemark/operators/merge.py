@@ -73,3 +73,17 @@ def canonical_hash(df: DataFrame, columns: list[str], by: list[str]) -> DataFram
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
     row = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.select(*by, row.alias("h")).groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("h").cast("string").alias("digest"))
+
+
+def sorted_union(a: Column, b: Column) -> Column:
+    """Distinct elements of two arrays, in order; null arrays are empty."""
+    none = F.expr("cast(array() as array<string>)")
+    return F.array_sort(F.array_union(F.coalesce(a, none), F.coalesce(b, none)))
+
+
+def get_one(df: DataFrame, key: str, value: object) -> DataFrame:
+    """The row of one key, as a table; raises if there is none."""
+    found = df.filter(F.col(key) == F.lit(value)).limit(1)
+    if found.isEmpty():
+        raise KeyError(f"no {key} {value!r}")
+    return found

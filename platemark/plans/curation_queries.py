@@ -178,6 +178,17 @@ ZIP_SQL = f"""WITH {NATURAL_CTE}, placed AS (SELECT row_id, row_number() OVER (O
 SELECT p.ordinal, p.row_id, n.code FROM placed AS p JOIN sorted_codes AS n ON n.ordinal = p.ordinal"""
 
 
+def mapping_output(spark: SparkSession, folder: str) -> DataFrame:
+    """The zipped crops as mappings: file, page, code and the legend's wording or ''."""
+    crops = table(spark, folder, "page_4_signs").select("row_id", "filename", "page")
+    zipped = positional_zip(spark, folder).join(crops, "row_id")
+    return zipped.join(last_wins_legend(spark, folder), "code", "left").select("filename", "page", "code", F.coalesce("description", F.lit("")).alias("description"))
+
+
+MAPPING_SQL = f"""WITH {NATURAL_CTE}, {LEGEND_CTE}, placed AS (SELECT filename, page, row_number() OVER (ORDER BY page, y, x, row_id) AS ordinal FROM page_4_signs WHERE page IS NOT NULL)
+SELECT p.filename, p.page, n.code, coalesce(l.description, '') AS description FROM placed AS p JOIN sorted_codes AS n ON n.ordinal = p.ordinal LEFT JOIN legend AS l ON l.code = n.code"""
+
+
 def completion_criteria(spark: SparkSession, folder: str) -> DataFrame:
     """One row of criteria over published crops; the last is null without evidence."""
     p = publish_records(spark, folder)
@@ -237,7 +248,7 @@ PAGE_STATS_SQL = """SELECT page, count(*) AS exported, count(*) FILTER (WHERE st
 def queries() -> dict:
     return {f.__name__: f for f in (
         priority_merge, last_wins_legend, publish_records, publish_summary, dup_groups, dup_links, sync_plan, upsert_row, upsert_partition, bag_and_distinct_union,
-        natural_sort_codes, positional_zip, completion_criteria, canonical_hash, snapshot_diff, page_stats,
+        natural_sort_codes, positional_zip, mapping_output, completion_criteria, canonical_hash, snapshot_diff, page_stats,
     )}
 
 
@@ -246,7 +257,7 @@ def oracle_sql() -> dict[str, str]:
         "priority_merge": PRIORITY_MERGE_SQL, "last_wins_legend": f"WITH {LEGEND_CTE} SELECT code, description FROM legend", "publish_records": PUBLISH_SQL,
         "publish_summary": PUBLISH_SUMMARY_SQL, "dup_groups": DUP_GROUPS_SQL, "dup_links": DUP_LINKS_SQL, "sync_plan": SYNC_SQL, "upsert_row": UPSERT_SQL,
         "upsert_partition": UPSERT_PARTITION_SQL, "bag_and_distinct_union": UNION_SQL, "natural_sort_codes": f"WITH {NATURAL_CTE} SELECT code, ordinal FROM sorted_codes",
-        "positional_zip": ZIP_SQL, "completion_criteria": COMPLETION_SQL, "canonical_hash": CANONICAL_SQL, "snapshot_diff": SNAPSHOT_SQL, "page_stats": PAGE_STATS_SQL,
+        "positional_zip": ZIP_SQL, "mapping_output": MAPPING_SQL, "completion_criteria": COMPLETION_SQL, "canonical_hash": CANONICAL_SQL, "snapshot_diff": SNAPSHOT_SQL, "page_stats": PAGE_STATS_SQL,
     }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +59,8 @@ def local_view(path: str) -> str:
     plain = "/" + plain.lstrip("/")
     os.makedirs(os.path.dirname(plain), exist_ok=True)
     return plain
+
+
+def run_time() -> str:
+    """The run's time in ISO 8601, UTC; PLATEMARK_TIME fixes it, so that runs can be repeated to the byte."""
+    return os.environ.get("PLATEMARK_TIME") or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")

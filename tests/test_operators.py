@@ -100,3 +100,20 @@ def test_collation_order(spark):
     df = spark.createDataFrame([(1, "b.png", 1, 1.0), (2, "B.png", 1, 1.0), (3, "a.png", 1, None)], "row_id int, filename string, page int, confidence double")
     assert [r.row_id for r in df.orderBy(*browse.library_order("UNICODE")).collect()] == [1, 2, 3]
     assert [r.row_id for r in df.orderBy(*browse.library_order()).collect()] == [2, 1, 3]
+
+
+def test_small_helpers(spark, monkeypatch):
+    from platemark.operators import grid
+    from platemark.session import run_time
+
+    monkeypatch.setenv("PLATEMARK_TIME", "2024-01-01T00:00:00Z")
+    assert run_time() == "2024-01-01T00:00:00Z"
+    blocks = spark.createDataFrame([(1, 10.0, 200.0, "a" * 21), (2, 10.0, 200.0, "short"), (3, 1400.0, 200.0, "a" * 30), (4, 10.0, 150.0, "a" * 30)], "id int, x0 double, y0 double, text string")
+    assert [r.id for r in legend.body_blocks(blocks).collect()] == [1]
+    regions = spark.createDataFrame([("a", 2, 1, [5, 5], [3]), ("b", 2, 1, [5], [3]), ("c", 1, 2, [0], [1, 2]), ("d", 0, 0, [], [])], "name string, columns int, rows int, column_widths array<int>, row_heights array<int>")
+    assert sorted(tuple(r) for r in grid.invalid_regions(regions, ["name"]).collect()) == [("b", "column_widths"), ("c", "not_positive")]
+    assert [r.v for r in spark.range(4, 6).select(grid.page_type(F.col("id")).alias("v")).collect()] == ["standard", "legend"]
+    assert one(spark, merge.sorted_union(F.array(F.lit("b"), F.lit("a")), F.array(F.lit("b"), F.lit("c")))) == ["a", "b", "c"]
+    assert merge.get_one(regions, "name", "b").first().columns == 2
+    with pytest.raises(KeyError):
+        merge.get_one(regions, "name", "zz")
