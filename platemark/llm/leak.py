@@ -39,7 +39,7 @@ BREAK, OTHER = 1, 2  # between documents; any word no item has
 
 _BB = "b|i|u|s|url|img|size|color|colour|quote|list|code|font|center|left|right|spoiler|table|tr|td|th|hr|email|sup|sub|li|ul|ol|\\*"
 #: Markup that separates words and is none itself.
-_MARKUP = rf"<[/!]?[a-zA-Z][^<>]*>|\[/?(?:{_BB})(?:=[^\]\n]*)?\]"
+_MARKUP = rf"<[/!]?[a-zA-Z][^<>]{{0,300}}>|\[/?(?:{_BB})(?:=[^\]\n]{{0,300}})?\]"
 _TOKEN = re.compile(rf"{_MARKUP}|([^\W_]+)", re.IGNORECASE)
 _WORDS = re.compile(r"[^\W_]+")
 _MARKED = re.compile(_MARKUP, re.IGNORECASE)
@@ -92,7 +92,6 @@ def clean(text: str) -> tuple[str, np.ndarray | None]:
     return "".join(out), np.array(place + [len(text)], np.int64)
 
 
-
 def words_of(text: str) -> list[str]:
     """Folded words, without markup."""
     if not text.isascii() or "&" in text:
