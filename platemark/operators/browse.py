@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platemark.functions.text import humanize_label
+from platemark.operators.sequence import with_ordinal
+from platemark.operators.sizing import small_or_shuffled
 
 
 def search(df: DataFrame, query: str, mode: str = "all") -> DataFrame:
@@ -38,13 +40,11 @@ def quiz(df: DataFrame, legend: DataFrame, options: int = 4, seed: str = "quiz")
     places instead of a pairing of all codes. With fewer codes there are fewer
     options.
     """
-    from platemark.operators.sequence import with_ordinal
-
     key = lambda *c: F.sha2(F.concat_ws("|", F.lit(seed), *c), 256)
     ring = with_ordinal(legend.select("code").distinct(), [key(F.col("code"))], "place")
     total = ring.agg(F.count(F.lit(1)).alias("total"))
-    answers = df.join(ring, "code").crossJoin(F.broadcast(total))
+    answers = df.join(small_or_shuffled(ring), "code").crossJoin(F.broadcast(total))
     steps = F.sequence(F.lit(0), F.least(F.lit(options - 1), F.col("total") - 1).cast("int"))
     asked = answers.select("row_id", F.col("code").alias("answer"), "total", "place", F.explode(steps).alias("step"))
     at = asked.withColumn("place", F.pmod(F.col("place") - 1 + F.col("step"), F.col("total")) + 1)
-    return at.join(F.broadcast(ring), "place").select("row_id", "answer", F.col("code").alias("option"), (F.col("code") == F.col("answer")).alias("correct"))
+    return at.join(small_or_shuffled(ring), "place").select("row_id", "answer", F.col("code").alias("option"), (F.col("code") == F.col("answer")).alias("correct"))

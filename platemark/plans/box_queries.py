@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from platemark.functions import geometry as g
 from platemark.operators import boxes, grid, matching
 from platemark.operators.references import norm_key
+from platemark.operators.sizing import small_or_shuffled
 from platemark.sources.tables import table
 
 PAGE_W, PAGE_H = 6736, 9536
@@ -44,7 +45,7 @@ def _norm(v: str, size: str) -> str:
 
 
 def _normalized(spark: SparkSession, folder: str) -> DataFrame:
-    sized = signs(spark, folder).join(F.broadcast(page_sizes(spark, folder)), F.col("page") == F.col("page_number"))
+    sized = signs(spark, folder).join(small_or_shuffled(page_sizes(spark, folder)), F.col("page") == F.col("page_number"))
     nx, ny, nw, nh = g.normalize(_b(), F.col("image_width"), F.col("image_height"))
     return sized.select("row_id", "filename", "page", "code", "confidence", "extracted_at", nx.alias("norm_x"), ny.alias("norm_y"), nw.alias("norm_w"), nh.alias("norm_h"))
 
@@ -185,7 +186,7 @@ def page_match(spark: SparkSession, folder: str) -> DataFrame:
     crop are few; the partial rank limit cuts them before anything is shuffled.
     """
     editions = table(spark, folder, "reference_matcher_run_manifest").select(norm_key("edition_id").alias("edition")).distinct()
-    refs = _references(spark, folder).join(F.broadcast(editions), "edition").withColumnRenamed("page_number", "page")
+    refs = _references(spark, folder).join(small_or_shuffled(editions), "edition").withColumnRenamed("page_number", "page")
     joined = boxes.spread(_instances(spark, folder), "filename").join(refs, "page")
     best = matching.ranked(_rescored(joined), ["edition", "filename"], 3, "reference_position_id")
     return best.select("edition", "filename", "reference_position_id", "rank", *SCORES)
