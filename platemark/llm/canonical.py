@@ -193,4 +193,4 @@ def map_to_canonical(df: DataFrame, row: str, value: str, canon: DataFrame, code
 
     kind = dict(df.dtypes)[row]
     entered = df.select(F.col(row).alias("id"), F.col(value).alias("v")).filter(F.col("v").rlike(r"[^\s\p{Z}]"))
-    return entered.mapInPandas(run, f"id {kind}, legend_code string").withColumnRenamed("id", row)
+    return entered.mapInPandas(run, f"id {kind}, legend_code string").toDF(row, "legend_code")

@@ -153,4 +153,4 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str | None = N
                 at = stop
 
     kind = dict(df.dtypes)[key]
-    return df.select(F.col(key).alias("id"), F.col(text).alias("t")).mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", key)
+    return df.select(F.col(key).alias("id"), F.col(text).alias("t")).mapInArrow(run, f"id {kind}, ids array<int>").toDF(key, "ids")

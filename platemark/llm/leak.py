@@ -264,7 +264,7 @@ def leaked_passages(df: DataFrame, key: str, text: str, items: DataFrame, item_k
     kinds = dict(df.dtypes)[key], dict(items.dtypes)[item_key]
     texts = df.select(F.col(key).alias("id"), F.col(text).alias("t")).filter(F.col("t") != "")
     out = texts.mapInPandas(run, f"id {kinds[0]}, item {kinds[1]}, first_word int, last_word int, matched int")
-    return out.withColumnRenamed("id", key).withColumnRenamed("item", item_key)
+    return out.toDF(key, item_key, "first_word", "last_word", "matched")
 
 
 def leaks(passages: DataFrame, key: str, item_key: str) -> DataFrame:

@@ -179,4 +179,4 @@ def split_oversized(df: DataFrame, key: str, text: str, vocabulary: str | None =
     names = ["id", *[c.split()[0] for c in PIECES.split(", ")]]
     kind = dict(df.dtypes)[key]
     large = df.select(F.col(key).alias("id"), F.col(text).alias("t")).filter(F.octet_length("t") > limit)
-    return large.mapInPandas(run, f"id {kind}, {PIECES}").withColumnRenamed("id", key)
+    return large.mapInPandas(run, f"id {kind}, {PIECES}").toDF(key, *names[1:])

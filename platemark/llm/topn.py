@@ -38,13 +38,21 @@ def _pruned(frame: pd.DataFrame, keys: list[str], order: list[tuple[str, bool]],
     return frame[rank.to_numpy() < frame[limit].to_numpy()]
 
 
-def local_survivors(df: DataFrame, keys: list[str], score: str, order: list[tuple[str, bool]], limit: str) -> DataFrame:
-    """Rows that may be among the first ``limit`` of their group, with their partition's ``local_bound``.
+def _unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
-    ``local_bound`` is the score of the partition's N-th best row of the
+
+def local_survivors(df: DataFrame, keys: list[str], score: str, order: list[tuple[str, bool]], limit: str, bound: str = "local_bound") -> DataFrame:
+    """Rows that may be among the first ``limit`` of their group, with their partition's ``bound``.
+
+    ``bound`` is the score of the partition's N-th best row of the
     group, null where the partition has fewer than N rows of it.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("local_bound", T.DoubleType())])
+    schema = T.StructType([*df.schema.fields, T.StructField(bound, T.DoubleType())])
 
     def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: list[pd.DataFrame] = []
@@ -61,7 +69,7 @@ def local_survivors(df: DataFrame, keys: list[str], score: str, order: list[tupl
         out = _pruned(pd.concat(kept, ignore_index=True), keys, order, limit)
         size = out.groupby(keys, sort=False, dropna=False)[score].transform("size")
         worst = out.groupby(keys, sort=False, dropna=False)[score].transform("min")
-        out = out.assign(local_bound=np.where(size.to_numpy() >= out[limit].to_numpy(), worst, np.nan))
+        out = out.assign(**{bound: np.where(size.to_numpy() >= out[limit].to_numpy(), worst, np.nan)})
         for at in range(0, len(out), 10_000):
             part = out.iloc[at : at + 10_000].astype(object)
             yield part.where(part.notna(), None)
@@ -78,20 +86,23 @@ def top_n_per_group(df: DataFrame, keys: list[str], score: str, order: list[tupl
     is null or NaN, or whose limit is null or below 1, take no part. A group
     of null keys is a group. Rows equal in the whole order are equal, any of
     them may stand before the other. An empty table gives an empty result;
-    further columns pass through untouched.
+    further columns pass through untouched, whatever they are called (a
+    column named like ``rank`` is replaced).
     """
     if order[0] != (score, False):
         raise ValueError("the order must begin with the score, descending")
     df = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & (F.col(limit) >= 1))
-    near = local_survivors(df, keys, score, order, limit)
+    local = _unused(df, "local_bound")
+    most = _unused(df, "group_bound")
+    near = local_survivors(df, keys, score, order, limit, local)
     group = W.partitionBy(*keys)
     wanted = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order]
     return (
-        near.withColumn("group_bound", F.max("local_bound").over(group))
-        .filter(F.col("group_bound").isNull() | (F.col(score) >= F.col("group_bound")))
+        near.withColumn(most, F.max(local).over(group))
+        .filter(F.col(most).isNull() | (F.col(score) >= F.col(most)))
         .withColumn(rank, F.row_number().over(group.orderBy(*wanted)))
         .filter(F.col(rank) <= F.col(limit))
-        .drop("local_bound", "group_bound")
+        .drop(local, most)
     )
 
 

@@ -14,3 +14,15 @@ def test_query_equals_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
 def test_query_without_sql_runs(spark, name):
     assert queries.queries()[name](spark, FOLDER).count() >= 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_no_pairing_of_whole_tables(spark, name):
+    text = queries.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name,exchanges", [("p4_found", 0), ("p6_ids", 0), ("p7_passages", 0), ("p8_found", 0)])
+def test_texts_are_not_shuffled(spark, name, exchanges):
+    text = queries.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == exchanges

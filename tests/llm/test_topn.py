@@ -7,7 +7,7 @@ from platemark.llm import topn
 
 
 def make(spark, rows, parts=5):
-    return spark.createDataFrame(rows, "g string, score double, tie string, top int, rank string, local string").repartition(parts)
+    return spark.createDataFrame(rows, "g string, score double, tie string, top int, local_bound string, Group_Bound string").repartition(parts)
 
 
 ORDER = [("score", False), ("tie", True)]
