@@ -5,8 +5,8 @@ can be cut is where a paragraph, a line, a quotation or a sentence ends; how
 well, is told by sliding blocks: the similarity of the words before and after
 a boundary, whose valleys mark changes of topic. In each window of admissible
 sizes the deepest valley is taken (stronger boundaries adding to its depth).
-Where a window has no natural boundary the last word boundary in it is
-taken, and inside one endless word the last whole character. The next piece
+Where a window has none of these the last end of a clause in it is taken, else
+the last word boundary, and inside one endless word the last whole character. The next piece
 begins the overlap's tokens before the cut.
 
 Every text is handled by itself, so nothing is shuffled; texts of no more
@@ -42,6 +42,8 @@ _ENDS = re.compile(
     r"|(?P<sentence>(?:[.!?…]+|:\))[\"'”’»)\]]*(?=\s)|[。！？]+[」』）]*)",
     re.IGNORECASE,
 )
+#: What ends a clause (fixed values): tried where a window has no stronger boundary.
+CLAUSE = frozenset(",;:|\u3001\uff0c\uff1b\uff1a")
 _WORD = re.compile(r"[^\W\d_]+")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 
@@ -84,7 +86,7 @@ def split_text(text: str, encode: Callable[[str], list[int]], sizes: np.ndarray,
     """Pieces (piece_no, start_char, end_char, n_tokens, cut, text) of a text over the limit; none of one within it.
 
     ``sizes`` are the bytes of each token id. ``cut`` tells at what the piece
-    ends: paragraph, line, sentence, word, character or end.
+    ends: paragraph, line, sentence, clause, word, character or end.
     """
     ids = encode(text)
     if len(ids) <= limit:
@@ -111,7 +113,11 @@ def split_text(text: str, encode: Callable[[str], list[int]], sizes: np.ndarray,
             kinds[t] = (strength, kind)
     natural = np.array(sorted(kinds), np.int64)
     worth = cohesion_depths(text, edge_char[natural].tolist()) + np.array([kinds[t][0] for t in natural.tolist()]) if len(natural) else np.zeros(0)
-    starts_word = whole & (blank[np.minimum(edge_char, len(text))] | blank[np.maximum(edge_char - 1, 0)])
+    inner = np.array([c.isalnum() for c in text] + [False])
+    clause = np.array([c in CLAUSE for c in text] + [False])
+    before, here = np.maximum(edge_char - 1, 0), np.minimum(edge_char, len(text))
+    starts_word = whole & ~(inner[before] & inner[here])
+    starts_clause = whole & clause[before] & ~clause[here]
 
     def cut_before(start: int, most: int) -> tuple[int, str]:
         for low in (start + least, start + overlap + 1):
@@ -119,10 +125,10 @@ def split_text(text: str, encode: Callable[[str], list[int]], sizes: np.ndarray,
             if a < b:
                 best = int(np.flatnonzero(worth[a:b] == worth[a:b].max())[-1] + a)
                 return int(natural[best]), kinds[int(natural[best])][1]
-        for good, kind in ((starts_word, "word"), (whole, "character")):
-            there = np.flatnonzero(good[start + overlap + 1 : most + 1])
+        for good, kind, low in ((starts_clause, "clause", start + least), (starts_word, "word", start + overlap + 1), (whole, "character", start + overlap + 1)):
+            there = np.flatnonzero(good[low : most + 1])
             if len(there):
-                return int(there[-1]) + start + overlap + 1, kind
+                return int(there[-1]) + low, kind
         return most, "character"
 
     pieces, start = [], 0

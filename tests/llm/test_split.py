@@ -45,6 +45,8 @@ def test_natural_cuts(tools):
     assert {p[4] for p in split.split_text(SENTENCE * 200, *tools)[:-1]} == {"sentence"}
     assert {p[4] for p in split.split_text("word " * 4000, *tools)[:-1]} == {"word"}
     assert {p[4] for p in split.split_text("x" * 20_000, *tools)[:-1]} == {"character"}
+    assert {p[4] for p in split.split_text("never_ending|line_" * 2000, *tools)[:-1]} == {"clause"}
+    assert {p[4] for p in split.split_text("never_ending_line_" * 2000, *tools)[:-1]} == {"word"}
 
 
 def test_the_deepest_valley_is_taken(tools):
