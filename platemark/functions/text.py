@@ -43,7 +43,7 @@ def normalize_line(line: Column) -> Column:
 
     The letter run has no word boundary, as the data it was made for needs.
     """
-    t = F.replace(line, F.lit(" "), F.lit(" "))
+    t = F.replace(line, F.lit("\u00a0"), F.lit(" "))
     pieces = F.regexp_extract_all(t, F.lit(r"((?:[A-Za-z]\s+){2,}[A-Za-z]|(?s:.))"), 1)
     t = F.array_join(F.transform(pieces, lambda p: F.when(F.length(p) > 1, F.replace(p, F.lit(" "), F.lit(""))).otherwise(p)), "")
     for pattern, by in ((r"\s*\.\s*", "."), (r"\s*,\s*", ", "), (r"\s*&\s*", " & "), (r"\s+", " ")):

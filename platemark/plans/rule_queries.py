@@ -249,6 +249,10 @@ def schema_check(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(lacks, "entity string, field string")
 
 
+SCHEMA_SQL = "SELECT r.entity, r.field FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS entity, '{c}' AS field" for t, required in REQUIRED.items() for c in required) + """) AS r
+WHERE NOT EXISTS (SELECT 1 FROM information_schema.columns AS i WHERE i.table_name = r.entity AND i.column_name = r.field)"""
+
+
 def queries() -> dict:
     named = {f.__name__: f for f in (
         findings_report, findings_summary, dup_keys, geometry_duplicates, missing_fields, empty_history, orphan_parents, mirror_mismatch, page_number_mismatch,
@@ -262,5 +266,5 @@ def oracle_sql() -> dict[str, str]:
         "findings_report": FINDINGS_SQL, "findings_summary": f"SELECT entity, rule, count(*) AS n_findings FROM ({FINDINGS_SQL}) AS f GROUP BY 1, 2", "dup_keys": DUP_KEYS_SQL,
         "geometry_duplicates": GEOMETRY_SQL, "missing_fields": MISSING_SQL, "empty_history": EMPTY_HISTORY_SQL, "orphan_parents": ORPHAN_SQL, "mirror_mismatch": MIRROR_SQL,
         "page_number_mismatch": PAGE_NUMBER_SQL, "unapproved_candidates": UNAPPROVED_SQL, "code_not_in_dictionary": NOT_IN_SQL, "ordering_check": ORDERING_SQL,
-        "enum_violations": ENUM_SQL, "range_violations": RANGE_SQL, "regex_violations": REGEX_SQL,
+        "enum_violations": ENUM_SQL, "range_violations": RANGE_SQL, "regex_violations": REGEX_SQL, "schema_check": SCHEMA_SQL,
     }

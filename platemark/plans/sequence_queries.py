@@ -136,6 +136,14 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LABELS_SQL = r"""WITH a AS (SELECT row_id, code, regexp_replace(regexp_replace(code, '([a-z])([A-Z])', '\1 \2', 'g'), '([A-Za-z])([0-9])', '\1 \2', 'g') AS t FROM page_4_signs WHERE code IS NOT NULL AND regexp_matches(code, '^[\x20-\x7e]*$')),
+b AS (SELECT row_id, code, trim(regexp_replace(t, '\s+', ' ', 'g')) AS t, regexp_replace(regexp_replace(t, '([0-9])([A-Za-z])', '\1 \2', 'g'), '(?i)sign\b', 'sign', 'g') AS u FROM a),
+c AS (SELECT row_id, code, t, trim(regexp_replace(array_to_string(list_transform(regexp_extract_all(u, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+'), lambda p: CASE WHEN regexp_matches(p, '^[A-Z]{2,}$') THEN lower(p) ELSE p END), ''), '\s+', ' ', 'g')) AS u FROM b)
+SELECT row_id, coalesce(array_to_string(list_transform(regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]+'), lambda p: upper(substr(p, 1, 1)) || lower(substr(p, 2))), ''), '') AS title,
+  coalesce(array_to_string(list_transform(string_split(u, ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' '), '') AS label, regexp_replace(code, '[^A-Za-z0-9_.-]', '_', 'g') AS safe_name,
+  length(regexp_replace(code, '[^A-Za-z]', '', 'g')) >= 3 AND length(regexp_replace(code, '[^0-9]', '', 'g')) <= length(regexp_replace(code, '[^A-Za-z]', '', 'g')) AS valid_description FROM c"""
+
+
 def fallback_labels(spark: SparkSession, folder: str) -> DataFrame:
     s = table(spark, folder, "sign_mappings_clean")
     label, description = text.fallback_label(F.col("page"), F.col("filename"), F.col("code"), F.col("description"))
@@ -149,10 +157,14 @@ FALLBACK_SQL = """SELECT mapping_id, CASE WHEN coalesce(code, '') <> '' THEN cod
 def normalized_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of all posts, normalised, blank ones left out."""
     d = table(spark, folder, "documents").filter("text IS NOT NULL")
-    lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.trim("line") != "")
+    lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.col("line").rlike(r"[^\s\x{a0}]"))
     return lines.select("doc_id", "line_no", text.normalize_line(F.col("line")).alias("line"))
 
 
+NORMALIZED_LINES_SQL = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents WHERE text IS NOT NULL),
+m AS (SELECT doc_id, line_no, array_to_string(list_transform(regexp_extract_all(replace(line, chr(160), ' '), '(?:[A-Za-z][\s\v]+){2,}[A-Za-z]|(?s:.)'), lambda p: CASE WHEN length(p) > 1 THEN replace(p, ' ', '') ELSE p END), '') AS line FROM l WHERE regexp_matches(line, '[^\s\v\x{a0}]'))
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(line, '[\s\v]*[.][\s\v]*', '.', 'g'), '[\s\v]*,[\s\v]*', ', ', 'g'), '[\s\v]*&[\s\v]*', ' & ', 'g'), '[\s\v]+', ' ', 'g')) AS line FROM m"""
+
 # --- grids ----------------------------------------------------------------------
 
 
@@ -257,7 +269,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "segments": SEGMENTS_SQL, "content_extent": EXTENT_SQL, "lifecycle_fold": LIFECYCLE_SQL, "version_snapshots": VERSIONS_SQL, "id_allocation": ID_SQL,
-        "legend_parse": LEGEND_PARSE_SQL, "legend_line_regex": LINE_REGEX_SQL, "codes_of_text": CODES_SQL, "fallback_labels": FALLBACK_SQL,
+        "legend_parse": LEGEND_PARSE_SQL, "legend_line_regex": LINE_REGEX_SQL, "codes_of_text": CODES_SQL, "fallback_labels": FALLBACK_SQL, "labels": LABELS_SQL, "normalized_lines": NORMALIZED_LINES_SQL,
         "grid_cells": GRID_SQL, "region_report": REGION_SQL, "region_from_corners": CORNERS_SQL, "seeded_cells": SEEDED_SQL,
         "library_search": SEARCH_SQL, "library_page": PAGE_SQL, "sample_limit": SAMPLE_SQL, "quiz_options": QUIZ_SQL,
     }

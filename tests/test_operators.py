@@ -28,7 +28,7 @@ def test_label(spark, raw, label):
     assert one(spark, text.humanize_label(F.col("s")), s=raw) == label
 
 
-@pytest.mark.parametrize("raw,line", [("is a big", "isabig"), ("S t o p", "Stop"), ("R 1 . 1,R2&R3  x", "R 1.1, R2 & R3 x"), ("", ""), ("  ", "")])
+@pytest.mark.parametrize("raw,line", [("is a big", "isabig"), ("S t o p", "Stop"), ("a\u00a0\u00a0bc", "a bc"), ("R 1 . 1,R2&R3  x", "R 1.1, R2 & R3 x"), ("", ""), ("  ", "")])
 def test_lines(spark, raw, line):
     assert one(spark, text.normalize_line(F.col("s")), s=raw) == line
 
