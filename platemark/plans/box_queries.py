@@ -311,6 +311,16 @@ d AS (SELECT a.row_id AS left_id, c.row_id AS right_id, sqrt((a.cx - c.cx) * (a.
 r AS (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY distance, right_id) AS n FROM d)
 SELECT left_id, right_id, {_r6('distance')} AS distance FROM r WHERE n = 1"""
 
+NMS_SQL = f"""WITH RECURSIVE b AS (SELECT row_id AS id, page, x, y, w, h, row_number() OVER (ORDER BY CAST(w AS BIGINT) * h DESC, coalesce(confidence, -1.0) DESC, row_id) AS n FROM page_4_signs),
+pairs AS (SELECT later, earlier FROM (SELECT a.n AS later, c.n AS earlier, {_iou('a.', 'c.')} AS iou FROM b AS a JOIN b AS c ON a.page = c.page AND c.n < a.n
+  WHERE a.x < c.x + c.w AND c.x < a.x + a.w AND a.y < c.y + c.h AND c.y < a.y + a.h) AS o WHERE iou >= 0.55),
+nb AS (SELECT later, list(earlier) AS e FROM pairs GROUP BY later),
+p AS (SELECT n, row_number() OVER (ORDER BY n) AS k FROM (SELECT later AS n FROM pairs UNION SELECT earlier FROM pairs) AS u),
+walk AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS kept
+  UNION ALL SELECT p.k, CASE WHEN nb.e IS NOT NULL AND list_has_any(nb.e, walk.kept) THEN walk.kept ELSE list_append(walk.kept, p.n) END FROM walk JOIN p ON p.k = walk.k + 1 LEFT JOIN nb ON nb.later = p.n),
+survivors AS (SELECT unnest(kept) AS n FROM (SELECT kept FROM walk ORDER BY k DESC LIMIT 1) AS w)
+SELECT id, page FROM b WHERE n NOT IN (SELECT n FROM p) OR n IN (SELECT n FROM survivors)"""
+
 
 def queries() -> dict:
     return {f.__name__: f for f in (
@@ -324,5 +334,5 @@ def oracle_sql() -> dict[str, str]:
         "box_normalize": BOX_NORMALIZE_SQL, "box_size_filter": BOX_SIZE_FILTER_SQL, "box_fp_filter": BOX_FP_FILTER_SQL, "box_clamp": BOX_CLAMP_SQL,
         "box_pad": BOX_PAD_SQL, "box_pad_fixed": _fixed(6), "box_expand": _fixed(10), "confidence_score": CONFIDENCE_SQL, "refine_retry": REFINE_SQL,
         "match_topk": MATCH_TOPK_SQL, "page_match": PAGE_MATCH_SQL, "match_summary": MATCH_SUMMARY_SQL,
-        "iou_threshold_join": IOU_JOIN_SQL, "nearest_box": NEAREST_SQL, "row_bucketing": ROW_BUCKETING_SQL, "coalesce_text_boxes": COALESCE_SQL,
+        "iou_threshold_join": IOU_JOIN_SQL, "nms_greedy": NMS_SQL, "nearest_box": NEAREST_SQL, "row_bucketing": ROW_BUCKETING_SQL, "coalesce_text_boxes": COALESCE_SQL,
     }
