@@ -30,7 +30,7 @@ CELLS, STATE, GEOMETRY, PROVENANCE, HISTORY, EVENT, MARGIN, PADDING, TOP = range
 #: A number, or text that is one.
 NUMERIC = re.compile(r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?")
 #: Bytes of JSON text indexed at once; a single longer text is indexed alone.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 #: How often a text may itself be JSON text of a text.
 QUOTED = 4
 
