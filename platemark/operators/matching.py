@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -49,6 +51,62 @@ def ranked(pairs: DataFrame, keys: list[str], k: int, reference: str) -> DataFra
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+#: Crops of one page that meet its references in one task, and pairs scored at a time there.
+PART, CELLS = 2_000, 500_000
+#: More than rounding can move a match score.
+SLACK = 4e-6
+
+
+def _rough(c: pd.DataFrame, r: pd.DataFrame, weights: Weights) -> np.ndarray:
+    """Unrounded match scores, crops by references; NaN where a side is null."""
+    a = [c[f"norm_{n}"].to_numpy(float)[:, None] for n in "xywh"]
+    b = [r[f"ref_{n}"].to_numpy(float)[None, :] for n in "xywh"]
+    with np.errstate(all="ignore"):
+        across = np.minimum(a[0] + a[2], b[0] + b[2]) - np.maximum(a[0], b[0])
+        down = np.minimum(a[1] + a[3], b[1] + b[3]) - np.maximum(a[1], b[1])
+        inter, mine, other = across * down, a[2] * a[3], b[2] * b[3]
+        union = mine + other - inter
+        iou = np.where((across > 0) & (down > 0) & (union > 0), inter / union, 0.0)
+        apart = np.sqrt((a[0] + a[2] / 2 - b[0] - b[2] / 2) ** 2 + (a[1] + a[3] / 2 - b[1] - b[3] / 2) ** 2)
+        ratio = np.where((mine > 0) & (other > 0), np.minimum(mine, other) / np.maximum(mine, other), 0.0)
+        score = iou * weights.overlap + np.maximum(0.0, 1 - np.minimum(1.0, apart / np.sqrt(2.0))) * weights.centre + ratio * weights.area
+    read, official = c["code"].fillna("").str.strip(" ").to_numpy(object)[:, None], r["official_code"].to_numpy(object)[None, :]
+    score = np.where((read != "") & (read == official), np.minimum(1.0, score + weights.text_bonus), score)
+    return np.where(np.isnan(sum(a) + sum(b)), np.nan, score)
+
+
+def contenders(crops: DataFrame, refs: DataFrame, page: str, ident: str, k: int, weights: Weights = Weights()) -> DataFrame:
+    """Crops joined to the references of their page, without pairs that surely aren't among a crop's first ``k``.
+
+    ``crops`` has (``ident``, ``page``, code, norm_x to norm_h), ``refs``
+    (``page``, official_code, ref_x to ref_h and more). All pairs of a page
+    are scored, a block at a time, and only those that reach the crop's k-th
+    best score, less a slack for rounding, or have a null leave the task: the
+    exact scores and the ties are left to ``scored`` and ``ranked``. A page with many
+    crops is cut into parts by a hash of ``ident``; its references go to each.
+    """
+    parts = crops.groupBy(page).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    left = crops.join(parts, page).withColumn("part", F.pmod(F.xxhash64(ident), F.col("parts")).cast("int")).drop("parts")
+    right = refs.join(parts, page).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    mine, theirs = crops.columns, [c for c in refs.columns if c != page]
+
+    def best(c: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        found = [(np.empty(0, int), np.empty(0, int))]
+        step = max(1, CELLS // max(1, len(r)))
+        for at in range(0, len(c) if len(r) else 0, step):
+            score = _rough(c.iloc[at : at + step], r, weights)
+            known = np.where(np.isnan(score), -1.0, score)
+            kth = np.partition(known, len(r) - k, axis=1)[:, len(r) - k] if len(r) > k else np.full(len(score), -1.0)
+            row, col = np.nonzero(np.isnan(score) | (known >= kth[:, None] - SLACK))
+            found.append((row + at, col))
+        row, col = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pd.concat([c[mine].iloc[row].reset_index(drop=True), r[theirs].iloc[col].reset_index(drop=True)], axis=1)
+
+    fields = [crops.schema[c] for c in mine] + [refs.schema[c] for c in theirs]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return left.groupBy(page, "part").cogroup(right.groupBy(page, "part")).applyInPandas(best, schema)
+
+
 def pair_id(reference: Column, instance: Column) -> Column:
     """'CA-' and 16 hexadecimal digits of the pair's hash."""
     return F.concat(F.lit("CA-"), F.substring(F.sha2(F.concat(reference, F.lit("|"), instance), 256), 1, 16))

@@ -180,7 +180,7 @@ def match_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_match(spark: SparkSession, folder: str) -> DataFrame:
-    """Every crop against all approved references of its page, in each edition some run was made for; the three best of each.
+    """The three best references of a crop in each edition that some run was made for, and in no other; ``page_match_all`` knows no editions.
 
     References of one edition's page are what a sheet holds, so the pairs of a
     crop are few; the partial rank limit cuts them before anything is shuffled.
@@ -192,6 +192,14 @@ def page_match(spark: SparkSession, folder: str) -> DataFrame:
     return best.select("edition", "filename", "reference_position_id", "rank", *SCORES)
 
 
+def page_match_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The three best of all approved references of a crop's page, whatever their edition."""
+    refs = _references(spark, folder).withColumnRenamed("page_number", "page")
+    met = matching.contenders(_instances(spark, folder), refs, "page", "filename", 3)
+    best = matching.ranked(_rescored(met), ["filename"], 3, "reference_position_id")
+    return best.select("filename", "reference_position_id", "rank", *SCORES)
+
+
 def match_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Approved references, crops and ranked candidates, in one row."""
     refs = table(spark, folder, "reference_positions").filter(APPROVED).agg(F.count(F.lit(1)).alias("approved_references"))
@@ -229,6 +237,9 @@ PAGE_MATCH_SQL = f"""WITH {PAGES_SQL}, {NORMALIZED_SQL}, {INSTANCES_SQL}, {REFS_
 editions AS (SELECT DISTINCT nullif(lower(trim(edition_id)), '') AS edition FROM reference_matcher_run_manifest),
 pairs AS (SELECT i.*, r.* FROM instances AS i JOIN refs AS r ON r.page_number = i.page JOIN editions AS e ON e.edition = r.edition),
 {SCORED_SQL.replace('SELECT filename, reference', 'SELECT edition, filename, reference').replace('PARTITION BY filename', 'PARTITION BY edition, filename')} SELECT edition, {_OUT} FROM best WHERE rank <= 3"""
+PAGE_MATCH_ALL_SQL = f"""WITH {PAGES_SQL}, {NORMALIZED_SQL}, {INSTANCES_SQL}, {REFS_SQL},
+pairs AS (SELECT i.*, r.* FROM instances AS i JOIN refs AS r ON r.page_number = i.page),
+{SCORED_SQL} SELECT {_OUT} FROM best WHERE rank <= 3"""
 MATCH_SUMMARY_SQL = MATCH_SQL + f""" SELECT (SELECT count(*) FROM reference_positions WHERE {APPROVED}) AS approved_references, (SELECT count(DISTINCT filename) FROM page_4_signs) AS crops,
   (SELECT count(*) FROM best WHERE rank <= 3) AS candidates, (SELECT count(DISTINCT filename) FROM best) AS matched_crops"""
 
@@ -325,7 +336,7 @@ SELECT id, page FROM b WHERE n NOT IN (SELECT n FROM p) OR n IN (SELECT n FROM s
 def queries() -> dict:
     return {f.__name__: f for f in (
         box_normalize, box_size_filter, box_fp_filter, box_clamp, box_pad, box_pad_fixed, box_expand, confidence_score, refine_retry,
-        match_topk, page_match, match_summary, iou_threshold_join, nms_greedy, nearest_box, merge_boxes_fixpoint, row_bucketing, coalesce_text_boxes,
+        match_topk, page_match, page_match_all, match_summary, iou_threshold_join, nms_greedy, nearest_box, merge_boxes_fixpoint, row_bucketing, coalesce_text_boxes,
     )}
 
 
@@ -333,6 +344,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "box_normalize": BOX_NORMALIZE_SQL, "box_size_filter": BOX_SIZE_FILTER_SQL, "box_fp_filter": BOX_FP_FILTER_SQL, "box_clamp": BOX_CLAMP_SQL,
         "box_pad": BOX_PAD_SQL, "box_pad_fixed": _fixed(6), "box_expand": _fixed(10), "confidence_score": CONFIDENCE_SQL, "refine_retry": REFINE_SQL,
-        "match_topk": MATCH_TOPK_SQL, "page_match": PAGE_MATCH_SQL, "match_summary": MATCH_SUMMARY_SQL,
+        "match_topk": MATCH_TOPK_SQL, "page_match": PAGE_MATCH_SQL, "page_match_all": PAGE_MATCH_ALL_SQL, "match_summary": MATCH_SUMMARY_SQL,
         "iou_threshold_join": IOU_JOIN_SQL, "nms_greedy": NMS_SQL, "nearest_box": NEAREST_SQL, "row_bucketing": ROW_BUCKETING_SQL, "coalesce_text_boxes": COALESCE_SQL,
     }
