@@ -39,6 +39,20 @@ def extra_occurrences(df: DataFrame, rule: str, table: str, key: str, columns: l
     return held.filter("row > first_row").select(F.lit(rule).alias("rule"), F.lit(table).alias("entity"), "key")
 
 
+def repeated_occurrences(df: DataFrame, rule: str, table: str, key: str, columns: list[str], row: str) -> DataFrame:
+    """Count - 1 findings for rows equal in ``columns``, none of them null, whatever ``row`` is: equal, null or unique.
+
+    The first by ``row``, then ``key``, is let off. Rows equal in all of these
+    are counted before the shuffle, so a hot key is one row for each place.
+    """
+    rows = df.dropna(subset=columns).select(F.struct(F.col(row).alias("row"), F.col(key).cast("string").alias("key")).alias("at"), *columns)
+    counted = rows.groupBy("at", *columns).agg(F.count(F.lit(1)).alias("n"))
+    repeated = counted.groupBy(*columns).agg(F.min("at").alias("first_at"), F.sum("n").alias("rows")).filter("rows > 1").drop("rows")
+    held = lookup(counted, repeated, columns, spread_by="at").filter("first_at IS NOT NULL")
+    extra = held.withColumn("extra", F.col("n") - F.when(F.col("at") == F.col("first_at"), 1).otherwise(0)).filter("extra > 0")
+    return extra.select(F.lit(rule).alias("rule"), F.lit(table).alias("entity"), F.col("at.key").alias("key"), F.explode(F.sequence(F.lit(1), F.col("extra").cast("int")))).drop("col")
+
+
 def missing_fields(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(key, field) for every one of ``columns`` that is null or ''."""
     absent = F.filter(F.array(*[F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), c) for c in columns]), lambda c: c.isNotNull())

@@ -115,10 +115,20 @@ regex_violations, REGEX_SQL = _some(("edition_sha", "page_sha", "cell_id", "posi
 
 
 def dup_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """A finding for each extra occurrence of a key; candidates delivered at one time count as one occurrence."""
+    """A finding for each extra occurrence of a key; candidates delivered at one time count as one occurrence, in ``dup_occurrences`` each for itself."""
     return _union([v.extra_occurrences(table(spark, folder, t), rule, t, key, columns, row) for rule, t, key, columns, row in UNIQUE])
 
 
+def dup_occurrences(spark: SparkSession, folder: str) -> DataFrame:
+    """A finding for each extra occurrence of a key, also of rows delivered at one time."""
+    return _union([v.repeated_occurrences(table(spark, folder, t), rule, t, key, columns, row) for rule, t, key, columns, row in UNIQUE])
+
+
+DUP_OCCURRENCES_SQL = " UNION ALL ".join(
+    f"""SELECT '{rule}' AS rule, '{t}' AS entity, CAST({key} AS VARCHAR) AS key FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(columns)} ORDER BY {row} NULLS FIRST, CAST({key} AS VARCHAR) NULLS FIRST) AS occurrence FROM {t}
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in columns)}) AS d{i} WHERE occurrence > 1"""
+    for i, (rule, t, key, columns, row) in enumerate(UNIQUE)
+)
 DUP_KEYS_SQL = " UNION ALL ".join(
     f"""SELECT '{rule}' AS rule, '{t}' AS entity, CAST({key} AS VARCHAR) AS key FROM (SELECT *, min({row}) OVER (PARTITION BY {', '.join(columns)}) AS first_row FROM {t}
   WHERE {' AND '.join(f'{c} IS NOT NULL' for c in columns)}) AS d{i} WHERE {row} > first_row"""
@@ -255,7 +265,7 @@ WHERE NOT EXISTS (SELECT 1 FROM information_schema.columns AS i WHERE i.table_na
 
 def queries() -> dict:
     named = {f.__name__: f for f in (
-        findings_report, findings_summary, dup_keys, geometry_duplicates, missing_fields, empty_history, orphan_parents, mirror_mismatch, page_number_mismatch,
+        findings_report, findings_summary, dup_keys, dup_occurrences, geometry_duplicates, missing_fields, empty_history, orphan_parents, mirror_mismatch, page_number_mismatch,
         unapproved_candidates, code_not_in_dictionary, ordering_check, schema_check,
     )}
     return named | {"enum_violations": enum_violations, "range_violations": range_violations, "regex_violations": regex_violations}
@@ -263,7 +273,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "findings_report": FINDINGS_SQL, "findings_summary": f"SELECT entity, rule, count(*) AS n_findings FROM ({FINDINGS_SQL}) AS f GROUP BY 1, 2", "dup_keys": DUP_KEYS_SQL,
+        "findings_report": FINDINGS_SQL, "findings_summary": f"SELECT entity, rule, count(*) AS n_findings FROM ({FINDINGS_SQL}) AS f GROUP BY 1, 2", "dup_keys": DUP_KEYS_SQL, "dup_occurrences": DUP_OCCURRENCES_SQL,
         "geometry_duplicates": GEOMETRY_SQL, "missing_fields": MISSING_SQL, "empty_history": EMPTY_HISTORY_SQL, "orphan_parents": ORPHAN_SQL, "mirror_mismatch": MIRROR_SQL,
         "page_number_mismatch": PAGE_NUMBER_SQL, "unapproved_candidates": UNAPPROVED_SQL, "code_not_in_dictionary": NOT_IN_SQL, "ordering_check": ORDERING_SQL,
         "enum_violations": ENUM_SQL, "range_violations": RANGE_SQL, "regex_violations": REGEX_SQL, "schema_check": SCHEMA_SQL,

@@ -90,6 +90,18 @@ def test_extra_occurrences(spark):
     assert sorted(r.key for r in validate.extra_occurrences(df, "r", "t", "row", ["k"], "row").collect()) == ["2", "5"]
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_repeated_occurrences_at_one_time(spark, monkeypatch, broadcast):
+    from platemark.operators import sizing
+
+    monkeypatch.setattr(sizing, "SMALL", 50_000 if broadcast else 0)
+    monkeypatch.setattr(sizing, "HOT_ROWS", 1)
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 1), ("a", 2), ("b", None), ("b", None), ("b", 5), ("c", 1), (None, 1), (None, 1)], "k string, t int")
+    assert sorted(r.key for r in validate.repeated_occurrences(df, "r", "t", "k", ["k"], "t").collect()) == ["a", "a", "a", "b", "b"]
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (5, "a"), (6, "b")], "row int, k string")
+    assert sorted(r.key for r in validate.repeated_occurrences(rows, "r", "t", "row", ["k"], "row").collect()) == ["2", "5"]
+
+
 def test_quiz_with_few_codes(spark):
     df = spark.createDataFrame([(1, "A"), (2, "Z")], "row_id int, code string")
     got = sorted((r.row_id, r.option, r.correct) for r in browse.quiz(df, spark.createDataFrame([("A",), ("B",), ("B",)], "code string")).collect())
