@@ -127,10 +127,18 @@ FROM page_4_signs WHERE code IS NOT NULL"""
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:
-    """Readable forms of what was entered, and safe names."""
+    """``labels_all`` of what was entered in printable ASCII only."""
     s = table(spark, folder, "page_4_signs").filter("code IS NOT NULL")
-    ascii_only = s.filter(F.col("code").rlike(r"^[\x20-\x7e]*$"))
-    return ascii_only.select(
+    return _labels(s.filter(F.col("code").rlike(r"^[\x20-\x7e]*$")))
+
+
+def labels_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Readable forms of whatever was entered, and safe names."""
+    return _labels(table(spark, folder, "page_4_signs").filter("code IS NOT NULL"))
+
+
+def _labels(s: DataFrame) -> DataFrame:
+    return s.select(
         "row_id", text.humanize_title(F.col("code")).alias("title"), text.humanize_label(F.col("code")).alias("label"),
         text.safe_filename(F.col("code")).alias("safe_name"), text.valid_description(F.col("code")).alias("valid_description"),
     )
@@ -261,7 +269,7 @@ JOIN ring AS o ON o.place = (a.place - 1 + s.step) % t.total + 1 WHERE p.code <>
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        segments, content_extent, lifecycle_fold, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, fallback_labels, normalized_lines,
+        segments, content_extent, lifecycle_fold, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, labels_all, fallback_labels, normalized_lines,
         grid_cells, region_report, region_from_corners, seeded_cells, library_search, library_page, sample_limit, quiz_options,
     )}
 

@@ -1,9 +1,13 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from platemark.functions import geometry as g
 from platemark.functions import text
 from platemark.operators import browse, legend, merge, sequence, validate
+from platemark.plans import sequence_queries
 
 
 def one(spark, expr, **columns):
@@ -102,6 +106,27 @@ def test_repeated_occurrences_at_one_time(spark, monkeypatch, broadcast):
     assert sorted(r.key for r in validate.repeated_occurrences(rows, "r", "t", "row", ["k"], "row").collect()) == ["2", "5"]
 
 
+def plain_labels(t):
+    """The rules of labels in plain Python; blanks and words of the second are those of its browser."""
+    title = re.sub(r"([A-Za-z])(\d)", r"\1 \2", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", t))
+    title = re.sub(r"\s+", " ", title).strip().title()
+    ui = re.sub(r"([0-9])([A-Za-z])", r"\1 \2", re.sub(r"([A-Za-z])([0-9])", r"\1 \2", re.sub(r"([a-z])([A-Z])", r"\1 \2", t)))
+    ui = re.sub(r"(?a:\b)([A-Z]{2,})(?a:\b)", lambda m: m[1].lower(), re.sub(r"(?ai)sign\b", "sign", ui))
+    blank = "[\\t-\\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]+"
+    label = " ".join(w[:1].upper() + w[1:] for w in re.sub(blank, " ", ui).strip(" ").split(" "))
+    letters, digits = sum(c.isalpha() for c in t), sum(c.isdigit() for c in t)
+    return title, label, re.sub(r"[^A-Za-z0-9_.-]", "_", t), letters >= 3 and digits <= letters
+
+
+def test_labels_of_all_texts(spark, tmp_path):
+    fixed = ["R–3", "Ｒ３．１", "eine grüne Laterne", "SIGNé signé SIGN", "PM–271", "straße ßa", "ΟΔΟΣ ΣΑΣ", "a\u00a0\u2003b", "R²³¹abc", "漢abc", "e\u0301cole", "A٣", "\u3000x\ufeff", "ⅷ ⓐb", "x\x1fy", "İstanbul", ""]
+    at = random.Random(7)
+    texts = fixed + ["".join(at.choice("abZSIGNsign  09_-.éÉßΣσ–·Ｒ３\u00a0²①漢\u0301٣") for _ in range(at.randrange(14))) for _ in range(400)]
+    spark.createDataFrame(list(enumerate(texts)), "row_id int, code string").write.parquet(str(tmp_path / "page_4_signs.parquet"))
+    got = {r.row_id: (r.title, r.label, r.safe_name, r.valid_description) for r in sequence_queries.labels_all(spark, str(tmp_path)).collect()}
+    assert [(t, got.get(i)) for i, t in enumerate(texts) if got.get(i) != plain_labels(t)] == []
+
+
 def test_quiz_with_few_codes(spark):
     df = spark.createDataFrame([(1, "A"), (2, "Z")], "row_id int, code string")
     got = sorted((r.row_id, r.option, r.correct) for r in browse.quiz(df, spark.createDataFrame([("A",), ("B",), ("B",)], "code string")).collect())
