@@ -82,9 +82,9 @@ def safe_filename(name: Column) -> Column:
 
 
 def fallback_label(page: Column, filename: Column, code: Column, description: Column) -> tuple[Column, Column]:
-    """(label, description): the code, else page and running number; the description, else a phrase for it."""
+    """(label, description): the code, else page (or null) and running number; the description, else a phrase for it."""
     number = F.regexp_extract(F.coalesce(filename, F.lit("")), r"_([0-9]+)\.", 1)
     blank = lambda c: F.coalesce(c, F.lit("")) == ""
-    label = F.when(~blank(code), code).otherwise(F.concat(F.lit("P"), page.cast("string"), F.lit("-"), F.when(number != "", number).otherwise("UNK")))
+    label = F.when(~blank(code), code).otherwise(F.concat(F.lit("P"), F.coalesce(page.cast("string"), F.lit("null")), F.lit("-"), F.when(number != "", number).otherwise("UNK")))
     text = F.when(~blank(description), description).when(~blank(code), F.concat(F.lit("Code "), code)).otherwise("Extracted sign (unlabeled)")
     return label, text

@@ -153,15 +153,27 @@ SELECT row_id, coalesce(array_to_string(list_transform(regexp_extract_all(t, '[A
 
 
 def fallback_labels(spark: SparkSession, folder: str) -> DataFrame:
-    s = table(spark, folder, "sign_mappings_clean")
+    """``fallback_labels_all`` of mappings that have a page."""
+    return _fallback_labels(table(spark, folder, "sign_mappings_clean").filter("page IS NOT NULL"))
+
+
+def fallback_labels_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Label and description of every mapping."""
+    return _fallback_labels(table(spark, folder, "sign_mappings_clean"))
+
+
+def _fallback_labels(s: DataFrame) -> DataFrame:
     label, description = text.fallback_label(F.col("page"), F.col("filename"), F.col("code"), F.col("description"))
-    return s.filter("page IS NOT NULL").select("mapping_id", label.alias("label"), description.alias("description"))
+    return s.select("mapping_id", label.alias("label"), description.alias("description"))
 
 
 FALLBACK_SQL = """SELECT mapping_id, CASE WHEN coalesce(code, '') <> '' THEN code ELSE 'P' || CAST(page AS VARCHAR) || '-' || CASE WHEN regexp_matches(filename, '_([0-9]+)[.]') THEN regexp_extract(filename, '_([0-9]+)[.]', 1) ELSE 'UNK' END END AS label,
   CASE WHEN coalesce(description, '') <> '' THEN description WHEN coalesce(code, '') <> '' THEN 'Code ' || code ELSE 'Extracted sign (unlabeled)' END AS description FROM sign_mappings_clean WHERE page IS NOT NULL"""
 
 
+FALLBACK_ALL_SQL = FALLBACK_SQL.replace("CAST(page AS VARCHAR)", "coalesce(CAST(page AS VARCHAR), 'null')").removesuffix(" WHERE page IS NOT NULL")
+
+
 def normalized_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of all posts, normalised, blank ones left out."""
     d = table(spark, folder, "documents").filter("text IS NOT NULL")
@@ -269,7 +281,7 @@ JOIN ring AS o ON o.place = (a.place - 1 + s.step) % t.total + 1 WHERE p.code <>
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        segments, content_extent, lifecycle_fold, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, labels_all, fallback_labels, normalized_lines,
+        segments, content_extent, lifecycle_fold, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, labels_all, fallback_labels, fallback_labels_all, normalized_lines,
         grid_cells, region_report, region_from_corners, seeded_cells, library_search, library_page, sample_limit, quiz_options,
     )}
 
@@ -277,7 +289,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "segments": SEGMENTS_SQL, "content_extent": EXTENT_SQL, "lifecycle_fold": LIFECYCLE_SQL, "version_snapshots": VERSIONS_SQL, "id_allocation": ID_SQL,
-        "legend_parse": LEGEND_PARSE_SQL, "legend_line_regex": LINE_REGEX_SQL, "codes_of_text": CODES_SQL, "fallback_labels": FALLBACK_SQL, "labels": LABELS_SQL, "normalized_lines": NORMALIZED_LINES_SQL,
+        "legend_parse": LEGEND_PARSE_SQL, "legend_line_regex": LINE_REGEX_SQL, "codes_of_text": CODES_SQL, "fallback_labels": FALLBACK_SQL, "fallback_labels_all": FALLBACK_ALL_SQL, "labels": LABELS_SQL, "normalized_lines": NORMALIZED_LINES_SQL,
         "grid_cells": GRID_SQL, "region_report": REGION_SQL, "region_from_corners": CORNERS_SQL, "seeded_cells": SEEDED_SQL,
         "library_search": SEARCH_SQL, "library_page": PAGE_SQL, "sample_limit": SAMPLE_SQL, "quiz_options": QUIZ_SQL,
     }

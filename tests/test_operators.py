@@ -106,6 +106,13 @@ def test_repeated_occurrences_at_one_time(spark, monkeypatch, broadcast):
     assert sorted(r.key for r in validate.repeated_occurrences(rows, "r", "t", "row", ["k"], "row").collect()) == ["2", "5"]
 
 
+def test_fallback_labels_without_a_page(spark, tmp_path):
+    rows = [(1, None, "p_12.png", "", None), (2, None, "x.png", "R1", "Stop"), (3, 4, None, None, ""), (4, None, None, None, "Stop")]
+    spark.createDataFrame(rows, "mapping_id int, page int, filename string, code string, description string").write.parquet(str(tmp_path / "sign_mappings_clean.parquet"))
+    got = sorted(tuple(r) for r in sequence_queries.fallback_labels_all(spark, str(tmp_path)).collect())
+    assert got == [(1, "Pnull-12", "Extracted sign (unlabeled)"), (2, "R1", "Stop"), (3, "P4-UNK", "Extracted sign (unlabeled)"), (4, "Pnull-UNK", "Stop")]
+
+
 def plain_labels(t):
     """The rules of labels in plain Python; blanks and words of the second are those of its browser."""
     title = re.sub(r"([A-Za-z])(\d)", r"\1 \2", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", t))
