@@ -68,17 +68,19 @@ def suppress(df: DataFrame, page: str, order: list[Column], at_least: float, siz
     The sequential rule is decided in parallel rounds. A box is kept when no
     earlier neighbour is left that is kept or undecided, and dropped when an
     earlier neighbour is kept; each round settles at least the first box of
-    every chain. Only boxes that have neighbours take part in the rounds.
+    every chain. Only boxes that have neighbours take part in the rounds. What
+    is undecided after ``rounds`` is settled one box after another, a page in
+    one task.
     ``df`` has (id, ``page``, x, y, w, h) and the columns of ``order``, which
     must be a total order within a page; ids are unique.
     """
     pairs = overlapping_pairs(df, df, page, size, at_least).filter("left_id <> right_id")
-    keys = df.select("id", *[c.alias(f"o{i}") for i, c in enumerate(order)])
+    keys = df.select("id", F.col(page).alias("page"), *[c.alias(f"o{i}") for i, c in enumerate(order)])
     names = [f"o{i}" for i in range(len(order))]
-    earlier = keys.select(F.col("id").alias("left_id"), *[F.col(c).alias(f"l{c}") for c in names])
+    earlier = keys.select(F.col("id").alias("left_id"), "page", *[F.col(c).alias(f"l{c}") for c in names])
     later = keys.select(F.col("id").alias("right_id"), *[F.col(c).alias(f"r{c}") for c in names])
     before = F.struct(*[f"l{c}" for c in names]) < F.struct(*[f"r{c}" for c in names])
-    edges = cut(pairs.join(earlier, "left_id").join(later, "right_id").filter(before).select("left_id", "right_id"))
+    edges = cut(pairs.join(earlier, "left_id").join(later, "right_id").filter(before).select("page", "left_id", "right_id"))
     dropped = edges.select(F.col("right_id").alias("id")).limit(0)
     for _ in range(rounds):
         if edges.isEmpty():
@@ -90,10 +92,30 @@ def suppress(df: DataFrame, page: str, order: list[Column], at_least: float, siz
         both = edges.join(gone.withColumnRenamed("id", "left_id"), "left_id", "left_anti")
         edges = cut(both.join(gone.withColumnRenamed("id", "right_id"), "right_id", "left_anti"))
     else:
-        raise RuntimeError(f"suppression was not settled in {rounds} rounds")
+        if not edges.isEmpty():
+            left = edges.groupBy("page").applyInPandas(_suppressed, f"id {df.schema['id'].dataType.simpleString()}")
+            dropped = cut(dropped.unionByName(left))
     return df.join(dropped, "id", "left_anti")
 
 
+def _suppressed(edges: pd.DataFrame) -> pd.DataFrame:
+    """Boxes that go, of edges from earlier to later boxes: each is decided when all before it are."""
+    after, waits, gone = {}, {}, set()
+    for a, b in zip(edges["left_id"].tolist(), edges["right_id"].tolist(), strict=True):
+        after.setdefault(a, []).append(b)
+        waits[b] = waits.get(b, 0) + 1
+    ready = [a for a in after if a not in waits]
+    while ready:
+        a = ready.pop()
+        for b in after.get(a, ()):
+            if a not in gone:
+                gone.add(b)
+            waits[b] -= 1
+            if not waits[b]:
+                ready.append(b)
+    return pd.DataFrame({"id": pd.Series(list(gone), dtype=edges["right_id"].dtype)})
+
+
 def nearest(left: DataFrame, right: DataFrame, page: str, first_size: float, growth: float = 4.0, last_size: float = 1e5) -> DataFrame:
     """(left_id, right_id, distance): the nearest box of the same page by centres, the smallest right_id on a tie.
 

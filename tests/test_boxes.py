@@ -76,3 +76,20 @@ def test_rows_are_anchored(spark):
     df = spark.createDataFrame([(1, "a", 5.0, 0.0), (1, "b", 1.0, 39.0), (1, "c", 0.0, 41.0), (1, "d", 9.0, 80.0), (1, "e", 0.0, 82.0)], "p int, id string, x double, y double")
     got = {r.id: (r.row_no, r.column_no) for r in boxes.row_buckets(df, ["p"], 40.0).collect()}
     assert got == {"b": (1, 1), "a": (1, 2), "c": (2, 1), "d": (2, 2), "e": (3, 1)}
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_suppression_of_long_chains(spark, rounds):
+    at = random.Random(rounds)
+    rows = [(i, 1 + i % 2, i // 2 * 4, 0, 10, 10) for i in range(120)] + [(200 + i, 3, at.randrange(60), at.randrange(60), 10, 10 + at.randrange(5)) for i in range(80)]
+    kept = []
+    for b in rows:
+        def iou(a, b=b):
+            w, h = min(a[2] + a[4], b[2] + b[4]) - max(a[2], b[2]), min(a[3] + a[5], b[3] + b[5]) - max(a[3], b[3])
+            return w * h / (a[4] * a[5] + b[4] * b[5] - w * h) if w > 0 and h > 0 else 0
+
+        if not any(a[1] == b[1] and iou(a) >= 0.2 for a in kept):
+            kept.append(b)
+    df = spark.createDataFrame(rows, "id int, page int, x int, y int, w int, h int")
+    got = boxes.suppress(df, "page", [F.col("id")], 0.2, 60.0, rounds)
+    assert sorted(r.id for r in got.collect()) == sorted(b[0] for b in kept)
