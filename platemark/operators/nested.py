@@ -16,7 +16,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ CELLS, STATE, GEOMETRY, PROVENANCE, HISTORY, EVENT, MARGIN, PADDING, TOP = range
 NUMERIC = re.compile(r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?")
 #: Bytes of JSON text indexed at once; a single longer text is indexed alone.
 CHUNK = 1_000_000
-#: How often a text may itself be JSON text of a text.
-QUOTED = 4
+CHILDREN = ("cell", *BOXES, "history")
+ARROW = pa.schema([("record_id", pa.int64()), ("cell_no", pa.int32()), ("child", pa.string()), ("child_no", pa.int32()), ("label", pa.string()), ("value", pa.float64())])
 
 
 def flatten_cells(df: DataFrame, record: str) -> DataFrame:
@@ -64,126 +65,131 @@ def flatten_payloads(df: DataFrame, record: str, payload: str) -> DataFrame:
     """Flat rows of cells in JSON texts, whose list of cells is bare or wrapped.
 
     The list is the text's top value, or the outermost member ``cells`` that
-    is a list, below objects only; the whole may itself be quoted as a JSON
-    string. Texts that aren't complete JSON (by its strict grammar), are null
-    or empty, or have no list of cells, give no rows. Of repeated keys the
-    last counts. Repeated records are flattened each. Very long texts are
-    indexed alone, whole. Further columns are not read.
+    is a list, below objects only (however many); of several on one level the
+    first. The whole may itself be quoted as a JSON string, and that again, as
+    often as it likes. Texts that aren't complete JSON (by its strict
+    grammar), are null or empty, or have no list of cells, give no rows. Of
+    repeated keys the last counts. Repeated records are flattened each. Very
+    long texts are indexed alone, whole. Further columns are not read.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, size = [], [], 0
-            for i, t in zip(batch["id"], batch["t"], strict=True):
-                raw = t.encode()
-                if size and size + len(raw) > CHUNK:
-                    yield _flat(ids, texts)
-                    ids, texts, size = [], [], 0
-                ids.append(i)
-                texts.append(raw)
-                size += len(raw)
-            if texts:
-                yield _flat(ids, texts)
-
-    rows = df.select(F.col(record).cast("long").alias("id"), F.col(payload).alias("t")).filter(F.col("t").isNotNull() & F.col("id").isNotNull())
-    return rows.mapInPandas(run, FLAT)
-
-
-def _flat(ids: list[int], texts: list[bytes]) -> pd.DataFrame:
-    parts = []
-    for _ in range(QUOTED):
-        index = StructuralIndex(texts, WANTED)
-        parts.append(_rows(index, np.array(ids, np.int64)))
-        quoted = [i for i in np.flatnonzero(index.value & (index.level == 0) & (index.kind == STR))]
-        if not quoted:
-            break
-        ids = [ids[index.doc[i]] for i in quoted]
-        texts = [(index.text(i) or "").encode() for i in quoted]
-    return pd.concat(parts, ignore_index=True)
+            texts = batch.column(1).cast(pa.binary())
+            ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < len(texts):
+                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, "right")))
+                yield from _flat(batch.column(0).slice(at, stop - at).to_numpy(zero_copy_only=False), texts.slice(at, stop - at).to_pylist())
+                at = stop
+
+    rows = df.select(F.col(record).cast("long").alias("id"), F.col(payload).cast("string").alias("t")).filter(F.col("t").isNotNull() & F.col("id").isNotNull())
+    return rows.mapInArrow(run, FLAT)
 
 
-def _rows(x: StructuralIndex, ids: np.ndarray) -> pd.DataFrame:
+def _flat(ids: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+    while len(texts):  # texts that are quoted come again without their quotes; each time they get shorter
+        index = StructuralIndex(texts, WANTED)
+        yield _rows(index, ids)
+        quoted = np.flatnonzero(index.value & (index.level == 0) & (index.kind == STR))
+        ids = ids[index.doc[quoted]]
+        texts = [t.encode() for t in index.texts(quoted).to_pylist()]
+
+
+def _lists_of_cells(x: StructuralIndex) -> np.ndarray:
+    """The token of each text's list of cells."""
+    lists = np.flatnonzero(x.value & (x.kind == ARR) & (x.lists == 0) & ((x.level == 0) | (x.key == CELLS)))
+    # Below a wrapper that is itself repeated under one key only the last counts.
+    deep = np.unique(x.doc[lists[x.level[lists] > 1]])
+    if len(deep):
+        last: dict[tuple[int, bytes], int] = {}
+        wrappers = np.flatnonzero(x.value & (x.lists == 0) & (x.level > 0) & np.isin(x.doc, deep)).tolist()
+        for t in wrappers:
+            last[(int(x.parent[t]), x.key_text(t))] = t
+        counts = set(last.values())
+        dead: set[int] = set()
+        for t in wrappers:  # a container comes before what it holds
+            if t not in counts or int(x.parent[t]) in dead:
+                dead.add(t)
+        lists = np.array([t for t in lists.tolist() if t not in dead], np.int64)
+    lists = lists[np.lexsort((lists, x.level[lists], x.doc[lists]))]
+    return lists[np.unique(x.doc[lists], return_index=True)[1]]
+
+
+def _rows(x: StructuralIndex, ids: np.ndarray) -> pa.RecordBatch:
     m = len(x.kind)
     value, parent, key, kind = x.value, x.parent, x.key, x.kind
     under = parent >= 0
     up = np.maximum(parent, 0)
 
-    # The list of cells of each text.
-    in_objects = np.zeros(m, bool)  # all containers are objects
-    in_objects[value & (x.level == 0)] = True
-    for lvl in range(1, 5):
-        now = np.flatnonzero(value & (x.level == lvl))
-        in_objects[now] = in_objects[up[now]] & (kind[up[now]] == OBJ)
-    lists = np.flatnonzero(value & (kind == ARR) & ((x.level == 0) | ((key == CELLS) & in_objects & (x.level < 5))))
-    lists = lists[np.lexsort((-lists, x.level[lists], x.doc[lists]))]
-    lists = lists[np.unique(x.doc[lists], return_index=True)[1]] if len(lists) else lists
-    is_list = np.zeros(m + 1, bool)
-    is_list[lists] = True
-
-    cells = np.flatnonzero(value & under & is_list[up])
+    def flags(tokens: np.ndarray) -> np.ndarray:
+        f = np.zeros(m + 1, bool)
+        f[tokens] = True
+        return f
+
+    cells = np.flatnonzero(value & under & flags(_lists_of_cells(x))[up])
     cells = cells[~x.is_null(cells)]
     owner = np.full(m + 1, -1, np.int64)  # the cell that a token of interest belongs to
     owner[cells] = cells
-    is_cell = np.zeros(m + 1, bool)
-    is_cell[cells] = True
 
     def members(of: np.ndarray, name: int) -> np.ndarray:
         found = np.flatnonzero(value & under & (key == name) & of[up])
         owner[found] = owner[parent[found]]
         return found
 
-    def flags(tokens: np.ndarray) -> np.ndarray:
-        f = np.zeros(m + 1, bool)
-        f[tokens] = True
-        return f
+    def labels(of: np.ndarray, tokens: np.ndarray) -> pa.Array:
+        """Text of the member (one of ``tokens``) of each token of ``of``; '' where there is none."""
+        member = np.full(m + 1, -1, np.int64)
+        member[parent[tokens]] = tokens
+        return pc.fill_null(x.texts(member[of]), "")
 
-    label = dict.fromkeys(cells.tolist(), "")
-    for t in members(is_cell, STATE):
-        label[owner[t]] = x.text(t) or ""
-    out: list[tuple[np.ndarray, str, object, list, object]] = [(cells, "cell", 0, [label[c] for c in cells.tolist()], np.nan)]
+    is_cell = flags(cells)
+    zeros = np.zeros(len(cells), np.int64)
+    out = [(cells, 0, zeros, labels(cells, members(is_cell, STATE)), np.full(len(cells), np.nan))]
 
     geometry = flags(members(is_cell, GEOMETRY))
-    for box, name in ((MARGIN, "margin"), (PADDING, "padding")):
-        boxes = members(geometry, box)
+    for number, name in ((1, MARGIN), (2, PADDING)):
+        boxes = members(geometry, name)
         one = boxes[(kind[boxes] == STR) | (kind[boxes] == SCALAR)]
         known = flags(boxes)
-        for s, side in enumerate(SIDES):
+        tokens, side = [], []
+        for s in range(len(SIDES)):
             named = members(known & np.append(kind == OBJ, False), TOP + s)
             listed = np.flatnonzero(value & under & known[up] & (kind[up] == ARR) & (x.place == s))
             owner[listed] = owner[parent[listed]]
-            tokens = np.concatenate((one, named, listed))
-            numbers = np.array([_number(x, t) for t in tokens], float)
-            there = ~np.isnan(numbers)
-            out.append((owner[tokens[there]], name, 0, [side] * int(there.sum()), numbers[there]))
+            tokens += [one, named, listed]
+            side.append(np.full(len(one) + len(named) + len(listed), s))
+        token, sides = np.concatenate(tokens), np.concatenate(side)
+        numbers = _numbers(x, token)
+        there = ~np.isnan(numbers)
+        out.append((owner[token[there]], number, np.zeros(int(there.sum()), np.int64), pa.array(SIDES, pa.large_string()).take(pa.array(sides[there])), numbers[there]))
 
     histories = members(flags(members(is_cell, PROVENANCE)), HISTORY)
-    lists_of = flags(histories[kind[histories] == ARR])
-    entries = np.flatnonzero(value & under & lists_of[up])
-    owner[entries] = owner[parent[entries]]
+    in_lists = np.flatnonzero(value & under & flags(histories[kind[histories] == ARR])[up])
+    owner[in_lists] = owner[parent[in_lists]]
     single = histories[kind[histories] != ARR]
-    entries = np.concatenate((entries, single))
-    entries = entries[~x.is_null(entries)]
-    place = np.where(np.isin(entries, single), 0, x.place[entries])
-    events = dict.fromkeys(entries.tolist(), "")
-    for t in members(flags(entries), EVENT):
-        events[int(parent[t])] = x.text(t) or ""
-    out.append((owner[entries], "history", place, [events[e] for e in entries.tolist()], np.nan))
-
-    frames = [
-        pd.DataFrame({"record_id": ids[x.doc[c]], "cell_no": x.place[c].astype(np.int32), "child": child, "child_no": np.broadcast_to(np.asarray(no, np.int32), len(c)), "label": labels, "value": np.broadcast_to(np.asarray(v, float), len(c))})
-        for c, child, no, labels, v in out
-        if len(c)
+    entries = np.concatenate((in_lists, single))
+    place = np.concatenate((x.place[in_lists], np.zeros(len(single), np.int64)))
+    there = ~x.is_null(entries)
+    entries, place = entries[there], place[there]
+    out.append((owner[entries], 3, place, labels(entries, members(flags(entries), EVENT)), np.full(len(entries), np.nan)))
+
+    of = np.concatenate([c for c, *_ in out])
+    child = pa.array(CHILDREN).take(pa.array(np.repeat([n for _, n, *_ in out], [len(c) for c, *_ in out])))
+    values = np.concatenate([v for *_, v in out])
+    columns = [
+        pa.array(ids[x.doc[of]], pa.int64()), pa.array(x.place[of].astype(np.int32)), child, pa.array(np.concatenate([p for _, _, p, _, _ in out]).astype(np.int32)),
+        pa.concat_arrays([t for *_, t, _ in out]).cast(pa.string()), pa.array(values, mask=np.isnan(values)),
     ]
-    if not frames:
-        return pd.DataFrame({"record_id": np.zeros(0, np.int64), "cell_no": np.zeros(0, np.int32), "child": np.zeros(0, object), "child_no": np.zeros(0, np.int32), "label": np.zeros(0, object), "value": np.zeros(0)})
-    return pd.concat(frames, ignore_index=True)
+    return pa.RecordBatch.from_arrays(columns, schema=ARROW)
 
 
-def _number(x: StructuralIndex, token: int) -> float:
-    if x.kind[token] not in (STR, SCALAR):
-        return np.nan
-    text = (x.text(token) or "").strip()
-    return float(text) if NUMERIC.fullmatch(text) else np.nan
+def _numbers(x: StructuralIndex, tokens: np.ndarray) -> np.ndarray:
+    """Values of numbers, and of texts that are one; NaN for all else."""
+    texts = pc.utf8_trim_whitespace(x.texts(tokens))
+    numeric = pc.fill_null(pc.match_substring_regex(texts, f"^(?:{NUMERIC.pattern})$"), False)
+    numeric = pc.and_(numeric, pa.array((x.kind[tokens] == STR) | (x.kind[tokens] == SCALAR), pa.bool_()))
+    return pc.if_else(numeric, texts, None).cast(pa.float64()).to_numpy(zero_copy_only=False)
 
 
 def flatten_json_plainly(text: str | None) -> list[tuple[int, str, int, str]]:
@@ -195,23 +201,29 @@ def flatten_json_plainly(text: str | None) -> list[tuple[int, str, int, str]]:
     def number(v: object) -> bool:
         return not isinstance(v, bool) and (isinstance(v, int | float) or isinstance(v, str) and NUMERIC.fullmatch(v.strip()) is not None)
 
+    def last_of(pairs: list[tuple[str, object]]) -> dict:
+        """Of repeated keys the last, in its own place."""
+        o: dict = {}
+        for k, v in pairs:
+            o.pop(k, None)
+            o[k] = v
+        return o
+
     def find(v: object) -> list | None:
         level = [v]
-        for _ in range(5):
+        while level:
             for o in level:
                 if isinstance(o, dict) and isinstance(o.get("cells"), list):
                     return o["cells"]
             level = [m for o in level if isinstance(o, dict) for m in o.values()]
         return None
 
-    for _ in range(QUOTED):
+    v: object = text or ""
+    while isinstance(v, str):
         try:
-            v = json.loads(text or "", parse_constant=strict)
+            v = json.loads(v, parse_constant=strict, object_pairs_hook=last_of)
         except ValueError:
             return []
-        if not isinstance(v, str):
-            break
-        text = v
     rows: list[tuple[int, str, int, str]] = []
     for no, c in enumerate((v if isinstance(v, list) else find(v)) or []):
         if c is None:

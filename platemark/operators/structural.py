@@ -5,19 +5,20 @@ brackets and delimiters give the tokens; the parity of the quotes tells what
 is inside a string; prefix sums of the brackets give every token's depth; a
 search in (depth, position) order gives its container, the container's commas
 before it its place. Which texts are complete JSON is decided by the same
-arrays. All of it runs over the whole batch at once; Python only touches the
-few spans that are asked for.
+arrays. All of it runs over the whole batch at once; spans come out as Arrow
+arrays, gathered in one go. Python only touches strings with escapes.
 """
 
 from __future__ import annotations
 
 import json
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 OBJ, ARR, END_OBJ, END_ARR, COLON, COMMA, STR, SCALAR, KEY = range(9)
-NUMBER = re.compile(rb"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?")
+LITERAL = r"^(?:true|false|null|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)$"
 _KIND = np.full(256, SCALAR, np.int8)
 for _char, _kind in zip(b'{[}]:,"', (OBJ, ARR, END_OBJ, END_ARR, COLON, COMMA, STR), strict=True):
     _KIND[_char] = _kind
@@ -81,8 +82,8 @@ class StructuralIndex:
         stop = start + 1
         closing = np.flatnonzero(quote & ~inside)
         if not m:  # nothing but white space: no text is complete
-            self.level, self.parent, self.place, self.key = (np.zeros(0, np.int64) for _ in range(4))
-            self.stop, self.value, self.ok = stop, np.zeros(0, bool), np.zeros(docs, bool)
+            self.level, self.parent, self.place, self.key, self.lists = (np.zeros(0, np.int64) for _ in range(5))
+            self.stop, self.value, self.ok, self.slashes = stop, np.zeros(0, bool), np.zeros(docs, bool), np.zeros(n + 1, np.int64)
             return
         strings = np.flatnonzero(kind == STR)
         stop[strings] = closing[np.minimum(np.searchsorted(closing, start[strings]), max(len(closing) - 1, 0))] + 1 if len(closing) else start[strings] + 1
@@ -139,20 +140,17 @@ class StructuralIndex:
         final = np.searchsorted(start, begin + sizes) - 1
         ok &= has_tokens
         ok &= ~has_tokens | np.isin(kind[np.maximum(final, 0)], (STR, SCALAR, END_OBJ, END_ARR))
-        known: dict[bytes, bool] = {}
-        for i in scalars:
-            text = self.bytes[start[i] : stop[i]]
-            good = known.get(text)
-            if good is None:
-                good = known[text] = text in (b"true", b"false", b"null") or NUMBER.fullmatch(text) is not None
-            if not good:
-                ok[doc[i]] = False
+        good = pc.match_substring_regex(self._slices(start[scalars], stop[scalars]), LITERAL).to_numpy(zero_copy_only=False).astype(bool)
+        ok[doc[scalars[~good]]] = False
         self.ok = ok
 
         value = self.value = begins & ~is_key & ok[doc]
         commas = np.sort(np.maximum(level[kind == COMMA], 0) * wide + rank[kind == COMMA])
         self.place = np.searchsorted(commas, np.maximum(level, 0) * wide + rank) - np.searchsorted(commas, np.maximum(level, 0) * wide + np.maximum(parent, 0))
 
+        self.slashes = np.concatenate(([0], np.cumsum(slash)))
+        lists = np.concatenate(([0], np.cumsum((kind == ARR).astype(np.int64) - (kind == END_ARR))))
+        self.lists = lists[:-1] - lists[first_token[doc]]
         self.key = np.full(m, -1, np.int64)
         keyed = np.flatnonzero(value & (pk == COLON))
         names = keyed - 2
@@ -163,7 +161,7 @@ class StructuralIndex:
             for j, char in enumerate(w):
                 same[same] = buf[start[names[same]] + 1 + j] == char
             number[same] = k
-        for i in np.flatnonzero(self._has_escape(names, slash)):
+        for i in np.flatnonzero(self._has_escape(names)):
             try:
                 number[i] = wanted.index(json.loads(self.bytes[start[names[i]] : stop[names[i]]]).encode("utf-8", "surrogatepass"))
             except ValueError:
@@ -176,25 +174,35 @@ class StructuralIndex:
         keep[len(some) - 1 - final_of] = True
         self.key[some[~keep]] = -1
 
-    def _has_escape(self, tokens: np.ndarray, slash: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0], np.cumsum(slash)))
-        return total[self.stop[tokens]] > total[self.start[tokens]]
-
-    def raw(self, token: int) -> bytes:
-        return self.bytes[self.start[token] : self.stop[token]]
-
-    def text(self, token: int) -> str | None:
-        """A string's or scalar's text; null as None, containers as ''."""
-        kind = self.kind[token]
-        if kind == STR:
-            raw = self.raw(token)
-            if b"\\" in raw:
-                return json.loads(raw).encode("utf-8", "replace").decode("utf-8")
-            return raw[1:-1].decode("utf-8", "replace")
-        if kind == SCALAR:
-            raw = self.raw(token)
-            return None if raw == b"null" else raw.decode()
-        return ""
+    def _has_escape(self, tokens: np.ndarray) -> np.ndarray:
+        return self.slashes[self.stop[tokens]] > self.slashes[self.start[tokens]]
+
+    def _slices(self, begin: np.ndarray, end: np.ndarray, null: np.ndarray | None = None) -> pa.BinaryArray:
+        """Bytes begin..end of each pair as one Arrow array."""
+        size = np.maximum(end - begin, 0)
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        at = np.repeat(begin - offsets[:-1], size) + np.arange(offsets[-1])
+        valid = None if null is None else pa.py_buffer(np.packbits(~null, bitorder="little").tobytes())
+        return pa.Array.from_buffers(pa.large_binary(), len(size), [valid, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self.buf[at])])
+
+    def key_text(self, token: int) -> bytes:
+        """The name under which an object holds the value ``token``."""
+        raw = self.bytes[self.start[token - 2] : self.stop[token - 2]]
+        return json.loads(raw).encode("utf-8", "surrogatepass") if b"\\" in raw else raw[1:-1]
+
+    def texts(self, tokens: np.ndarray) -> pa.Array:
+        """Texts of strings and scalars; null as null, containers and the token -1 as ''."""
+        there = np.maximum(tokens, 0)
+        kind = np.where(tokens < 0, OBJ, self.kind[there])
+        quoted, plain = kind == STR, kind == SCALAR
+        begin, end = self.start[there] + quoted, self.stop[there] - quoted
+        null = plain & (self.buf[self.start[there]] == 110)
+        out = self._slices(begin, np.where((quoted | plain) & ~null, end, begin), null).cast(pa.large_string())
+        hard = quoted & self._has_escape(there)
+        if hard.any():
+            found = [json.loads(self.bytes[self.start[t] : self.stop[t]]).encode("utf-8", "replace").decode() for t in tokens[hard].tolist()]
+            out = pc.replace_with_mask(out, pa.array(hard), pa.array(found, pa.large_string()))
+        return out
 
     def is_null(self, tokens: np.ndarray) -> np.ndarray:
         """Which of the tokens are null."""

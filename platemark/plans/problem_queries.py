@@ -58,6 +58,65 @@ P2_SIDES_SQL = " UNION ALL ".join(
     f"SELECT row_id AS record_id, '{box}' AS box, '{side}' AS side, geometry.{box}.{side} AS value FROM reference_cells WHERE geometry.{box}.{side} IS NOT NULL"
     for box in nested.BOXES for side in nested.SIDES
 )
+_NUMERIC = nested.NUMERIC.pattern
+
+
+def _strict(c: str) -> str:
+    """Complete JSON by the strict grammar: neither stray commas nor words that aren't JSON, outside strings."""
+    bare = f"regexp_replace({c}, '\"(?:[^\"\\\\]|\\\\.)*\"', '\"\"', 'g')"
+    return f"json_valid({c}) AND NOT regexp_matches({bare}, '(?i)nan|inf|,\\s*[\\]}}]')"
+
+
+def _member(of: str, path: str) -> str:
+    """A member's text; '' where it is missing, null, an object or a list."""
+    return f"CASE WHEN json_type({of}, '{path}') IN ('OBJECT', 'ARRAY') THEN '' ELSE coalesce(json_extract_string({of}, '{path}'), '') END"
+
+
+_SIDES = ", ".join(f"({i}, '{side}')" for i, side in enumerate(nested.SIDES))
+P2_SQL = f"""
+WITH RECURSIVE quoted AS (
+  SELECT raw_id, payload AS j FROM reference_cells_raw WHERE {_strict('payload')}
+  UNION ALL
+  SELECT raw_id, t FROM (SELECT raw_id, json_extract_string(j, '$') AS t FROM quoted WHERE json_type(j) = 'VARCHAR') AS u WHERE {_strict('t')}),
+wrapped AS (
+  SELECT raw_id, CAST(j AS JSON) AS v, '' AS name, 0 AS depth FROM quoted WHERE json_type(j) IN ('OBJECT', 'ARRAY')
+  UNION ALL
+  SELECT w.raw_id, e.value, e.key, w.depth + 1 FROM wrapped AS w, LATERAL (SELECT * FROM json_each(w.v)) AS e
+  WHERE json_type(w.v) = 'OBJECT' AND json_type(e.value) IN ('OBJECT', 'ARRAY')),
+listed AS (
+  SELECT raw_id, v FROM (
+    SELECT raw_id, v, row_number() OVER (PARTITION BY raw_id ORDER BY depth) AS n FROM wrapped
+    WHERE json_type(v) = 'ARRAY' AND (depth = 0 OR name = 'cells')) AS l WHERE n = 1),
+cell AS (
+  SELECT raw_id, i AS cell_no, json_extract(v, '$[' || i || ']') AS c
+  FROM (SELECT raw_id, v, unnest(range(CAST(json_array_length(v) AS BIGINT))) AS i FROM listed) AS l
+  WHERE json_type(v, '$[' || i || ']') <> 'NULL'),
+box AS (
+  SELECT raw_id, cell_no, child, b FROM (
+    SELECT raw_id, cell_no, 'margin' AS child, json_extract(c, '$.geometry.margin') AS b FROM cell
+    UNION ALL SELECT raw_id, cell_no, 'padding', json_extract(c, '$.geometry.padding') FROM cell) AS t WHERE b IS NOT NULL),
+side AS (
+  SELECT raw_id, cell_no, child, s.name AS label,
+         CASE json_type(b) WHEN 'OBJECT' THEN json_extract(b, '$.' || s.name) WHEN 'ARRAY' THEN json_extract(b, '$[' || s.i || ']') ELSE b END AS x
+  FROM box, (VALUES {_SIDES}) AS s(i, name)),
+history AS (SELECT raw_id, cell_no, json_extract(c, '$.provenance.history') AS h FROM cell),
+entry AS (
+  SELECT raw_id, cell_no, i AS child_no, json_extract(h, '$[' || i || ']') AS e
+  FROM (SELECT raw_id, cell_no, h, unnest(range(CAST(json_array_length(h) AS BIGINT))) AS i FROM history WHERE json_type(h) = 'ARRAY') AS l
+  UNION ALL SELECT raw_id, cell_no, 0, h FROM history WHERE json_type(h) <> 'ARRAY'),
+typed_entry AS (
+  SELECT row_id, i AS child_no, provenance.history[i + 1] AS e
+  FROM (SELECT row_id, provenance, unnest(range(len(provenance.history))) AS i FROM reference_cells) AS l),
+flat AS (
+  SELECT 'reference_cells_raw' AS table_name, raw_id AS record_id, cell_no, 'cell' AS child, 0 AS child_no, {_member('c', '$.approval_state')} AS label, CAST(NULL AS DOUBLE) AS value FROM cell
+  UNION ALL SELECT 'reference_cells_raw', raw_id, cell_no, child, 0, label, CAST(trim(json_extract_string(x, '$')) AS DOUBLE) FROM side
+    WHERE json_type(x) NOT IN ('OBJECT', 'ARRAY', 'NULL', 'BOOLEAN') AND regexp_full_match(trim(json_extract_string(x, '$')), '{_NUMERIC}')
+  UNION ALL SELECT 'reference_cells_raw', raw_id, cell_no, 'history', child_no, {_member('e', '$.event_type')}, NULL FROM entry WHERE json_type(e) <> 'NULL'
+  UNION ALL SELECT 'reference_cells', row_id, 0, 'cell', 0, coalesce(approval_state, ''), NULL FROM reference_cells
+  {' '.join(f"UNION ALL SELECT 'reference_cells', row_id, 0, '{box}', 0, '{side}', geometry.{box}.{side} FROM reference_cells WHERE geometry.{box}.{side} IS NOT NULL AND NOT isnan(geometry.{box}.{side})" for box in nested.BOXES for side in nested.SIDES)}
+  UNION ALL SELECT 'reference_cells', row_id, 0, 'history', child_no, coalesce(e.event_type, ''), NULL FROM typed_entry WHERE e IS NOT NULL)
+SELECT table_name, record_id, CAST(cell_no AS INTEGER) AS cell_no, child, CAST(child_no AS INTEGER) AS child_no, label"""
+P2_FOUND_SQL, P2_FLAT_SQL = f"{P2_SQL} FROM flat", f"{P2_SQL}, value FROM flat"
 P3_BASE = f"""
 WITH page AS (SELECT {_key('page_id')} AS k, min({_time('created_at')}) AS born, min(CASE WHEN deleted_at IS NULL THEN 0 ELSE 1 END) AS gone FROM manual_pages GROUP BY 1),
 edition AS (SELECT {_key('edition_id')} AS k, min({_time('created_at')}) AS born, min(CASE WHEN deleted_at IS NULL THEN 0 ELSE 1 END) AS gone FROM manual_editions GROUP BY 1),
@@ -89,4 +148,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_box_sides": P2_SIDES_SQL, "p3_found": P3_SQL, "p3_report": P3_REPORT_SQL, "p3_composite": P3_COMPOSITE_SQL}
+    return {"p2_found": P2_FOUND_SQL, "p2_flat": P2_FLAT_SQL, "p2_box_sides": P2_SIDES_SQL, "p3_found": P3_SQL, "p3_report": P3_REPORT_SQL, "p3_composite": P3_COMPOSITE_SQL}

@@ -2,6 +2,7 @@ import json
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,8 +20,9 @@ TEXTS = [
 
 def flat(texts):
     found = defaultdict(list)
-    for r in _flat(list(range(len(texts))), [t.encode() for t in texts])[LABELS].values.tolist():
-        found[r[0]].append(tuple(r[1:]))
+    for batch in _flat(np.arange(len(texts)), [t.encode() for t in texts]):
+        for r in batch.to_pylist():
+            found[r["record_id"]].append(tuple(r[c] for c in LABELS[1:]))
     return [sorted(found[i], key=str) for i in range(len(texts))]
 
 
@@ -46,6 +48,41 @@ def test_any_characters(texts):
     assert flat(texts) == [sorted(flatten_json_plainly(t), key=str) for t in texts]
 
 
+def wrapped(value, depth, name="document"):
+    for i in range(depth):
+        value = {"before": i, name: value, "after": [{"cells": [1, 2, 3]}]}
+    return value
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 50), st.integers(0, 10))
+def test_any_depth_of_wrapping_and_quoting(depth, quoted):
+    text = json.dumps(wrapped({"cells": json.loads(RICH)}, depth))
+    for _ in range(quoted):
+        text = json.dumps(text)
+    assert flat([text, "[{}]"]) == [sorted(flatten_json_plainly(t), key=str) for t in (RICH, "[{}]")]
+
+
+WRAPPERS = st.recursive(st.sampled_from([1, None, "s", [], [{"cells": [5]}]]), lambda inner: st.lists(st.tuples(st.sampled_from(["cells", "a", "b", "\u00e9"]), inner), max_size=4).map(dict), max_leaves=12)
+
+
+def repeated(value, rng):
+    """JSON text with some members of objects written twice."""
+    if not isinstance(value, dict):
+        return json.dumps(value)
+    members = [f"{json.dumps(k)}:{repeated(v, rng)}" for k, v in value.items()]
+    members += [f"{json.dumps(k)}:{repeated(v, rng)}" for k, v in value.items() if rng.random() < 0.3]
+    rng.shuffle(members)
+    return "{" + ",".join(members) + "}"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(WRAPPERS, min_size=1, max_size=4), st.integers(0, 99))
+def test_which_list_of_cells(values, seed):
+    texts = [repeated(v, random.Random(seed)) for v in values]
+    assert flat(texts) == [sorted(flatten_json_plainly(t), key=str) for t in texts]
+
+
 def test_long_and_deep_texts():
     long = json.dumps([{"approval_state": "s" * 300_000, "provenance": {"history": [{"event_type": "e"}] * 5000}}])
     deep = "[" * 5000 + "]" * 5000
