@@ -3,14 +3,14 @@
 Each task builds FM-indexes over shards of its documents: words become
 symbols (those no evaluation item has share one), a shard's words one
 sequence. Every phrase of SEED words of every item is searched backward in
-it, through wavelet-tree ranks; sampled suffix positions give the places. From
-each place the common passage is followed in both directions over single
-changed, missing or added words; spans that qualify are merged per document
-and item.
-
-The evaluation items are the stated query set and of a checked size; they
-alone are sent to all tasks. Documents never move: no shuffle, no join, and
-what a task holds at once is one shard.
+it, through wavelet-tree ranks; sampled suffix positions give the places. A
+document and item with too few places to hold a passage are left; around each
+place of the others an alignment finds the best passage over single changed,
+missing or added words. Spans that overlap are merged per document and item.
+
+The evaluation items are the stated query set; their compiled form is sent to
+all tasks, in blocks of a bounded size. Documents never move: no shuffle, no
+join, and what a task holds at once is one shard.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,22 +28,31 @@ from pyspark.sql import functions as F
 
 from platemark.llm.fmindex import FMIndex
 
-#: A passage spans at least so many words of the item, of which at least this share is there unchanged.
-PASSAGE, UNCHANGED = 14, 0.85
-#: Words of a search phrase. A passage of PASSAGE words at least with that share unchanged has a run of so many.
-SEED = 4
+#: A passage spans at least so many words of the item; of its words and edits at least this share are unchanged words.
+PASSAGE, UNCHANGED = 14, 0.8
+#: An edit takes back as many matches as that share asks for (0.8: four), so a passage scores at least 0.
+EDIT = round(UNCHANGED / (1 - UNCHANGED))
+#: Words of a search phrase.
+SEED = 3
+#: Least matches of a passage, and least phrases among them: m matches with e <= m / 4 edits form at most e + 1 runs,
+#: which hold m - (SEED - 1) * (e + 1) phrases or more.
+LEAST_MATCHES, LEAST_PHRASES = 12, 4
+#: How an alignment goes on from a matched pair: to the next words, or over a changed, a missing or an added word.
+STEPS = ((1, 1, 0), (2, 2, 1), (2, 1, 1), (1, 2, 1))
 #: Words of a shard; a longer document is a shard of its own.
 SHARD = 1_000_000
-#: More characters in the items than this is no evaluation set; the operator refuses it before it collects them.
-MAX_ITEM_CHARS = 50_000_000
+#: Characters of items that are searched for at once; more are taken in blocks, one pass over the documents each.
+BLOCK_CHARS = 20_000_000
 BREAK, OTHER = 1, 2  # between documents; any word no item has
 
-_BB = "b|i|u|s|url|img|size|color|colour|quote|list|code|font|center|left|right|spoiler|table|tr|td|th|hr|email|sup|sub|li|ul|ol|\\*"
-#: Markup that separates words and is none itself.
-_MARKUP = rf"<[/!]?[a-zA-Z][^<>]{{0,300}}>|\[/?(?:{_BB})(?:=[^\]\n]{{0,300}})?\]"
-_TOKEN = re.compile(rf"{_MARKUP}|([^\W_]+)", re.IGNORECASE)
+#: Markup that separates words and is none itself (fixed values); a square tag's value ends at the next bracket of its line.
+_TAG = re.compile(r"<[/!]?[a-zA-Z][^<>]*+>")
+_BB = re.compile(
+    r"\[/?(?:b|i|u|s|url|img|size|color|colour|quote|list|code|font|center|left|right|spoiler|table|tr|td|th|hr|email|sup|sub|li|ul|ol|\*)([=\]])",
+    re.IGNORECASE,
+)
+_ENDS_TAG = re.compile(r"[\]\n]")
 _WORDS = re.compile(r"[^\W_]+")
-_MARKED = re.compile(_MARKUP, re.IGNORECASE)
 _ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,30});")
 #: UTF-8 read as Latin-1 or Windows-1252: two or three such characters in a row.
 _MOJIBAKE = re.compile("[Â-ß][\u0080-¿ŒœŠšŸŽžƒˆ˜–-•…‰‹›€™]|[à-ï][\u0080-¿ŒœŠšŸŽžƒˆ˜–-•…‰‹›€™]{2}")
@@ -64,53 +74,78 @@ def _repair(m: re.Match) -> str:
         return m[0]
 
 
-def clean(text: str) -> tuple[str, np.ndarray | None]:
-    """Text with entities resolved, mojibake repaired, combining and invisible characters gone; and each character's place in ``text`` (None: unchanged)."""
-    if text.isascii() and "&" not in text:
-        return text, None
-    out, place = [], []
+def without_markup(text: str) -> str:
+    """The text with blanks where it had tags; every other character stays in its place. Linear in the text."""
+    if "<" in text:
+        text = _TAG.sub(lambda m: " " * len(m[0]), text)
+    if "[" not in text:
+        return text
+    out, last, end = [], 0, -1
+    for m in _BB.finditer(text):
+        if m.start() < last:
+            continue
+        stop = m.end()
+        if m[1] == "=":
+            if end < m.end():
+                close = _ENDS_TAG.search(text, m.end())
+                end = close.start() if close else len(text)
+            if text[end : end + 1] != "]":
+                continue
+            stop = end + 1
+        out += [text[last : m.start()], " " * (stop - m.start())]
+        last = stop
+    return "".join([*out, text[last:]])
+
+
+def _resolved(m: re.Match) -> str:
+    return html.unescape(html.unescape(m[0])) if m[0][0] == "&" else _repair(m)
+
+
+def _is_mark(c: str) -> bool:
+    return unicodedata.category(c) in ("Cf", "Mn")
+
+
+def words_of(text: str) -> list[str]:
+    """Folded words: no case, accents, markup, entities, mojibake or invisible characters."""
+    if not text.isascii() or "&" in text:
+        text = _HARD.sub(_resolved, text)
+        if not text.isascii():
+            # Accents are taken off the whole text at once; what words are made of stays in place.
+            text = "".join(c for c in unicodedata.normalize("NFKD", text) if not _is_mark(c))
+    return _WORDS.findall(without_markup(text).casefold())
+
+
+def places_of(text: str) -> list[tuple[int, int]]:
+    """Begin and end in ``text`` of each word of ``words_of(text)``."""
+    out: list[str] = []
+    begin: list[int] = []
+    end: list[int] = []
 
     def put(piece: str, start: int, stop: int) -> None:
-        """``piece`` came from text[start:stop]."""
+        """``piece`` came from text[start:stop], character by character if it is as long."""
         same = len(piece) == stop - start
         for i, c in enumerate(piece):
-            if unicodedata.category(c) not in ("Cf", "Mn"):
-                out.append(c)
-                place.append(start + i if same else start)
+            for d in unicodedata.normalize("NFKD", c):
+                if not _is_mark(d):
+                    out.append(d)
+                    begin.append(start + i if same else start)
+                    end.append(start + i + 1 if same else stop)
 
     last = 0
     for m in _HARD.finditer(text):
         put(text[last : m.start()], last, m.start())
-        piece = m[0]
-        if piece[0] == "&":
-            piece = html.unescape(html.unescape(piece))
-        elif len(piece) > 1:
-            piece = _repair(m)
-        put(piece, m.start(), m.end())
+        put(_resolved(m), m.start(), m.end())
         last = m.end()
     put(text[last:], last, len(text))
-    return "".join(out), np.array(place + [len(text)], np.int64)
-
-
-def words_of(text: str) -> list[str]:
-    """Folded words, without markup."""
-    if not text.isascii() or "&" in text:
-        if _HARD.search(text):
-            text = _HARD.sub(lambda m: html.unescape(html.unescape(m[0])) if m[0][0] == "&" else _repair(m), text)
-        if not text.isascii():
-            # Accents are taken off the whole text at once; what words are made of stays in place.
-            text = "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) not in ("Mn", "Cf"))
-    if "<" in text or "[" in text:
-        text = _MARKED.sub(" ", text)
-    return _WORDS.findall(text.casefold())
+    return [(begin[m.start()], end[m.end() - 1]) for m in _WORDS.finditer(without_markup("".join(out)))]
 
 
 class Items:
-    """Evaluation items as symbols, with all their search phrases."""
+    """Evaluation items as symbols, with all their search phrases and where each stands."""
 
-    def __init__(self, rows: list[tuple[int, str | None]]) -> None:
+    def __init__(self, rows: list[tuple[object, str | None]]) -> None:
         self.symbol: dict[str, int] = {}
-        self.ids: list[int] = []
+        self.ids: list = []
         self.words: list[list[int]] = []
         for item, text in rows:
             words = [self.symbol.setdefault(w, len(self.symbol) + 3) for w in words_of(text or "")]
@@ -123,50 +158,85 @@ class Items:
             for i in range(len(words) - SEED + 1):
                 seeds.setdefault(tuple(words[i : i + SEED]), []).append((n, i))
         self.phrases = np.array(list(seeds), np.int64).reshape(-1, SEED)
-        self.places = list(seeds.values())
+        self.first = np.concatenate(([0], np.cumsum([len(p) for p in seeds.values()]))).astype(np.int64)
+        places = np.array([p for of in seeds.values() for p in of], np.int64).reshape(-1, 2)
+        self.item, self.at = places[:, 0], places[:, 1]
 
 
-def _follow(item: list[int], i: int, doc: list[int], j: int, step: int) -> list[tuple[int, int]]:
-    """Matched pairs from (i, j) on, over single changed, missing or added words, in the direction of ``step``.
+Cell = tuple[int, int]
 
-    After an edit at least two words must agree (or the item end), so chance
-    agreements don't carry a passage on.
-    """
-    n, m, pairs = len(item), len(doc), []
-
-    def agree(a: int, b: int) -> int:
-        run = 0
-        while 0 <= a < n and 0 <= b < m and item[a] == doc[b] and run < 3:
-            a, b, run = a + step, b + step, run + 1
-        return run
-
-    while 0 <= i < n and 0 <= j < m:
-        if item[i] == doc[j]:
-            pairs.append((i, j))
-            i, j = i + step, j + step
-            continue
-        best = max((agree(i + step, j + step), 2, 1, 1), (agree(i + step, j), 1, 1, 0), (agree(i, j + step), 0, 0, 1))
-        if best[0] < 2 and not (best[0] == 1 and not 0 <= i + step * (best[2] + 1) < n):
-            break
-        i, j = i + step * best[2], j + step * best[3]
-    return pairs
 
+def _reach(item: list[int], doc: list[int], cell: Cell, step: int) -> dict[Cell, tuple[int, int, Cell | None]]:
+    """Matched pairs an alignment can reach from ``cell`` on, in the direction of ``step``.
 
-def _passage(pairs: list[tuple[int, int]]) -> bool:
-    """Is some stretch of the matched pairs a passage: long enough, with few enough edits?"""
-    for a in range(len(pairs)):
-        for b in range(len(pairs) - 1, a, -1):
-            span = pairs[b][0] - pairs[a][0] + 1
-            if span < PASSAGE:
-                break
-            most = max(span, pairs[b][1] - pairs[a][1] + 1)
-            if b - a + 1 >= UNCHANGED * most:
-                return True
-    return False
+    Each with the best (matches, edits), counted without ``cell``, and the
+    pair before it. Rows follow one another, so every pair is final when its
+    successors are reached.
+    """
+    n, m = len(item), len(doc)
+    best: dict[Cell, tuple[int, int, Cell | None]] = {cell: (0, 0, None)}
+    rows: dict[int, list[int]] = {cell[0]: [cell[1]]}
+    i = cell[0]
+    while i in rows or i + step in rows:
+        for j in sorted(rows.get(i, ()), reverse=step < 0):
+            matches, edits, _ = best[i, j]
+            for di, dj, edit in STEPS:
+                a, b = i + step * di, j + step * dj
+                if 0 <= a < n and 0 <= b < m and item[a] == doc[b]:
+                    known = best.get((a, b))
+                    if known is None:
+                        rows.setdefault(a, []).append(b)
+                    if known is None or (matches + 1 - EDIT * (edits + edit), matches) > (known[0] - EDIT * known[1], known[0] - 1):
+                        best[a, b] = (matches + 1, edits + edit, (i, j))
+        i += step
+    return best
+
+
+def passage_at(item: list[int], doc: list[int], cell: Cell) -> list[Cell] | None:
+    """The matched pairs of the best passage through the matched pair ``cell``; None if there is none.
+
+    A passage spans PASSAGE words of the item or more and scores at least 0
+    (a match counts 1, an edit -EDIT). The one with the most matches less two
+    per edit is preferred, if that is one.
+    """
+    sides = [_reach(item, doc, cell, -1), _reach(item, doc, cell, 1)]
 
+    def good(left: Cell, right: Cell) -> bool:
+        (m1, e1, _), (m2, e2, _) = sides[0][left], sides[1][right]
+        return right[0] - left[0] + 1 >= PASSAGE and m1 + m2 + 1 >= EDIT * (e1 + e2)
 
-def shard_hits(docs: list[list[int]], items: Items) -> dict[tuple[int, int], list[tuple[int, int, int]]]:
-    """(document, item) to its passages: first and last word in the document, and matched words."""
+    ends = None
+    for cost in (2, EDIT):
+        pair = [max(side, key=lambda c: (side[c][0] - cost * side[c][1], abs(c[0] - cell[0]))) for side in sides]  # noqa: B023
+        if good(*pair):
+            ends = pair
+            break
+    if ends is None:  # the best score is of too few words: for each left end the best right end that is far enough
+        right = sorted(sides[1], key=lambda c: c[0])
+        best = list(right)
+        for k in range(len(best) - 2, -1, -1):
+            a, b = best[k], best[k + 1]
+            if sides[1][b][0] - EDIT * sides[1][b][1] > sides[1][a][0] - EDIT * sides[1][a][1]:
+                best[k] = b
+        first = [c[0] for c in right]
+        for left in sides[0]:
+            k = bisect_left(first, left[0] + PASSAGE - 1)
+            if k < len(best) and good(left, best[k]):
+                ends = [left, best[k]]
+                break
+    if ends is None:
+        return None
+    pairs: list[Cell] = []
+    for side, end in zip(sides, ends, strict=True):
+        c: Cell | None = end
+        while c is not None:
+            pairs.append(c)
+            c = side[c][2]
+    return sorted(set(pairs))
+
+
+def shard_hits(docs: list[list[int]], items: Items) -> dict[tuple[int, int], list[list[int]]]:
+    """(document, item) to its passages: the places in the document of each one's matched words."""
     sizes = np.array([len(d) + 1 for d in docs], np.int64)
     begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
     text = np.full(int(sizes.sum()), BREAK, np.int64)
@@ -179,92 +249,104 @@ def shard_hits(docs: list[list[int]], items: Items) -> dict[tuple[int, int], lis
     hit = np.flatnonzero(high > low)
     count = (high - low)[hit]
     rows = np.repeat(low[hit] - np.concatenate(([0], np.cumsum(count)))[:-1], count) + np.arange(int(count.sum()))
-    where = index.locate(rows)
-    phrase = np.repeat(hit, count)
+    where, phrase = index.locate(rows), np.repeat(hit, count)
     doc = np.searchsorted(begin, where, "right") - 1
-    found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-    seen: dict[tuple[int, int], set[tuple[int, int]]] = {}
-    for d, p, w in zip(doc.tolist(), phrase.tolist(), (where - begin[doc]).tolist(), strict=True):
-        for n, i in items.places[p]:
-            known = seen.setdefault((d, n), set())
-            if (i, w) in known:
-                continue
-            item, words = items.words[n], docs[d]
-            pairs = _follow(item, i - 1, words, w - 1, -1)[::-1] + _follow(item, i, words, w, 1)
+    # Each occurrence stands for every place of its phrase in the items.
+    many = items.first[phrase + 1] - items.first[phrase]
+    each = np.repeat(np.arange(len(phrase)), many)
+    place = np.repeat(items.first[phrase] - np.concatenate(([0], np.cumsum(many)))[:-1], many) + np.arange(int(many.sum()))
+    doc, word, item, at = doc[each], (where - begin[doc])[each], items.item[place], items.at[place]
+    pair = doc * len(items.words) + item
+    _, number, hits = np.unique(pair, return_inverse=True, return_counts=True)
+    enough = np.flatnonzero(hits[number] >= LEAST_PHRASES)
+    enough = enough[np.lexsort((at[enough], word[enough], pair[enough]))]
+    found: dict[tuple[int, int], list[list[int]]] = {}
+    now, known = None, set()
+    for d, n, i, w in zip(doc[enough].tolist(), item[enough].tolist(), at[enough].tolist(), word[enough].tolist(), strict=True):
+        if (d, n) != now:
+            now, known = (d, n), set()
+        if (i, w) in known:  # inside a passage that is found already
+            continue
+        pairs = passage_at(items.words[n], docs[d], (i, w))
+        if pairs:
             known.update(pairs)
-            if pairs[-1][0] - pairs[0][0] + 1 >= PASSAGE and _passage(pairs):
-                found.setdefault((d, n), []).append((pairs[0][1], pairs[-1][1], len(pairs)))
+            found.setdefault((d, n), []).append([j for _, j in pairs])
     return found
 
 
-def merged(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Overlapping and adjoining spans as one."""
-    out: list[tuple[int, int, int]] = []
-    for first, last, n in sorted(spans):
-        if out and first <= out[-1][1] + 1:
-            out[-1] = (out[-1][0], max(last, out[-1][1]), max(n, out[-1][2]))
+def merged(passages: list[list[int]]) -> list[tuple[int, int, int]]:
+    """(first, last, matched) of passages, overlapping and adjoining ones as one; each word of a document counts once."""
+    out: list[tuple[int, int, set[int]]] = []
+    for words in sorted(passages, key=lambda p: (p[0], p[-1])):
+        if out and words[0] <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(words[-1], out[-1][1]), out[-1][2] | set(words))
         else:
-            out.append((first, last, n))
-    return out
-
-
-def _places(text: str) -> list[tuple[int, int]]:
-    """Begin and end in ``text`` of each word of ``words_of(text)``."""
-    plain, place = clean(text)
-    spans = []
-    for m in _TOKEN.finditer(plain):
-        if m[1] is not None:
-            # A character may fold to several words' worth (ligatures don't, fractions do).
-            n = len(_WORDS.findall("".join(c for c in unicodedata.normalize("NFKD", m[1]) if unicodedata.category(c) not in ("Mn", "Cf")).casefold()))
-            span = m.span() if place is None else (int(place[m.start()]), int(place[m.end() - 1]) + 1)
-            spans += [span] * n
-    return spans
+            out.append((words[0], words[-1], set(words)))
+    return [(first, last, len(matched)) for first, last, matched in out]
 
 
 def leaked_passages(df: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
-    """(``key``, ``item_key``, first_word, last_word, matched): each merged passage of an item in a document.
-
-    Words are compared without case, accents, punctuation, markup and
-    invisible characters. Null, empty and blank texts hold nothing; items of
-    fewer than PASSAGE words have no passage. Repeated documents are reported
-    each, repeated items as well. Texts of any length are searched whole.
-    Empty tables give an empty result; other columns are not read.
+    """(``key``, ``item_key``, first_word, last_word, matched, start_char, end_char): each merged passage of an item in a document.
+
+    The characters start_char to end_char (0-based, end excluded) of the text
+    are what a removal takes out. Words are compared without case, accents,
+    punctuation, markup and invisible characters. Null, empty and blank texts
+    hold nothing; items of fewer than PASSAGE words have no passage. Repeated
+    documents are reported each, repeated items as well. Texts of any length
+    are searched whole. Items of more than BLOCK_CHARS characters in all are
+    searched for in as many blocks. Empty tables give an empty result; other
+    columns are not read.
     """
-    if (items.agg(F.sum(F.length(item_text))).first()[0] or 0) > MAX_ITEM_CHARS:
-        raise ValueError(f"the evaluation items have more than {MAX_ITEM_CHARS} characters")
-    rows = [tuple(r) for r in items.select(item_key, item_text).collect()]
-    shared = df.sparkSession.sparkContext.broadcast(sorted(rows, key=lambda r: str(r[0])))
+    blocks = (items.agg(F.sum(F.length(item_text))).first()[0] or 0) // BLOCK_CHARS + 1
+    block = F.pmod(F.xxhash64(item_key, item_text), F.lit(blocks))
+    parts = [_passages_of(df, key, text, items.filter(block == b), item_key, item_text) for b in range(blocks)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def _passages_of(df: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
+    rows = sorted((tuple(r) for r in items.select(item_key, item_text).collect()), key=lambda r: (str(r[0]), r[1] or ""))
+    shared = df.sparkSession.sparkContext.broadcast(Items(rows))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Items(shared.value)
+        known = shared.value
         ids: list = []
+        texts: list[str] = []
         docs: list[list[int]] = []
         size = 0
 
         def flush() -> Iterator[pd.DataFrame]:
-            out = [(ids[d], known.ids[n], *span) for (d, n), spans in shard_hits(docs, known).items() for span in merged(spans)]
+            out, spot = [], {}
+            for (d, n), passages in shard_hits(docs, known).items():
+                if d not in spot:
+                    spot[d] = places_of(texts[d])
+                for first, last, matched in merged(passages):
+                    out.append((ids[d], known.ids[n], first, last, matched, spot[d][first][0], spot[d][last][1]))
             if out:
-                yield pd.DataFrame(out, columns=["id", "item", "first_word", "last_word", "matched"])
+                yield pd.DataFrame(out, columns=["id", "item", "first_word", "last_word", "matched", "start_char", "end_char"])
 
         symbol = known.symbol.get
         for batch in batches:
             for i, t in zip(batch["id"], batch["t"], strict=True):
                 words = [symbol(w, OTHER) for w in words_of(t)]
-                if len(words) < PASSAGE * UNCHANGED:
+                if len(words) < LEAST_MATCHES:
                     continue
                 ids.append(i)
+                texts.append(t)
                 docs.append(words)
                 size += len(words)
                 if size >= SHARD:
                     yield from flush()
-                    ids, docs, size = [], [], 0
+                    ids, texts, docs, size = [], [], [], 0
         if docs:
             yield from flush()
 
     kinds = dict(df.dtypes)[key], dict(items.dtypes)[item_key]
-    texts = df.select(F.col(key).alias("id"), F.col(text).alias("t")).filter(F.col("t") != "")
-    out = texts.mapInPandas(run, f"id {kinds[0]}, item {kinds[1]}, first_word int, last_word int, matched int")
-    return out.toDF(key, item_key, "first_word", "last_word", "matched")
+    documents = df.select(F.col(key).alias("id"), F.col(text).alias("t")).filter(F.col("t") != "")
+    out = documents.mapInPandas(run, f"id {kinds[0]}, item {kinds[1]}, first_word int, last_word int, matched int, start_char bigint, end_char bigint")
+    return out.toDF(key, item_key, "first_word", "last_word", "matched", "start_char", "end_char")
 
 
 def leaks(passages: DataFrame, key: str, item_key: str) -> DataFrame:
