@@ -31,6 +31,12 @@ def p4_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(none, "row_id", "left_semi").groupBy("code").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def p4_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows each step of the mapping decided."""
+    signs, legend = table(spark, folder, "page_4_signs"), table(spark, folder, "sign_legend")
+    return canonical.map_to_canonical(signs, "row_id", "code", legend, "code", "description", with_step=True).groupBy("step").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     t = lambda name: table(spark, folder, name)
     return topn.best_candidates(t("candidate_assignments"), t("reference_matcher_run_manifest"), t("page_4_signs"))
@@ -116,7 +122,7 @@ FROM ranked WHERE rank_no <= top_k AND filename IN (SELECT filename FROM page_4_
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found, "p1_records": p1_records,
-        "p4_found": p4_found, "p4_unmatched": p4_unmatched,
+        "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p4_steps": p4_steps,
         "p5_found": p5_found,
         "p6_ids": p6_ids,
         "p7_found": p7_found, "p7_passages": p7_passages, "p7_items": p7_items,

@@ -39,8 +39,21 @@ def test_tables(spark):
     assert {r.legend_code for r in c.map_to_canonical(df, "row_id", "code", legend.limit(0), "code", "description").collect()} == {""}
 
 
-def test_too_many_entries(spark, monkeypatch):
-    monkeypatch.setattr(c, "MAX_ENTRIES", 3)
+def test_a_list_in_blocks_gives_the_same(spark, monkeypatch):
+    values = ["R1", "r_1_2", "HX7l2", "UVB74", "HXX712", "Slipppery tractor for sledges", "Shared name", "Give way", "see Quiet pavement for ducks - uv874", "K9", "nothing", "R1"]
+    df = spark.createDataFrame(list(enumerate(values)), "row_id long, code string")
     legend = spark.createDataFrame(LEGEND, "code string, description string")
-    with pytest.raises(ValueError, match="more than 3"):
-        c.map_to_canonical(legend, "code", "code", legend, "code", "description")
+    whole = sorted(tuple(r) for r in c.map_to_canonical(df, "row_id", "code", legend, "code", "description", with_step=True).collect())
+    monkeypatch.setattr(c, "BLOCK", 3)
+    assert sorted(tuple(r) for r in c.map_to_canonical(df, "row_id", "code", legend, "code", "description", with_step=True).collect()) == whole
+
+
+@pytest.mark.parametrize("value,step", [("R1", "mention"), ("M1.l", "alias"), ("H X 7 1 2", "mention"), ("R12", "alias"), ("Slippery tractor (sledges)", "similar"), ("HXX712", "keystroke"), ("row cut off", "none"), ("283534928", "none")])
+def test_what_decides(value, step):
+    match = c.CanonicalMatcher([*LEGEND, ("M1", None), ("M1.1", None)])
+    assert c.decide(match.evidence(value))[1] == step
+
+
+def test_short_codes_are_corrected_where_only_one_is_near():
+    match = c.CanonicalMatcher([("R1", None), ("XY7", None)])
+    assert match("XYY7") == "XY7" and match("XQ7") == "XY7" and match("RR1") == "R1" and c.CanonicalMatcher([("R1", None), ("R2", None)])("R3") == ""
