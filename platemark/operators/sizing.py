@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platemark.session import written
+
 #: A looked-up table of at most so many rows is broadcast.
 SMALL = 50_000
+#: Hashes of repeated keys that are broadcast at most; each takes about 16 bytes.
+REPEATED = 1_000_000
 #: A key is hot from so many rows, or a thousandth of all rows, whichever is more; it is then spread over SALTS tasks.
 HOT_ROWS, SALTS = 200_000, 32
 
@@ -38,3 +42,21 @@ def lookup(child: DataFrame, parent: DataFrame, on: list[str], spread_by: str) -
     salted = child.join(F.broadcast(hot), on, "left").withColumn("salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")).drop("salts")
     copies = parent.join(F.broadcast(hot), on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts.cast("int") - 1))).drop("salts")
     return salted.join(copies, [*on, "salt"], "left").drop("salt")
+
+
+def without_repeats(df: DataFrame, key: str) -> tuple[DataFrame | None, DataFrame]:
+    """``df`` in two parts: rows whose ``key`` occurs once, and the rest, which holds all rows of every repeated key.
+
+    Only hashes of the keys are shuffled. Keys that share their hash with
+    another count as repeated, which the caller's exact treatment of the rest
+    makes harmless. The hashes that repeat are written to the shared folder
+    and, if they are few (counted), broadcast; else the first part is None and
+    all rows are the rest.
+    """
+    mark, code = "__repeated", "__hash"
+    hashes = df.select(F.xxhash64(key).alias(code)).groupBy(code).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(code)
+    repeated = written(hashes, "repeated")
+    if repeated.count() > REPEATED:
+        return None, df
+    marked = df.withColumn(code, F.xxhash64(key)).join(F.broadcast(repeated.withColumn(mark, F.lit(True))), code, "left")
+    return marked.filter(F.col(mark).isNull()).drop(mark, code), marked.filter(mark).drop(mark, code)

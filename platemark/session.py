@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -29,12 +31,15 @@ def build(master: str = "local[8]", app: str = "platemark", **extra: str) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (tests, a laptop) a temporary folder of
-    this machine is made, and remembered in the session.
+    Only a local session that has no such setting (tests, a laptop) makes a
+    temporary folder of this machine, and remembers it; on a cluster executors
+    wouldn't see one, so there a missing setting is an error.
     """
     key = "spark.checkpoint.dir"
     named = spark.sparkContext.getConf().get(key) or spark.conf.get(key, None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {key} to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="platemark-")
         spark.conf.set(key, named)
     return named
@@ -53,6 +58,29 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Deletes ``path`` when the driver ends: what reads it may run until then."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def remove() -> None:
+        try:
+            files.delete(place, True)
+        except Exception:  # noqa: BLE001 - the JVM is gone; nothing is left to do
+            pass
+
+    atexit.register(remove)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table written once into the shared folder: its lineage ends there and survives lost executors."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_view(path: str) -> str:
     """``file:///x`` as ``/x``; makes the parent folder."""
     plain = path[len("file:"):] if path.startswith("file:") else path

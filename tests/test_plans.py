@@ -3,6 +3,7 @@
 import pytest
 from helpers import FOLDER, rows
 
+from platemark.operators import sizing
 from platemark.plans import catalog
 
 ONE_ROW_JOINS = {"bag_and_distinct_union", "match_summary", "code_not_in_dictionary", "quiz_options"}
@@ -46,3 +47,15 @@ def test_partitioning_changes_nothing(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_keys_that_repeat_are_told_from_the_others(spark, monkeypatch, most):
+    monkeypatch.setattr(sizing, "REPEATED", most)
+    rows = [("a", 1), ("b", 2), ("a", 3), (None, 4), (None, 5), ("c", 6)]
+    once, rest = sizing.without_repeats(spark.createDataFrame(rows, "k string, v int").repartition(3), "k")
+    if most:
+        assert sorted(r.v for r in once.collect()) == [2, 6] and sorted(r.v for r in rest.collect()) == [1, 3, 4, 5]
+    else:
+        assert once is None and rest.count() == 6
+    assert sizing.without_repeats(spark.createDataFrame([], "k string, v int"), "k")[1].count() == 0
