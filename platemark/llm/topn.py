@@ -1,15 +1,17 @@
 """Top N rows within every group, by partition lower bounds.
 
-Every partition computes, for each group, the score of its local N-th best
-row. At least N rows reach that score, so it is a lower bound of the group's
-N-th best score overall, and the largest such bound of a group's partitions is
-a bound too. Rows below their own partition's bound never leave it; the
-others are brought together by group, held against the group's maximum bound,
-and what survives is ranked.
-
-What moves is therefore at most N rows (plus nothing else: ties are cut by the
-total order) per group and partition, however many millions a group has, and
-no group is ever collected into a task before it has been pruned.
+Every partition finds, for each group, the score of its local N-th best row. At
+least N rows reach that score, so it is a lower bound of the group's N-th best
+score overall, and so is the largest of the bounds of a group's partitions.
+These maxima are one small aggregate. Joined to the rows before they move, they
+stop all that can't be among the best; what survives is brought together by
+group and ranked.
+
+A bound is the score followed by the numeric columns of the order that come
+next, so rows of equal scores are mostly stopped as well. The bounds that are
+sent to the tasks are at most BOUNDS, of the groups that are large in the most
+partitions: which of them are sent changes what moves, never the result. No
+group is collected, and what Python sees at once is one batch of sorted rows.
 """
 
 from __future__ import annotations
@@ -18,24 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from platemark.operators.sizing import small_or_shuffled
+from platemark.operators.sizing import small_or_shuffled, without_repeats
 
-#: Rows a partition gathers before it prunes; it prunes again when twice the survivors have come.
-PRUNE_AT = 200_000
-
-
-def _pruned(frame: pd.DataFrame, keys: list[str], order: list[tuple[str, bool]], limit: str) -> pd.DataFrame:
-    """The first ``limit`` rows of each group in the total order."""
-    by = keys + [c for c, _ in order]
-    up = [True] * len(keys) + [a for _, a in order]
-    frame = frame.sort_values(by, ascending=up, na_position="last", kind="stable", ignore_index=True)
-    rank = frame.groupby(keys, sort=False, dropna=False).cumcount()
-    return frame[rank.to_numpy() < frame[limit].to_numpy()]
+#: Bounds that are broadcast at most.
+BOUNDS = 50_000
 
 
 def _unused(df: DataFrame, name: str) -> str:
@@ -46,38 +39,64 @@ def _unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def local_survivors(df: DataFrame, keys: list[str], score: str, order: list[tuple[str, bool]], limit: str, bound: str = "local_bound") -> DataFrame:
-    """Rows that may be among the first ``limit`` of their group, with their partition's ``bound``.
+def _worths(df: DataFrame, order: list[tuple[str, bool]]) -> list[Column]:
+    """The leading numeric columns of the order as numbers of which greater ones come first, null last."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for c, up in order:
+        if not isinstance(kinds[c], T.NumericType):
+            break
+        v = F.col(c).cast("double")
+        out.append(F.when(F.isnan(v), float("-inf")).otherwise(-v) if up else v)
+    return out
+
 
-    ``bound`` is the score of the partition's N-th best row of the
-    group, null where the partition has fewer than N rows of it.
+def group_bounds(df: DataFrame, keys: list[str], order: list[tuple[str, bool]], limit: str) -> DataFrame:
+    """(keys, bound, partitions): the largest of the partitions' bounds of each group.
+
+    Groups with fewer rows than their limit in every partition have none.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField(bound, T.DoubleType())])
+    names = [f"w{i}" for i in range(len(_worths(df, order)))]
+    flat = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[w.alias(n) for w, n in zip(_worths(df, order), names, strict=True)], F.col(limit).cast("long").alias("n"))
+    by = [f"k{i}" for i in range(len(keys))]
+    ordered = flat.sortWithinPartitions(*by, *[F.desc(n) for n in names])
 
-    def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: list[pd.DataFrame] = []
-        rows, room = 0, PRUNE_AT
+    def nth(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, seen = None, 0  # the group the batch before ended in, and its rows so far
         for batch in batches:
-            kept.append(batch)
-            rows += len(batch)
-            if rows >= room:
-                kept = [_pruned(pd.concat(kept, ignore_index=True), keys, order, limit)]
-                rows = len(kept[0])
-                room = max(PRUNE_AT, 2 * rows)
-        if not kept:
-            return
-        out = _pruned(pd.concat(kept, ignore_index=True), keys, order, limit)
-        size = out.groupby(keys, sort=False, dropna=False)[score].transform("size")
-        worst = out.groupby(keys, sort=False, dropna=False)[score].transform("min")
-        out = out.assign(**{bound: np.where(size.to_numpy() >= out[limit].to_numpy(), worst, np.nan)})
-        for at in range(0, len(out), 10_000):
-            part = out.iloc[at : at + 10_000].astype(object)
-            yield part.where(part.notna(), None)
-
-    return df.mapInPandas(prune, schema)
-
-
-def top_n_per_group(df: DataFrame, keys: list[str], score: str, order: list[tuple[str, bool]], limit: str, rank: str = "rank_no") -> DataFrame:
+            if not len(batch):
+                continue
+            groups = batch.groupby(by, sort=False, dropna=False)
+            number, place = groups.ngroup().to_numpy(), groups.cumcount().to_numpy()
+            first, final = (tuple(None if pd.isna(v) else v for v in batch[by].iloc[i]) for i in (0, -1))
+            if first == last:
+                place = place + np.where(number == number[0], seen, 0)
+            last, seen = final, int(place[-1]) + 1
+            yield batch.loc[place == batch["n"].to_numpy() - 1, by + names]
+
+    schema = T.StructType([f for f in flat.schema.fields if f.name != "n"])
+    local = ordered.mapInPandas(nth, schema)
+    bounds = local.groupBy(*by).agg(F.max(F.struct(*names)).alias("bound"), F.count(F.lit(1)).alias("partitions"))
+    return bounds.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "bound", "partitions")
+
+
+def within_bounds(df: DataFrame, keys: list[str], order: list[tuple[str, bool]], bounds: DataFrame) -> DataFrame:
+    """The rows of ``df`` that reach their group's bound, before anything moves; groups without a bound are whole."""
+    most = _unused(df, "group_bound")
+    sent = bounds.orderBy(F.desc("partitions"), *keys).limit(BOUNDS).select(*[F.col(k).alias(f"{most}_{i}") for i, k in enumerate(keys)], F.col("bound").alias(most))
+    same = [F.col(k).eqNullSafe(F.col(f"{most}_{i}")) for i, k in enumerate(keys)]
+    near = df.join(F.broadcast(sent), _all(same), "left")
+    return near.filter(F.col(most).isNull() | (F.struct(*[w.alias(f"w{i}") for i, w in enumerate(_worths(df, order))]) >= F.col(most))).select(*df.columns)
+
+
+def _all(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
+
+
+def top_n_per_group(df: DataFrame, keys: list[str], score: str, order: list[tuple[str, bool]], limit: str, rank: str = "rank_no", sure: DataFrame | None = None, known: tuple[str, DataFrame] | None = None) -> DataFrame:
     """The first ``limit`` rows of each group of ``keys``; ``rank`` runs from 1.
 
     ``order`` is the total order as (column, ascending) with ``score`` first
@@ -88,22 +107,25 @@ def top_n_per_group(df: DataFrame, keys: list[str], score: str, order: list[tupl
     them may stand before the other. An empty table gives an empty result;
     further columns pass through untouched, whatever they are called (a
     column named like ``rank`` is replaced).
+
+    ``sure`` may name a part of the rows, cheaper to read than all, that gives
+    the bounds. ``known`` is (key, table): only groups whose key is in the
+    table's column of that name take part; rows meet it where they are ranked,
+    so they move once for both.
     """
     if order[0] != (score, False):
         raise ValueError("the order must begin with the score, descending")
-    df = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & (F.col(limit) >= 1))
-    local = _unused(df, "local_bound")
-    most = _unused(df, "group_bound")
-    near = local_survivors(df, keys, score, order, limit, local)
-    group = W.partitionBy(*keys)
+
+    def taking_part(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & (F.col(limit) >= 1))
+
+    df = taking_part(df)
+    bounds = group_bounds(df if sure is None else taking_part(sure), keys, order, limit)
+    near = within_bounds(df, keys, order, bounds)
+    if known is not None:
+        near = near.join(known[1].select(known[0]), known[0], "left_semi").select(*df.columns)
     wanted = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order]
-    return (
-        near.withColumn(most, F.max(local).over(group))
-        .filter(F.col(most).isNull() | (F.col(score) >= F.col(most)))
-        .withColumn(rank, F.row_number().over(group.orderBy(*wanted)))
-        .filter(F.col(rank) <= F.col(limit))
-        .drop(local, most)
-    )
+    return near.withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*wanted))).filter(F.col(rank) <= F.col(limit))
 
 
 def latest_per_id(df: DataFrame, key: str, recency: str, columns: list[str]) -> DataFrame:
@@ -126,16 +148,26 @@ def run_limits(manifest: DataFrame) -> DataFrame:
 
 
 def best_candidates(candidates: DataFrame, manifest: DataFrame, signs: DataFrame) -> DataFrame:
-    """(run_id, filename, rank_no, candidate_assignment_id) as TESTDATA.md states problem 5."""
+    """(run_id, filename, rank_no, candidate_assignment_id) as TESTDATA.md states problem 5.
+
+    Only ids that are delivered more than once move to be reduced to their
+    latest row; the others give the bounds.
+    """
     g = F.col("geometry_agreement")
     flat = candidates.select(
         "candidate_assignment_id", "run_id", "filename", "reference_position_id", "match_score",
         g["iou"].alias("iou"), g["center_distance"].alias("center_distance"), "ingested_at",
     ).filter(F.col("candidate_assignment_id").isNotNull())
     columns = ["match_score", "iou", "center_distance", "reference_position_id", "run_id", "filename"]
-    latest = latest_per_id(flat, "candidate_assignment_id", "ingested_at", columns).drop("ingested_at")
-    limited = latest.join(small_or_shuffled(run_limits(manifest), 10_000), "run_id")
+    limits = small_or_shuffled(run_limits(manifest), 10_000)
+    once, repeated = without_repeats(flat, "candidate_assignment_id")
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.select("candidate_assignment_id", *columns).join(limits, "run_id")
+
+    once = None if once is None else rows(once)
+    latest = rows(latest_per_id(repeated, "candidate_assignment_id", "ingested_at", columns))
     order = [("match_score", False), ("iou", False), ("center_distance", True), ("reference_position_id", True), ("candidate_assignment_id", True)]
-    best = top_n_per_group(limited, ["run_id", "filename"], "match_score", order, "top_k")
-    known = signs.select("filename").filter(F.col("filename").isNotNull()).distinct()
-    return best.join(known, "filename", "left_semi").select("run_id", "filename", "rank_no", "candidate_assignment_id")
+    whole = latest if once is None else once.unionByName(latest)
+    best = top_n_per_group(whole, ["run_id", "filename"], "match_score", order, "top_k", sure=once, known=("filename", signs.filter(F.col("filename").isNotNull())))
+    return best.select("run_id", "filename", "rank_no", "candidate_assignment_id")

@@ -27,9 +27,9 @@ def found(df):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("prune_at", [5, 200_000])
-def test_equals_brute_force(spark, monkeypatch, seed, prune_at):
-    monkeypatch.setattr(topn, "PRUNE_AT", prune_at)
+@pytest.mark.parametrize("bounds", [1, 50_000])
+def test_equals_brute_force(spark, monkeypatch, seed, bounds):
+    monkeypatch.setattr(topn, "BOUNDS", bounds)
     rng = random.Random(seed)
     tops = {"a": 3, "b": 1, "c": 0, "d": None, None: 2}
     rows = [(g := rng.choice(["a", "a", "a", "b", "c", "d", None]), rng.choice([None, float("nan"), 0.5, 0.5, rng.random(), -1.0]), f"t{i:03d}", tops[g], "x", "y") for i in range(300)]
@@ -50,11 +50,48 @@ def test_only_the_order_may_begin_with_the_score(spark):
 
 def test_a_hot_group_is_pruned_before_it_moves(spark):
     df = spark.range(0, 60_000, numPartitions=6).select(F.lit("hot").alias("g"), (F.col("id") % 1000 / 1000).alias("score"), F.format_string("%06d", "id").alias("tie"), F.lit(4).alias("top"))
-    near = topn.local_survivors(df, ["g"], "score", ORDER, "top")
-    assert near.count() == 24 and near.agg(F.min("local_bound")).first()[0] == pytest.approx(0.999)
+    bounds = topn.group_bounds(df, ["g"], ORDER, "top")
+    assert [(r.g, r.bound.w0, r.partitions) for r in bounds.collect()] == [("hot", pytest.approx(0.999), 6)]
+    assert topn.within_bounds(df, ["g"], ORDER, bounds).count() == 60  # 60,000 before
     assert found(topn.top_n_per_group(df, ["g"], "score", ORDER, "top")) == [("hot", i + 1, f"{999 + 1000 * i:06d}") for i in range(4)]
 
 
+def test_equal_scores_are_pruned_by_the_next_columns(spark):
+    df = spark.range(0, 30_000, numPartitions=6).select(F.lit("hot").alias("g"), F.lit(0.5).alias("score"), F.when(F.col("id") % 7 > 0, F.col("id") / 10).alias("next"), F.lit("t").alias("tie"), F.lit(3).alias("top"))
+    order = [("score", False), ("next", True), ("tie", True)]
+    assert topn.within_bounds(df, ["g"], order, topn.group_bounds(df, ["g"], order, "top")).count() == 3
+    assert sorted(r.next for r in topn.top_n_per_group(df, ["g"], "score", order, "top").collect()) == [0.1, 0.2, 0.3]
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_bounds_do_not_depend_on_batches(spark, batch):
+    rng = random.Random(batch)
+    rows = [(rng.choice(["a", "b", None]), float(rng.randrange(50)), "t", 3) for _ in range(200)]
+    df = spark.createDataFrame(rows, "g string, score double, tie string, top int").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = {r.g: r.bound.w0 for r in topn.group_bounds(df, ["g"], ORDER, "top").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {g: sorted((r[1] for r in rows if r[0] == g), reverse=True)[2] for g in ("a", "b", None)}
+
+
+def test_missing_numbers_come_last(spark):
+    nan = float("nan")
+    rows = [("a", 1.0, v, str(i), 2) for i, v in enumerate([None, nan, 5.0, None, nan, float("inf")])]
+    df = spark.createDataFrame(rows, "g string, score double, d double, tie string, top int").repartition(3)
+    for up, expected in ((True, ["2", "5"]), (False, ["1", "4"])):
+        got = topn.top_n_per_group(df, ["g"], "score", [("score", False), ("d", up), ("tie", True)], "top")
+        assert [r.tie for r in got.orderBy("rank_no").collect()] == expected
+
+
+def test_only_known_groups(spark):
+    df = make(spark, [("a", 1.0, "t", 1, "", ""), ("b", 1.0, "t", 1, "", "")])
+    known = spark.createDataFrame([("b", 1), ("b", 2)], "g string, score int")
+    assert found(topn.top_n_per_group(df, ["g"], "score", ORDER, "top", known=("g", known))) == [("b", 1, "t")]
+
+
 def test_later_delivery_replaces_the_score(spark):
     g = "named_struct('iou', 0.5D, 'center_distance', 0.1D)"
     rows = spark.sql(f"""SELECT id AS candidate_assignment_id, 'r' AS run_id, 'f' AS filename, ref AS reference_position_id, score AS match_score, {g} AS geometry_agreement, CAST(at AS timestamp) AS ingested_at FROM VALUES
