@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from platemark.llm import canonical, encode, leak, split, survivors, topn
 from platemark.sources.tables import table
@@ -68,6 +69,29 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_pieces(spark, folder).filter("piece_no = 0").select("doc_id")
 
 
+def p8_cuts(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each piece ends, the depth of the valley there and its rank among those of the window."""
+    return p8_pieces(spark, folder).select("doc_id", "piece_no", "end_char", "cut", F.round("depth", 6).alias("depth"), "depth_rank", "n_boundaries")
+
+
+def p8_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """One row: how many pieces break a promise of the splitting; all are 0."""
+    order = W.partitionBy("doc_id").orderBy("piece_no")
+    pieces = p8_pieces(spark, folder).join(table(spark, folder, "documents").select("doc_id", "n_chars"), "doc_id")
+    pieces = pieces.withColumns({"before": F.lag("end_char").over(order), "after": F.lead("start_char").over(order)})
+    natural = F.col("cut").isin("paragraph", "line", "sentence")
+    promises = {
+        "n_over_limit": F.col("n_tokens") > split.LIMIT,
+        "n_gaps": F.coalesce(F.col("start_char") >= F.col("before"), F.col("start_char") != 0),
+        "n_unfinished": F.col("after").isNull() & (F.col("end_char") != F.col("n_chars")),
+        "n_overlap_wrong": F.col("before").isNotNull() & ~F.col("n_shared").between(split.OVERLAP, split.OVERLAP + 3),
+        "n_text_wrong": F.length("text") != F.col("end_char") - F.col("start_char"),
+        "n_not_deepest": F.when(natural, F.col("depth_rank") != 1).otherwise(F.col("depth_rank").isNotNull()),
+    }
+    return pieces.agg(*[F.coalesce(F.sum(F.coalesce(p, F.lit(True)).cast("bigint")), F.lit(0)).alias(n) for n, p in promises.items()])
+
+
+P8_BROKEN_SQL = "SELECT " + ", ".join(f"CAST(0 AS BIGINT) AS {n}" for n in ("n_over_limit", "n_gaps", "n_unfinished", "n_overlap_wrong", "n_text_wrong", "n_not_deepest"))
 P1_BASE = r"""
 WITH named AS (
   SELECT mapping_id, code, description, label_source, updated_at,
@@ -126,9 +150,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": p5_found,
         "p6_ids": p6_ids,
         "p7_found": p7_found, "p7_passages": p7_passages, "p7_items": p7_items,
-        "p8_found": p8_found, "p8_pieces": p8_pieces,
+        "p8_found": p8_found, "p8_pieces": p8_pieces, "p8_cuts": p8_cuts, "p8_broken": p8_broken,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p1_records": P1_RECORDS_SQL, "p5_found": P5_SQL}
+    return {"p1_found": P1_SQL, "p1_records": P1_RECORDS_SQL, "p5_found": P5_SQL, "p8_broken": P8_BROKEN_SQL}

@@ -4,7 +4,8 @@ A text of more tokens than the limit is cut into consecutive pieces. Where it
 can be cut is where a paragraph, a line, a quotation or a sentence ends; how
 well, is told by sliding blocks: the similarity of the words before and after
 a boundary, whose valleys mark changes of topic. In each window of admissible
-sizes the deepest valley is taken (stronger boundaries adding to its depth).
+sizes the deepest valley is taken; how strong a boundary is (paragraph, line,
+sentence) and at last how far it lies only decide between equal depths.
 Where a window has none of these the last end of a clause in it is taken, else
 the last word boundary, and inside one endless word the last whole character. The next piece
 begins the overlap's tokens before the cut.
@@ -17,13 +18,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from platemark.llm import vocab
 
@@ -31,9 +33,11 @@ from platemark.llm import vocab
 LIMIT, OVERLAP, LEAST = 512, 48, 256
 #: Words of a block on either side of a boundary.
 BLOCK = 40
-#: Strength of boundaries, added to a valley's depth (fixed values).
-PARAGRAPH, LINE, SENTENCE = 0.5, 0.25, 0.0
-PIECES = "piece_no int, start_char bigint, end_char bigint, n_tokens int, cut string, text string"
+#: Boundaries whose blocks are compared at once.
+AT_ONCE = 256
+#: Natural boundaries, weakest first.
+NATURAL = ("sentence", "line", "paragraph")
+PIECES = "piece_no int, start_char bigint, end_char bigint, n_tokens int, n_shared int, cut string, depth double, depth_rank int, n_boundaries int, text string"
 
 #: What ends a paragraph, a line and a sentence; a cut comes after the match.
 _ENDS = re.compile(
@@ -48,115 +52,166 @@ _WORD = re.compile(r"[^\W\d_]+")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 
 
-def _terms(text: str) -> list[tuple[int, str]]:
-    """(place, term) of the words that carry meaning: four letters or more; of scripts without spaces, pairs of characters."""
-    out = []
+def _terms(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places and numbers of the words that carry meaning: four letters or more; of scripts without spaces, pairs of characters."""
+    places: list[int] = []
+    numbers: list[int] = []
+    known: dict[str, int] = {}  # a word as it stands
+    folded: dict[str, int] = {}
+    wide = not text.isascii() and _WIDE.search(text) is not None
     for m in _WORD.finditer(text):
         w = m[0]
-        if _WIDE.search(w):
-            out += [(m.start() + i, w[i : i + 2]) for i in range(max(1, len(w) - 1))]
+        if wide and _WIDE.search(w):
+            for i in range(max(1, len(w) - 1)):
+                places.append(m.start() + i)
+                numbers.append(folded.setdefault(w[i : i + 2], len(folded)))
         elif len(w) > 3:
-            out.append((m.start(), unicodedata.normalize("NFKC", w).casefold()))
-    return out
+            n = known.get(w)
+            if n is None:
+                n = known[w] = folded.setdefault(unicodedata.normalize("NFKC", w).casefold(), len(folded))
+            places.append(m.start())
+            numbers.append(n)
+    return np.array(places, np.int64), np.array(numbers, np.int32)
 
 
-def cohesion_depths(text: str, places: list[int]) -> np.ndarray:
-    """Depth of the valley of lexical cohesion at each place: how far similarity rises on both sides of it."""
-    terms = _terms(text)
-    starts = [p for p, _ in terms]
-    at = np.searchsorted(starts, places).tolist()
-    words = [t for _, t in terms]
+def cohesion_depths(text: str, places: np.ndarray) -> np.ndarray:
+    """Depth of the valley of lexical cohesion at each place: how far similarity rises on both sides of it.
+
+    Similarity is the cosine of the words of the blocks before and after. The
+    products of counts are numbers of equal pairs, which are counted for many
+    boundaries at once.
+    """
+    starts, words = _terms(text)
+    # Beyond both ends there are numbers no word has, different in either block.
+    padded = np.concatenate((np.full(BLOCK, -1, np.int32), words, np.full(BLOCK, -2, np.int32)))
+    blocks = np.lib.stride_tricks.sliding_window_view(padded, BLOCK)
+    at = np.searchsorted(starts, places)
     scores = np.zeros(len(places))
-    for n, i in enumerate(at):
-        left, right = Counter(words[max(0, i - BLOCK) : i]), Counter(words[i : i + BLOCK])
-        norm = sum(v * v for v in left.values()) * sum(v * v for v in right.values())
-        scores[n] = sum(v * right[t] for t, v in left.items() if t in right) / norm**0.5 if norm else 0.0
+    for first in range(0, len(places), AT_ONCE):
+        i = at[first : first + AT_ONCE]
+        left, right = blocks[i], blocks[i + BLOCK]
+        pairs = lambda a, b: (a[:, :, None] == b[:, None, :]).sum((1, 2), dtype=np.int64)
+        of_left = pairs(left, left) - np.maximum(BLOCK - i, 0) ** 2
+        of_right = pairs(right, right) - np.maximum(BLOCK - (len(words) - i), 0) ** 2
+        norm = np.sqrt((of_left * of_right).astype(float))
+        scores[first : first + AT_ONCE] = np.divide(pairs(left, right), norm, out=np.zeros(len(i)), where=norm > 0)
     # The peak reached by climbing left (right) from a place is the neighbour's peak if the neighbour isn't lower.
-    left_peak, right_peak = scores.copy(), scores.copy()
-    for n in range(1, len(places)):
-        if scores[n - 1] >= scores[n]:
+    level = scores.tolist()
+    left_peak, right_peak = level[:], level[:]
+    for n in range(1, len(level)):
+        if level[n - 1] >= level[n]:
             left_peak[n] = left_peak[n - 1]
-    for n in range(len(places) - 2, -1, -1):
-        if scores[n + 1] >= scores[n]:
+    for n in range(len(level) - 2, -1, -1):
+        if level[n + 1] >= level[n]:
             right_peak[n] = right_peak[n + 1]
-    return left_peak + right_peak - 2 * scores
+    return np.array(left_peak) + np.array(right_peak) - 2 * scores
+
+
+class Classes:
+    """Which characters are blank, letters or digits, or end a clause; each code point is looked up once."""
+
+    BLANK, WORD, CLAUSE, KNOWN = 1, 2, 4, 8
 
+    def __init__(self) -> None:
+        self.of = np.zeros(0x110000, np.uint8)
 
-def split_text(text: str, encode: Callable[[str], list[int]], sizes: np.ndarray, limit: int = LIMIT, overlap: int = OVERLAP, least: int = LEAST) -> list[tuple[int, int, int, int, str, str]]:
-    """Pieces (piece_no, start_char, end_char, n_tokens, cut, text) of a text over the limit; none of one within it.
+    def __call__(self, text: str) -> np.ndarray:
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        found = self.of[codes]
+        if not found.all():
+            for code in np.unique(codes[found == 0]).tolist():
+                c = chr(code)
+                self.of[code] = self.KNOWN | c.isspace() * self.BLANK | c.isalnum() * self.WORD | (c in CLAUSE) * self.CLAUSE
+            found = self.of[codes]
+        return found
+
+
+_classes = Classes()
+
+
+def split_text(text: str, encode: Callable[[str], list[int]], sizes: np.ndarray, limit: int = LIMIT, overlap: int = OVERLAP, least: int = LEAST) -> list[tuple]:
+    """Pieces (in the columns of PIECES) of a text over the limit; none of one within it.
 
     ``sizes`` are the bytes of each token id. ``cut`` tells at what the piece
-    ends: paragraph, line, sentence, clause, word, character or end.
+    ends: paragraph, line, sentence, clause, word, character or end. At the
+    first three ``depth`` is the valley's, ``depth_rank`` its place among the
+    ``n_boundaries`` valleys of the window (1 the deepest, equal ones alike).
     """
     ids = encode(text)
     if len(ids) <= limit:
         return []
     raw = np.frombuffer(text.encode(), np.uint8)
+    begins = (raw & 0xC0) != 0x80  # bytes that begin a character
     edge = np.concatenate(([0], np.cumsum(sizes[np.array(ids)])))  # byte at which token i begins
-    chars = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))  # characters begun before a byte
-    whole = np.concatenate(((raw & 0xC0) != 0x80, [True]))[edge]  # tokens that begin with a character
-    edge_char = chars[edge]
-    blank = np.array([c.isspace() for c in text] + [True])
+    edge_char = np.concatenate(([0], np.cumsum(begins)))[edge]  # characters begun before it
+    whole = np.append(begins, True)[edge]  # tokens that begin with a character
+    classes = _classes(text)
+    # Up to any character, how many weren't blank: a stretch is blank if that doesn't change.
+    solid = np.concatenate(([0], np.cumsum((classes & Classes.BLANK) == 0)))
     n = len(ids)
 
     # Natural boundaries, as token edges: right at the cut, or with nothing but white space between.
-    kinds: dict[int, tuple[float, str]] = {}
-    for m in _ENDS.finditer(text):
-        kind = m.lastgroup
-        t = int(np.searchsorted(edge_char, m.end()))
-        if not (t < n and whole[t] and edge_char[t] >= m.end() and blank[m.end() : edge_char[t]].all()):
-            t -= 1  # the edge before: white space that belongs to the next word
-            if not (0 < t < n and whole[t] and (kind != "sentence") and blank[edge_char[t] : m.end()].all()):
-                continue
-        strength = {"paragraph": PARAGRAPH, "line": LINE, "sentence": SENTENCE}[kind]
-        if 0 < t < n and strength >= kinds.get(t, (-1.0, ""))[0]:
-            kinds[t] = (strength, kind)
-    natural = np.array(sorted(kinds), np.int64)
-    worth = cohesion_depths(text, edge_char[natural].tolist()) + np.array([kinds[t][0] for t in natural.tolist()]) if len(natural) else np.zeros(0)
-    inner = np.array([c.isalnum() for c in text] + [False])
-    clause = np.array([c in CLAUSE for c in text] + [False])
-    before, here = np.maximum(edge_char - 1, 0), np.minimum(edge_char, len(text))
-    starts_word = whole & ~(inner[before] & inner[here])
-    starts_clause = whole & clause[before] & ~clause[here]
-
-    def cut_before(start: int, most: int) -> tuple[int, str]:
+    found = [(m.end(), NATURAL.index(m.lastgroup)) for m in _ENDS.finditer(text)]
+    natural, strength = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if found:
+        ends, kinds = np.array(found, np.int64).T
+        after = np.searchsorted(edge_char, ends)
+        inside = np.minimum(after, n)
+        good = (after < n) & whole[inside] & (solid[edge_char[inside]] == solid[ends])
+        before = np.maximum(after - 1, 0)  # the edge before: white space that belongs to the next word
+        other = ~good & (before > 0) & whole[before] & (kinds > 0) & (solid[edge_char[before]] == solid[ends])
+        edges = np.where(good, after, before)[good | other]
+        kinds = kinds[good | other]
+        by = np.lexsort((-kinds, edges))
+        natural, first = np.unique(edges[by], return_index=True)
+        strength = kinds[by][first]
+        natural, strength = natural[natural > 0], strength[natural > 0]
+    depths = cohesion_depths(text, edge_char[natural])
+    inner = np.append((classes & Classes.WORD) > 0, False)
+    clause = np.append((classes & Classes.CLAUSE) > 0, False)
+    last, here = np.maximum(edge_char - 1, 0), np.minimum(edge_char, len(text))
+    starts_word = whole & ~(inner[last] & inner[here])
+    starts_clause = whole & clause[last] & ~clause[here]
+
+    def cut_before(start: int, most: int) -> tuple[int, str, float | None, int | None, int | None]:
         for low in (start + least, start + overlap + 1):
             a, b = np.searchsorted(natural, low), np.searchsorted(natural, most, "right")
             if a < b:
-                best = int(np.flatnonzero(worth[a:b] == worth[a:b].max())[-1] + a)
-                return int(natural[best]), kinds[int(natural[best])][1]
+                best = a + np.lexsort((natural[a:b], strength[a:b], depths[a:b]))[-1]
+                return int(natural[best]), NATURAL[strength[best]], float(depths[best]), int((depths[a:b] > depths[best]).sum()) + 1, int(b - a)
         for good, kind, low in ((starts_clause, "clause", start + least), (starts_word, "word", start + overlap + 1), (whole, "character", start + overlap + 1)):
             there = np.flatnonzero(good[low : most + 1])
             if len(there):
-                return int(there[-1]) + low, kind
-        return most, "character"
+                return int(there[-1]) + low, kind, None, None, None
+        return most, "character", None, None, None
 
-    pieces, start = [], 0
+    pieces, start, shared = [], 0, 0
     while True:
         most = min(start + limit, n)
         while True:
-            stop, kind = (n, "end") if most == n else cut_before(start, most)
+            stop, *how = (n, "end", None, None, None) if most == n else cut_before(start, most)
             piece = text[edge_char[start] : edge_char[stop]]
             tokens = len(encode(piece))
             if tokens <= limit:
                 break
             most = min(most, stop) - max(1, tokens - limit)  # cut elsewhere, its encoding is longer
-        pieces.append((len(pieces), int(edge_char[start]), int(edge_char[stop]), tokens, kind, piece))
+        pieces.append((len(pieces), int(edge_char[start]), int(edge_char[stop]), tokens, shared, *how, piece))
         if stop == n:
             return pieces
         follow = stop - overlap
         while follow > start and not whole[follow]:
             follow -= 1
-        start = follow if follow > start else stop
+        start, shared = (follow, stop - follow) if follow > start else (stop, 0)
 
 
 def split_oversized(df: DataFrame, key: str, text: str, vocabulary: str | None = None, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """(``key``, piece_no, start_char, end_char, n_tokens, cut, text) of every text of more than ``limit`` tokens.
+    """(``key``, piece_no, start_char, end_char, n_tokens, n_shared, cut, depth, depth_rank, n_boundaries, text) of every text of more than ``limit`` tokens.
 
     The pieces cover the text; ``text`` is its characters start_char to
     end_char. ``n_tokens`` is the length of the piece's own encoding and never
     over the limit. Consecutive pieces share ``overlap`` tokens of the text's
-    encoding, or as many more as it takes not to cut a character. Null, empty,
+    encoding, or as many more as it takes not to cut a character; ``n_shared``
+    tells how many a piece shares with the one before. Null, empty,
     blank and small texts give no row (white space counts as tokens like
     anything else); repeated rows give their pieces each; texts of any length
     are split whole. An empty table gives an empty result; other columns are
@@ -165,24 +220,28 @@ def split_oversized(df: DataFrame, key: str, text: str, vocabulary: str | None =
     ranks = vocab.load_ranks(vocabulary or vocab.vocabulary_path())
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
         encode = tiktoken.Encoding("byte_bpe", pat_str=vocab.PATTERN, mergeable_ranks=shared.value, special_tokens={}).encode_ordinary
         sizes = np.zeros(max(shared.value.values()) + 1, np.int64)
         for token, rank in shared.value.items():
             sizes[rank] = len(token)
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
         for batch in batches:
             rows: list[tuple] = []
-            for i, t in zip(batch["id"], batch["t"], strict=True):
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows += [(i, *piece) for piece in split_text(t, encode, sizes, limit, overlap, min(LEAST, limit // 2))]
                 if len(rows) > 2000:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield table(rows)
                     rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield table(rows)
 
     names = ["id", *[c.split()[0] for c in PIECES.split(", ")]]
     kind = dict(df.dtypes)[key]
     large = df.select(F.col(key).alias("id"), F.col(text).alias("t")).filter(F.octet_length("t") > limit)
-    return large.mapInPandas(run, f"id {kind}, {PIECES}").toDF(key, *names[1:])
+    schema = to_arrow_schema(T._parse_datatype_string(f"id {kind}, {PIECES}"))
+    return large.mapInArrow(run, f"id {kind}, {PIECES}").toDF(key, *names[1:])

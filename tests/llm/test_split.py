@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -27,36 +30,73 @@ def test_pieces(tools, n):
     assert bool(pieces) == (len(encode(text)) > split.LIMIT)
     if not pieces:
         return
-    assert pieces[0][1] == 0 and pieces[-1][2] == len(text) and pieces[-1][4] == "end"
+    assert pieces[0][1] == 0 and pieces[-1][2] == len(text) and pieces[-1][5] == "end"
     ids, at = encode(text), np.concatenate(([0], np.cumsum(sizes[np.array(encode(text))])))
-    for no, start, end, tokens, _, piece in pieces:
+    for _, start, end, tokens, *_, piece in pieces:
         assert piece == text[start:end] and tokens == len(encode(piece)) <= split.LIMIT
     assert [p[0] for p in pieces] == list(range(len(pieces)))
     for a, b in zip(pieces, pieces[1:], strict=False):
         assert a[1] < b[1] < a[2] < b[2]
         first, last = np.searchsorted(at, [len(text[: b[1]].encode()), len(text[: a[2]].encode())])
-        assert split.OVERLAP <= last - first <= split.OVERLAP + 4
+        assert split.OVERLAP <= last - first == b[4] <= split.OVERLAP + 4
     assert len(ids) > split.LIMIT
 
 
 def test_natural_cuts(tools):
     text = (SENTENCE * 6 + "\n\n") * 20
-    assert {p[4] for p in split.split_text(text, *tools)[:-1]} == {"paragraph"}
-    assert {p[4] for p in split.split_text(SENTENCE * 200, *tools)[:-1]} == {"sentence"}
-    assert {p[4] for p in split.split_text("word " * 4000, *tools)[:-1]} == {"word"}
-    assert {p[4] for p in split.split_text("x" * 20_000, *tools)[:-1]} == {"character"}
-    assert {p[4] for p in split.split_text("never_ending|line_" * 2000, *tools)[:-1]} == {"clause"}
-    assert {p[4] for p in split.split_text("never_ending_line_" * 2000, *tools)[:-1]} == {"word"}
+    assert {p[5] for p in split.split_text(text, *tools)[:-1]} == {"paragraph"}
+    assert {p[5] for p in split.split_text(SENTENCE * 200, *tools)[:-1]} == {"sentence"}
+    assert {p[5] for p in split.split_text("word " * 4000, *tools)[:-1]} == {"word"}
+    assert {p[5] for p in split.split_text("x" * 20_000, *tools)[:-1]} == {"character"}
+    assert {p[5] for p in split.split_text("never_ending|line_" * 2000, *tools)[:-1]} == {"clause"}
+    assert {p[5] for p in split.split_text("never_ending_line_" * 2000, *tools)[:-1]} == {"word"}
 
 
 def test_the_deepest_valley_is_taken(tools):
     boats, bread = "Sailors repair wooden boats beside the harbour. ", "Bakers knead fresh dough inside warm kitchens. "
     text = boats * 42 + bread * 60
-    assert split.split_text(text, *tools)[0][5].strip() == (boats * 42).strip()
+    assert split.split_text(text, *tools)[0][-1].strip() == (boats * 42).strip()
+
+
+def plain_depths(text, places):
+    """Depths by counting words, one boundary after the other."""
+    starts, words = split._terms(text)
+    scores = []
+    for p in places:
+        i = int(np.searchsorted(starts, p))
+        left, right = Counter(words[max(0, i - split.BLOCK) : i].tolist()), Counter(words[i : i + split.BLOCK].tolist())
+        norm = sum(v * v for v in left.values()) * sum(v * v for v in right.values())
+        scores.append(sum(v * right[t] for t, v in left.items()) / norm**0.5 if norm else 0.0)
+    out = []
+    for n, s in enumerate(scores):
+        a = b = n
+        while a > 0 and scores[a - 1] >= scores[a]:
+            a -= 1
+        while b < len(scores) - 1 and scores[b + 1] >= scores[b]:
+            b += 1
+        out.append(scores[a] + scores[b] - 2 * s)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_depths_equal_plain_counting(seed):
+    rng = random.Random(seed)
+    text = " ".join(rng.choice(["alpha", "beta", "gamma", "delta.", "of", "Straße", "文字列です", "12"]) for _ in range(rng.choice([0, 3, 60, 900])))
+    places = np.array(sorted(rng.sample(range(len(text) + 1), min(len(text), 300))), np.int64)
+    assert split.cohesion_depths(text, places) == pytest.approx(plain_depths(text, places))
+
+
+def test_a_weaker_boundary_at_a_deeper_valley_wins(tools):
+    """A sentence end between two topics beats the paragraph end within one; of equal depths the stronger is taken."""
+    boats, bread = "Sailors repair wooden boats beside the harbour. ", "Bakers knead fresh dough inside warm kitchens. "
+    text = boats * 36 + "\n\n" + boats * 5 + bread * 60
+    first = split.split_text(text, *tools)[0]
+    assert first[5] == "sentence" and first[7] == 1 and first[-1].strip().endswith(boats.strip()) and first[-1].count("Sailors") == 41
+    assert split.split_text((SENTENCE * 30 + "\n\n") * 3, *tools)[0][5] == "paragraph"
 
 
 def test_depths():
-    assert split.cohesion_depths("", []).tolist() == []
+    assert split.cohesion_depths("", np.zeros(0, np.int64)).tolist() == []
     text = "alpha beta gamma. " * 9 + "delta epsilon zeta. " * 9
     places = [i + 1 for i, c in enumerate(text) if c == "."]
     assert int(np.argmax(split.cohesion_depths(text, places))) == 8
