@@ -28,7 +28,7 @@ from pyspark.sql.window import Window as W
 from platemark.operators.sizing import small_or_shuffled, without_repeats
 
 #: Bounds that are broadcast at most.
-BOUNDS = 50_000
+BOUNDS = 20_000
 
 
 def _unused(df: DataFrame, name: str) -> str:
@@ -81,19 +81,15 @@ def group_bounds(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
 
 
 def within_bounds(df: DataFrame, keys: list[str], order: list[tuple[str, bool]], bounds: DataFrame) -> DataFrame:
-    """The rows of ``df`` that reach their group's bound, before anything moves; groups without a bound are whole."""
-    most = _unused(df, "group_bound")
-    sent = bounds.orderBy(F.desc("partitions"), *keys).limit(BOUNDS).select(*[F.col(k).alias(f"{most}_{i}") for i, k in enumerate(keys)], F.col("bound").alias(most))
-    same = [F.col(k).eqNullSafe(F.col(f"{most}_{i}")) for i, k in enumerate(keys)]
-    near = df.join(F.broadcast(sent), _all(same), "left")
-    return near.filter(F.col(most).isNull() | (F.struct(*[w.alias(f"w{i}") for i, w in enumerate(_worths(df, order))]) >= F.col(most))).select(*df.columns)
-
+    """The rows of ``df`` that reach their group's bound, before anything moves; groups without a bound are whole.
 
-def _all(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+    Groups are known by a hash. Of groups that share one the smallest bound
+    counts, which holds for all of them.
+    """
+    most, code = _unused(df, "group_bound"), _unused(df, "group_hash")
+    sent = bounds.orderBy(F.desc("partitions"), *keys).limit(BOUNDS).groupBy(F.xxhash64(*keys).alias(code)).agg(F.min("bound").alias(most))
+    near = df.withColumn(code, F.xxhash64(*keys)).join(F.broadcast(sent), code, "left")
+    return near.filter(F.col(most).isNull() | (F.struct(*[w.alias(f"w{i}") for i, w in enumerate(_worths(df, order))]) >= F.col(most))).select(*df.columns)
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], score: str, order: list[tuple[str, bool]], limit: str, rank: str = "rank_no", sure: DataFrame | None = None, known: tuple[str, DataFrame] | None = None) -> DataFrame:

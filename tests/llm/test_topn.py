@@ -27,7 +27,7 @@ def found(df):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("bounds", [1, 50_000])
+@pytest.mark.parametrize("bounds", [1, 20_000])
 def test_equals_brute_force(spark, monkeypatch, seed, bounds):
     monkeypatch.setattr(topn, "BOUNDS", bounds)
     rng = random.Random(seed)
