@@ -37,6 +37,7 @@ BLOCK = 40
 AT_ONCE = 256
 #: Natural boundaries, weakest first.
 NATURAL = ("sentence", "line", "paragraph")
+_KIND = {kind: i for i, kind in enumerate(NATURAL)}
 PIECES = "piece_no int, start_char bigint, end_char bigint, n_tokens int, n_shared int, cut string, depth double, depth_rank int, n_boundaries int, text string"
 
 #: What ends a paragraph, a line and a sentence; a cut comes after the match.
@@ -46,32 +47,51 @@ _ENDS = re.compile(
     r"|(?P<sentence>(?:[.!?…]+|:\))[\"'”’»)\]]*(?=\s)|[。！？]+[」』）]*)",
     re.IGNORECASE,
 )
+#: Characters one of those can begin with: only there they are tried.
+_BEGINS = re.compile(r"[\r\n<\[.!?…:。！？]")
 #: What ends a clause (fixed values): tried where a window has no stronger boundary.
 CLAUSE = frozenset(",;:|\u3001\uff0c\uff1b\uff1a")
 _WORD = re.compile(r"[^\W\d_]+")
+_LONG_WORD = re.compile(r"[^\W\d_]{4,}")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿가-힯]")
 
 
-def _terms(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Places and numbers of the words that carry meaning: four letters or more; of scripts without spaces, pairs of characters."""
-    places: list[int] = []
-    numbers: list[int] = []
-    known: dict[str, int] = {}  # a word as it stands
-    folded: dict[str, int] = {}
+def _boundaries(text: str) -> list[tuple[int, int]]:
+    """(place, kind) of all natural boundaries, as ``_ENDS`` finds them one after the other."""
+    found, at = [], 0
+    while begin := _BEGINS.search(text, at):
+        m = _ENDS.match(text, begin.start())
+        if m:
+            found.append((m.end(), _KIND[m.lastgroup]))
+        at = m.end() if m else begin.end()
+    return found
+
+
+def _terms(text: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words that carry meaning, and how many of them stand before each place.
+
+    Words have four letters or more; of scripts without spaces pairs of
+    characters are taken. No word goes on over a place.
+    """
     wide = not text.isascii() and _WIDE.search(text) is not None
-    for m in _WORD.finditer(text):
-        w = m[0]
-        if wide and _WIDE.search(w):
-            for i in range(max(1, len(w) - 1)):
-                places.append(m.start() + i)
-                numbers.append(folded.setdefault(w[i : i + 2], len(folded)))
-        elif len(w) > 3:
-            n = known.get(w)
-            if n is None:
-                n = known[w] = folded.setdefault(unicodedata.normalize("NFKC", w).casefold(), len(folded))
-            places.append(m.start())
-            numbers.append(n)
-    return np.array(places, np.int64), np.array(numbers, np.int32)
+    words: list[str] = []
+    before = np.zeros(len(places), np.int64)
+    start = 0
+    for n, place in enumerate([*places.tolist(), len(text)]):
+        if wide:
+            for w in _WORD.findall(text, start, place):
+                if _WIDE.search(w):
+                    words += [w[i : i + 2] for i in range(max(1, len(w) - 1))]
+                elif len(w) > 3:
+                    words.append(w)
+        else:
+            words += _LONG_WORD.findall(text, start, place)
+        start = place
+        if n < len(places):
+            before[n] = len(words)
+    folded: dict[str, int] = {}
+    number = {w: folded.setdefault(unicodedata.normalize("NFKC", w).casefold(), len(folded)) for w in dict.fromkeys(words)}
+    return np.fromiter(map(number.__getitem__, words), np.int32, len(words)), before
 
 
 def cohesion_depths(text: str, places: np.ndarray) -> np.ndarray:
@@ -81,11 +101,10 @@ def cohesion_depths(text: str, places: np.ndarray) -> np.ndarray:
     products of counts are numbers of equal pairs, which are counted for many
     boundaries at once.
     """
-    starts, words = _terms(text)
+    words, at = _terms(text, places)
     # Beyond both ends there are numbers no word has, different in either block.
     padded = np.concatenate((np.full(BLOCK, -1, np.int32), words, np.full(BLOCK, -2, np.int32)))
     blocks = np.lib.stride_tricks.sliding_window_view(padded, BLOCK)
-    at = np.searchsorted(starts, places)
     scores = np.zeros(len(places))
     for first in range(0, len(places), AT_ONCE):
         i = at[first : first + AT_ONCE]
@@ -151,7 +170,7 @@ def split_text(text: str, encode: Callable[[str], list[int]], sizes: np.ndarray,
     n = len(ids)
 
     # Natural boundaries, as token edges: right at the cut, or with nothing but white space between.
-    found = [(m.end(), NATURAL.index(m.lastgroup)) for m in _ENDS.finditer(text)]
+    found = _boundaries(text)
     natural, strength = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if found:
         ends, kinds = np.array(found, np.int64).T

@@ -60,10 +60,9 @@ def test_the_deepest_valley_is_taken(tools):
 
 def plain_depths(text, places):
     """Depths by counting words, one boundary after the other."""
-    starts, words = split._terms(text)
+    words, before = split._terms(text, places)
     scores = []
-    for p in places:
-        i = int(np.searchsorted(starts, p))
+    for i in before.tolist():
         left, right = Counter(words[max(0, i - split.BLOCK) : i].tolist()), Counter(words[i : i + split.BLOCK].tolist())
         norm = sum(v * v for v in left.values()) * sum(v * v for v in right.values())
         scores.append(sum(v * right[t] for t, v in left.items()) / norm**0.5 if norm else 0.0)
@@ -95,11 +94,18 @@ def test_a_weaker_boundary_at_a_deeper_valley_wins(tools):
     assert split.split_text((SENTENCE * 30 + "\n\n") * 3, *tools)[0][5] == "paragraph"
 
 
+def test_boundaries_are_those_of_the_pattern():
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", " ", "\n", "\r\n", "\t", ".", "!", "...", ":)", ":", "。", "」", "<br>", "<BR />", "</P>", "</li>", "[/quote]", "[/", "<hr>", '"', ")", "…"]) for _ in range(60))
+        assert split._boundaries(text) == [(m.end(), split._KIND[m.lastgroup]) for m in split._ENDS.finditer(text)]
+
+
 def test_depths():
     assert split.cohesion_depths("", np.zeros(0, np.int64)).tolist() == []
     text = "alpha beta gamma. " * 9 + "delta epsilon zeta. " * 9
     places = [i + 1 for i, c in enumerate(text) if c == "."]
-    assert int(np.argmax(split.cohesion_depths(text, places))) == 8
+    assert int(np.argmax(split.cohesion_depths(text, np.array(places)))) == 8
 
 
 def test_limits(tools):
