@@ -1,30 +1,34 @@
 """Best representative of each duplicate group, by skyline selection.
 
-Each record has a completeness (which of the wanted fields it offers), a
-trust and a recency. A record dominates another if it offers every field the
-other offers, is at least as trusted and as recent, and is strictly better in
-trust or recency. (Being more complete alone doesn't dominate: between records
-of equal trust and time the smaller id decides, field by field.) Layer 1 are
-the records nobody dominates, layer k+1 those dominated by layer k only.
-Every field is taken from the first layer that offers it, there by the
-lexicographic policy: trust, then recency, then the smallest id.
+Each record has a completeness (which of the wanted fields it offers, or how
+many), a trust, a recency and an id. A record dominates another if it is at
+least as complete, as trusted and as recent, has no greater id, and is better
+in one of the four. Layer 1 are the records nobody dominates, layer k+1 those
+that only records of the layers up to k dominate. Every field is taken from
+the first layer that offers it, and there from the first record by the
+lexicographic policy; so fields the skyline lacks are filled from the layers
+below it, one after the other.
 
 A group may hold a third of all rows, so nothing collects a group. Of records
-with the same fields offered and the same trust all but the latest are
-dominated; one mergeable aggregation, combined before the shuffle, keeps one
-of them. What a group brings to the skyline is at most
-(2 ** fields) x (distinct trust levels) records.
+that offer the same fields and are equally trusted only the policy's first is
+a candidate; one mergeable aggregation, combined before the shuffle, finds it.
+What a group brings to the skyline is at most (2 ** fields) x (distinct trust
+levels) records.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platemark.operators.sizing import small_or_shuffled
 
-#: Stand-ins for "not known" (fixed values), compared without case and outer white space.
-STAND_INS = ["unknown", "unk", "tbd", "tba", "n/a", "n.a.", "na", "none", "null", "nan", "nil", "undefined", "unspecified", "missing", "not known", "not available", "no description", "no code", "no value", "no name", "to be determined", "to be defined", "unbekannt"]
+#: Stand-ins for "not known", compared without case and outer white space (a parameter of ``best_labels``).
+STAND_INS = ("unknown", "tbd", "n/a", "none", "no description")
+#: What records are compared by, in the order of the default policy.
+POLICY = ("trust", "recency", "id", "completeness")
 #: UNKNOWN with a running number.
 NUMBERED_UNKNOWN = r"^unknown[ _-]*[0-9]+$"
 #: Page, kind word, index and letter of a crop's filename, after the last slash.
@@ -32,10 +36,10 @@ CROP = r"^\s*page[\s_-]*0*([0-9]+)[\s_-]+([a-z]+)[\s_-]+0*([0-9]+)([a-z]?)(?:[^a
 LOWEST_TRUST = -(2**31)
 
 
-def says_something(value: Column) -> Column:
+def says_something(value: Column, stand_ins: Sequence[str] = STAND_INS) -> Column:
     """False for null, blank, letterless and digitless values and stand-ins for "not known"."""
     v = F.lower(F.regexp_replace(value, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
-    return F.coalesce(v.rlike(r"[\p{L}\p{N}]") & ~v.isin(STAND_INS) & ~v.rlike(NUMBERED_UNKNOWN), F.lit(False))
+    return F.coalesce(v.rlike(r"[\p{L}\p{N}]") & ~v.isin(list(stand_ins)) & ~v.rlike(NUMBERED_UNKNOWN), F.lit(False))
 
 
 def crop_name(filename: Column) -> Column:
@@ -48,35 +52,45 @@ def crop_name(filename: Column) -> Column:
     return F.when(f.rlike(CROP), F.concat_ws("/", *parts))
 
 
-def skyline_survivors(df: DataFrame, key: str, fields: dict[str, Column], trust: str, recency: str, record: str) -> DataFrame:
-    """One row per group: ``key``, ``first_id``, ``n``, and ``<field>_id`` and ``<field>`` for each field.
+def skyline_survivors(df: DataFrame, key: str, fields: dict[str, Column], trust: str, recency: str, record: str, policy: Sequence[str] = POLICY, completeness: str = "fields") -> DataFrame:
+    """One row per group: ``key``, ``first_id``, ``n``, and ``<field>_id``, ``<field>`` and ``<field>_layer`` for each field.
 
     ``fields`` maps a column to the condition under which it offers a value.
-    ``<field>_id`` is 0 and ``<field>`` null where no record offers one. Null
-    trust is below any other, null recency is the oldest; equal records are
-    told apart by the smallest ``record``. Rows with a null key form no group
-    and are left out; an empty table gives an empty result. Columns of ``df``
-    other than those named are ignored, whatever they are called.
+    ``completeness`` "fields" compares which fields are offered (more complete
+    is a superset), "count" how many; with "fields" whoever dominates a record
+    offers what it offers, so every field comes from layer 1. ``policy`` orders
+    all of POLICY. ``<field>_id`` is 0 and ``<field>`` and its layer null where
+    no record offers one. Null trust is below any other, null recency is the
+    oldest, the smaller ``record`` is better; repeated records are one. Rows
+    with a null key form no group and are left out; an empty table gives an
+    empty result. Columns of ``df`` other than those named are ignored,
+    whatever they are called.
     """
+    if sorted(policy) != sorted(POLICY) or completeness not in ("fields", "count"):
+        raise ValueError(f"a policy orders {POLICY}, completeness is fields or count")
     names = list(fields)
     mask = sum((F.when(cond, 1 << i).otherwise(0) for i, cond in enumerate(fields.values())), F.lit(0))
-    kind = dict(df.dtypes)[recency]
-    values = ", ".join(f"v{i}: string" for i in range(len(names)))
     flat = df.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("k"), mask.alias("mask"), F.coalesce(F.col(trust), F.lit(LOWEST_TRUST)).cast("int").alias("trust"),
-        F.col(recency).alias("at"), F.col(record).cast("long").alias("id"), *[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate(names)],
+        F.col(recency).alias("at"), F.bitwise_not(F.col(record).cast("long")).alias("nid"), *[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate(names)],
     )
-    picked = F.max(F.struct("at", F.bitwise_not("id").alias("nid"), *[f"v{i}" for i in range(len(names))])).alias("m")
-    reps = flat.groupBy("k", "mask", "trust").agg(picked, F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
-    rep = F.struct("trust", F.col("m.at").alias("at"), F.col("m.nid").alias("nid"), "mask", *[F.col(f"m.v{i}").alias(f"v{i}") for i in range(len(names))])
-    groups = reps.groupBy("k").agg(F.sum("n").alias("n"), F.min("first").alias("first_id"), F.sort_array(F.collect_list(rep), asc=False).alias("reps"))
-    # In this order (trust, recency, smallest id) dominators come first, so one fold gives all layers.
-    empty = F.expr(f"cast(array() as array<struct<trust: int, at: {kind}, nid: bigint, mask: int, {values}, layer: int>>)")
-    layered = groups.withColumn("reps", F.aggregate("reps", empty, _with_layer))
+    column = {"trust": "trust", "recency": "at", "id": "nid", "completeness": "offered"}
+    values = [f"v{i}" for i in range(len(names))]
+    within = [column[p] for p in policy if p in ("recency", "id")]
+    picked = F.max(F.struct(*within, *values)).alias("m")
+    reps = flat.groupBy("k", "mask", "trust").agg(picked, F.count(F.lit(1)).alias("n"), F.max("nid").alias("first"))
+    parts = {"trust": F.col("trust"), "at": F.col("m.at"), "nid": F.col("m.nid"), "offered": F.bit_count("mask")}
+    rep = F.struct(*[parts[column[p]].alias(column[p]) for p in policy], "mask", *[F.col(f"m.{v}").alias(v) for v in values])
+    groups = reps.groupBy("k").agg(F.sum("n").alias("n"), F.bitwise_not(F.max("first")).alias("first_id"), F.sort_array(F.collect_list(rep), asc=False).alias("reps"))
+    # Dominators come first in the order of any policy, so one fold gives all layers.
+    kinds = {"trust": "int", "at": dict(df.dtypes)[recency], "nid": "bigint", "offered": "int"}
+    schema = ", ".join([*[f"{column[p]}: {kinds[column[p]]}" for p in policy], "mask: int", *[f"{v}: string" for v in values], "layer: int"])
+    empty = F.expr(f"cast(array() as array<struct<{schema}>>)")
+    layered = groups.withColumn("reps", F.aggregate("reps", empty, lambda done, new: _with_layer(done, new, completeness)))
     out = [F.col("k").alias(key), "first_id", "n"]
     for i, c in enumerate(names):
         best = _first_of_best_layer(1 << i)
-        out += [F.coalesce(F.bitwise_not(best["nid"]), F.lit(0)).cast("long").alias(f"{c}_id"), best[f"v{i}"].alias(c)]
+        out += [F.coalesce(F.bitwise_not(best["nid"]), F.lit(0)).cast("long").alias(f"{c}_id"), best[f"v{i}"].alias(c), best["layer"].alias(f"{c}_layer")]
     return layered.select(*out)
 
 
@@ -87,17 +101,21 @@ def _first_of_best_layer(bit: int) -> Column:
     return F.get(F.filter(offering, lambda r: r["layer"] == lowest), F.lit(0))
 
 
-def _with_layer(done: Column, new: Column) -> Column:
+def _with_layer(done: Column, new: Column, completeness: str) -> Column:
+    """``done`` and the record ``new``, one layer below the lowest of those that dominate it."""
+
     def dominates(old: Column) -> Column:
-        later = F.when(new["at"].isNull(), old["at"].isNotNull()).otherwise(F.coalesce(old["at"] > new["at"], F.lit(False)))
-        as_late = later | old["at"].eqNullSafe(new["at"])
-        return (old["mask"].bitwiseAND(new["mask"]) == new["mask"]) & (old["trust"] >= new["trust"]) & as_late & ((old["trust"] > new["trust"]) | later)
+        as_full = old["mask"].bitwiseAND(new["mask"]) == new["mask"] if completeness == "fields" else old["offered"] >= new["offered"]
+        as_late = new["at"].isNull() | F.coalesce(old["at"] >= new["at"], F.lit(False))
+        better = (old["mask"] != new["mask"]) if completeness == "fields" else (old["offered"] > new["offered"])
+        better = better | (old["trust"] > new["trust"]) | ~old["at"].eqNullSafe(new["at"]) | (old["nid"] > new["nid"])
+        return as_full & (old["trust"] >= new["trust"]) & as_late & (old["nid"] >= new["nid"]) & better
 
     above = F.array_max(F.transform(F.filter(done, dominates), lambda x: x["layer"]))
     return F.concat(done, F.array(new.withField("layer", F.coalesce(above, F.lit(0)) + 1)))
 
 
-def best_labels(mappings: DataFrame, sources: DataFrame) -> DataFrame:
+def best_labels(mappings: DataFrame, sources: DataFrame, stand_ins: Sequence[str] = STAND_INS) -> DataFrame:
     """Survivors of all crops with two or more records: crop, first_id, n, code_id, code, description_id, description."""
     trust = small_or_shuffled(sources.groupBy("label_source").agg(F.max("trust").alias("source_trust")), 10_000)
     records = (
@@ -105,5 +123,6 @@ def best_labels(mappings: DataFrame, sources: DataFrame) -> DataFrame:
         .filter(F.col("crop").isNotNull())
         .join(trust, "label_source", "left")
     )
-    fields = {c: says_something(F.col(c)) for c in ("code", "description")}
-    return skyline_survivors(records, "crop", fields, "source_trust", "updated_at", "mapping_id").filter("n >= 2")
+    fields = {c: says_something(F.col(c), stand_ins) for c in ("code", "description")}
+    best = skyline_survivors(records, "crop", fields, "source_trust", "updated_at", "mapping_id").filter("n >= 2")
+    return best.select("crop", "first_id", "n", "code_id", "code", "description_id", "description")
