@@ -24,17 +24,22 @@ def small_or_shuffled(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def lookup(child: DataFrame, parent: DataFrame, on: list[str], spread_by: str) -> DataFrame:
+def lookup(child: DataFrame, parent: DataFrame, on: list[str], spread_by: str, parent_rows: int | None = None) -> DataFrame:
     """``child`` left join ``parent``, which is unique in ``on``.
 
-    A small parent (counted, not assumed) is broadcast, so a hot key moves
-    nothing. Beyond that bound keys that hold more than a thousandth of the
-    child's rows (a thousand keys at most) are salted on both sides, by a hash
-    of the column ``spread_by``, so no task gets a hot key whole.
+    A small parent (counted, not assumed; ``parent_rows`` is a bound the caller
+    knows already) is broadcast, so a hot key moves nothing. Beyond that bound
+    keys that hold more than a thousandth of the child's rows (a thousand keys
+    at most) are salted on both sides, by a hash of the column ``spread_by``,
+    so no task gets a hot key whole. Children of no more rows than a hot key
+    needs are joined without looking for one.
     """
-    if parent.limit(SMALL + 1).count() <= SMALL:
+    if (parent.limit(SMALL + 1).count() if parent_rows is None else parent_rows) <= SMALL:
         return child.join(F.broadcast(parent), on, "left")
-    limit = max(HOT_ROWS, child.count() // 1000)
+    total = child.count()
+    if total <= HOT_ROWS:
+        return child.join(parent, on, "left")
+    limit = max(HOT_ROWS, total // 1000)
     hot = child.groupBy(*on).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > limit).select(*on, F.lit(SALTS).alias("salts"))
     if hot.isEmpty():
         return child.join(parent, on, "left")

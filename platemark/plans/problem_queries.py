@@ -45,6 +45,23 @@ def p3_composite(spark: SparkSession, folder: str) -> DataFrame:
     return refs.failing_references(cells, "row_id", refs.utc_time("created_at"), [pair]).select("row_id", "ref_field", "kind")
 
 
+CELL_KEY = ("edition_id", "page_id", "reference_cell_id")
+
+
+def _cell_references(match: str):  # noqa: ANN202
+    """Positions whose (edition_id, page_id, reference_cell_id) is held against the cells, by null mask."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        ref = refs.Reference("cell", CELL_KEY, table(spark, folder, "reference_cells"), CELL_KEY, match=match)
+        found = refs.failing_references(table(spark, folder, "reference_positions"), "row_id", refs.utc_time("created_at"), [ref])
+        return found.select("row_id", "ref_field", "kind")
+
+    return query
+
+
+p3_simple, p3_partial, p3_full = (_cell_references(m) for m in ("simple", "partial", "full"))
+
+
 def _key(c: str) -> str:
     return f"nullif(lower(trim({c}, chr(32) || chr(9) || chr(10) || chr(13))), '')"
 
@@ -141,11 +158,25 @@ SELECT row_id, 'edition_page' AS ref_field, 'missing' AS kind FROM c
 WHERE (e IS NOT NULL OR p IS NOT NULL)
   AND NOT EXISTS (SELECT 1 FROM g WHERE (c.e IS NULL OR g.e = c.e) AND (c.p IS NULL OR g.p = c.p))
 """
+_P = ("e", "p", "c")
+_CELL_KEYS = ", ".join(f"{_key(c)} AS {a}" for c, a in zip(CELL_KEY, _P, strict=True))
+_NULLS = " + ".join(f"(CASE WHEN x.{a} IS NULL THEN 1 ELSE 0 END)" for a in _P)
+_UNMET = f"NOT EXISTS (SELECT 1 FROM k WHERE {' AND '.join(f'(x.{a} IS NULL OR k.{a} = x.{a})' for a in _P)})"
+
+
+def _cell_sql(kind: str, broken: str) -> str:
+    return f"""WITH x AS (SELECT row_id, {_CELL_KEYS} FROM reference_positions), k AS (SELECT DISTINCT {_CELL_KEYS} FROM reference_cells)
+SELECT row_id, 'cell' AS ref_field, {kind} AS kind FROM x WHERE {broken}"""
+
+
+P3_SIMPLE_SQL = _cell_sql("'missing'", f"{_NULLS} = 0 AND {_UNMET}")
+P3_PARTIAL_SQL = _cell_sql("'missing'", f"{_NULLS} < 3 AND {_UNMET}")
+P3_FULL_SQL = _cell_sql(f"CASE WHEN {_NULLS} > 0 THEN 'partial_key' ELSE 'missing' END", f"{_NULLS} < 3 AND ({_NULLS} > 0 OR {_UNMET})")
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_flat": p2_flat, "p2_box_sides": p2_box_sides, "p3_found": p3_found, "p3_report": p3_report, "p3_composite": p3_composite}
+    return {"p3_simple": p3_simple, "p3_partial": p3_partial, "p3_full": p3_full, "p2_found": p2_found, "p2_flat": p2_flat, "p2_box_sides": p2_box_sides, "p3_found": p3_found, "p3_report": p3_report, "p3_composite": p3_composite}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND_SQL, "p2_flat": P2_FLAT_SQL, "p2_box_sides": P2_SIDES_SQL, "p3_found": P3_SQL, "p3_report": P3_REPORT_SQL, "p3_composite": P3_COMPOSITE_SQL}
+    return {"p3_simple": P3_SIMPLE_SQL, "p3_partial": P3_PARTIAL_SQL, "p3_full": P3_FULL_SQL, "p2_found": P2_FOUND_SQL, "p2_flat": P2_FLAT_SQL, "p2_box_sides": P2_SIDES_SQL, "p3_found": P3_SQL, "p3_report": P3_REPORT_SQL, "p3_composite": P3_COMPOSITE_SQL}

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from platemark.operators import sizing
@@ -26,7 +29,9 @@ def test_kinds_in_order(spark):
     assert found(failing_references(child(spark, rows), "row_id", utc_time("created_at"), [ref])) == [(2, "deleted"), (3, "late"), (5, "missing"), (5, "missing")]
 
 
-def test_match_semantics(spark):
+@pytest.mark.parametrize("small", [0, 50_000])
+def test_match_semantics(spark, monkeypatch, small):
+    monkeypatch.setattr(sizing, "SMALL", small)
     p = parent(spark, [("1", "2", None, None), ("3", None, None, None)])
     rows = [(1, "1", "2", None, ""), (2, "1", "9", None, ""), (3, "1", None, None, ""), (4, "9", None, None, ""), (5, None, None, None, ""), (6, "3", None, None, "")]
     of = lambda match: found(failing_references(child(spark, rows), "row_id", F.lit(None).cast("timestamp"), [Reference("ab", ("a", "b"), p, ("a", "b"), match=match)]))
@@ -35,6 +40,39 @@ def test_match_semantics(spark):
     assert of("full") == [(2, "missing"), (3, "partial_key"), (4, "partial_key"), (6, "partial_key")]
 
 
+@pytest.mark.parametrize("small", [0, 50_000])
+@pytest.mark.parametrize("match", ["simple", "partial", "full"])
+def test_three_columns_with_nulls_equal_brute_force(spark, monkeypatch, match, small):
+    monkeypatch.setattr(sizing, "SMALL", small)
+    rng = random.Random(match)
+    value = lambda: rng.choice([None, None, " ", "1", "2", " X", "x"])
+    rows = [(i, value(), value(), value(), rng.choice([None, 1, 5])) for i in range(150)]
+    parents = [(value(), value(), value(), rng.choice([None, 1, 3, 9]), rng.random() < 0.4) for _ in range(40)]
+    p = spark.createDataFrame(parents, "a string, b string, c string, at long, gone boolean")
+    norm = lambda v: (v or "").strip().lower() or None
+    for timed in (False, True):
+        ref = Reference("abc", ("a", "b", "c"), p, ("a", "b", "c"), F.timestamp_seconds("at") if timed else None, F.col("gone") if timed else None, match)
+        got = found(failing_references(spark.createDataFrame(rows, "row_id long, a string, b string, c string, at long"), "row_id", F.timestamp_seconds("at"), [ref]))
+        expected = []
+        for i, *keys, at in rows:
+            keys = [norm(k) for k in keys]
+            nulls = keys.count(None)
+            if nulls == 3 or (nulls and match == "simple"):
+                continue
+            if nulls and match == "full":
+                expected.append((i, "partial_key"))
+                continue
+            met = [q for q in parents if all(k is None or norm(v) == k for k, v in zip(keys, q[:3], strict=True))]
+            born = [q[3] for q in met if q[3] is not None]
+            if not met:
+                expected.append((i, "missing"))
+            elif timed and all(q[4] for q in met):
+                expected.append((i, "deleted"))
+            elif timed and born and at is not None and min(born) > at:
+                expected.append((i, "late"))
+        assert got == sorted(expected)
+
+
 def test_empty_tables(spark):
     ref = Reference("a", ("a",), parent(spark, []), ("a",))
     assert found(failing_references(child(spark, []), "row_id", F.lit(None).cast("timestamp"), [ref])) == []
