@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from platemark.operators import validate as v
 from platemark.operators.merge import usable_code
-from platemark.operators.references import norm_key
+from platemark.operators.references import Reference, failing_references, norm_key
 from platemark.operators.sizing import lookup, small_or_shuffled
 from platemark.plans.box_queries import APPROVED
 from platemark.sources.tables import table
@@ -57,6 +57,8 @@ RULES = [
     v.Rule("position_version", "reference_positions", "row_id", "current_version IS NULL OR current_version < 1"),
     v.Rule("position_geometry", "reference_positions", "row_id", _outside(*[_POSITION.format(c) for c in "xywh"])),
     v.Rule("position_bounds", "reference_positions", "row_id", "norm_x + norm_w > 1 OR norm_y + norm_h > 1"),
+    v.Rule("position_confidence", "reference_positions", "row_id", _outside("confidence")),
+    v.Rule("sign_confidence", "page_4_signs", "row_id", "confidence IS NULL OR confidence < 0 OR confidence > 100"),
     v.Rule("match_score", "candidate_assignments", "candidate_assignment_id", "match_score < 0 OR match_score > 1"),
     v.Rule("geometry_keys", "candidate_assignments", "candidate_assignment_id", " OR ".join(f"geometry_agreement.{c} IS NULL" for c in ("iou", "center_distance", "center_score", "area_ratio", "geometry_score"))),
     v.Rule("geometry_range", "candidate_assignments", "candidate_assignment_id", " OR ".join(f"geometry_agreement.{c} < 0 OR geometry_agreement.{c} > 1" for c in ("iou", "center_score", "area_ratio"))),
@@ -110,7 +112,7 @@ def _some(rules: tuple[str, ...]):  # noqa: ANN202
 
 
 enum_violations, ENUM_SQL = _some(("position_category", "reference_status", "approval_state", "validation_status", "text_agreement", "candidate_status"))
-range_violations, RANGE_SQL = _some(("cell_geometry", "cell_bounds", "position_geometry", "position_bounds", "match_score", "geometry_range", "page_number"))
+range_violations, RANGE_SQL = _some(("cell_geometry", "cell_bounds", "position_geometry", "position_bounds", "match_score", "geometry_range", "page_number", "position_confidence", "sign_confidence"))
 regex_violations, REGEX_SQL = _some(("edition_sha", "page_sha", "cell_id", "position_id", "position_code"))
 
 
@@ -137,17 +139,21 @@ DUP_KEYS_SQL = " UNION ALL ".join(
 
 
 def geometry_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    """Cells of one page with the same box to six decimals, but the first."""
+    """Cells of one page with the same box to six decimals, and crops of one page with the same box, but the first."""
     r6 = lambda c: F.floor(F.col(f"geometry.norm_{c}") * 1000000.0 + 0.5).alias(f"g{c}")
     cells = table(spark, folder, "reference_cells").select("row_id", "page_id", *[r6(c) for c in "xywh"])
-    return v.extra_occurrences(cells, "cell_geometry_duplicate", "reference_cells", "row_id", ["page_id", "gx", "gy", "gw", "gh"], "row_id")
+    crops = v.extra_occurrences(table(spark, folder, "page_4_signs"), "crop_geometry_duplicate", "page_4_signs", "row_id", ["page", "x", "y", "w", "h"], "row_id")
+    return v.extra_occurrences(cells, "cell_geometry_duplicate", "reference_cells", "row_id", ["page_id", "gx", "gy", "gw", "gh"], "row_id").unionByName(crops)
 
 
-GEOMETRY_SQL = """SELECT 'cell_geometry_duplicate' AS rule, 'reference_cells' AS entity, CAST(row_id AS VARCHAR) AS key FROM (
+GEOMETRY_SQL = """SELECT 'crop_geometry_duplicate' AS rule, 'page_4_signs' AS entity, CAST(row_id AS VARCHAR) AS key FROM (
+  SELECT row_id, min(row_id) OVER (PARTITION BY page, x, y, w, h) AS first_row FROM page_4_signs WHERE page + x + y + w + h IS NOT NULL) AS s WHERE row_id > first_row
+UNION ALL SELECT 'cell_geometry_duplicate' AS rule, 'reference_cells' AS entity, CAST(row_id AS VARCHAR) AS key FROM (
   SELECT row_id, min(row_id) OVER (PARTITION BY page_id, gx, gy, gw, gh) AS first_row FROM (
     SELECT row_id, page_id, floor(geometry.norm_x * 1000000.0 + 0.5) AS gx, floor(geometry.norm_y * 1000000.0 + 0.5) AS gy, floor(geometry.norm_w * 1000000.0 + 0.5) AS gw, floor(geometry.norm_h * 1000000.0 + 0.5) AS gh
     FROM reference_cells WHERE page_id IS NOT NULL) AS g WHERE gx IS NOT NULL AND gy IS NOT NULL AND gw IS NOT NULL AND gh IS NOT NULL) AS d WHERE row_id > first_row"""
 
+# Required fields (fixed values).
 FIELDS = ["reference_position_id", "edition_id", "page_id", "reference_cell_id", "official_code", "official_description", "category", "reference_status", "validation_status", "approval_state"]
 
 
@@ -202,14 +208,102 @@ p AS (SELECT row_id, {_K.format('reference_cell_id')} AS cell, grid_row, grid_co
 
 
 def page_number_mismatch(spark: SparkSession, folder: str) -> DataFrame:
-    """Cells whose page number is not that of their page."""
+    """Cells whose page number is not that of their page, and crops whose page is not that in their filename."""
     pages = table(spark, folder, "manual_pages").select(norm_key("page_id").alias("page"), F.col("page_number").alias("should_be"))
     cells = table(spark, folder, "reference_cells").select("row_id", norm_key("page_id").alias("page"), "page_number")
-    return cells.join(small_or_shuffled(pages), "page").filter(~F.col("page_number").eqNullSafe(F.col("should_be"))).select("row_id", "page_number", "should_be")
+    of_cells = cells.join(small_or_shuffled(pages), "page").withColumn("entity", F.lit("reference_cells"))
+    named = F.nullif(F.regexp_extract(F.lower("filename"), PAGE_OF_FILE, 1), F.lit("")).try_cast("int")
+    crops = table(spark, folder, "page_4_signs").select("row_id", F.col("page").alias("page_number"), named.alias("should_be"))
+    of_crops = crops.filter("should_be IS NOT NULL").withColumn("entity", F.lit("page_4_signs"))
+    wrong = of_cells.drop("page").unionByName(of_crops)
+    return wrong.filter(~F.col("page_number").eqNullSafe(F.col("should_be"))).select("entity", "row_id", "page_number", "should_be")
+
+
+PAGE_OF_FILE = "^page[ _-]*([0-9]+)"
+PAGE_NUMBER_SQL = f"""SELECT 'reference_cells' AS entity, c.row_id, c.page_number, p.page_number AS should_be FROM (SELECT row_id, page_number, {_K.format('page_id')} AS page FROM reference_cells) AS c
+JOIN (SELECT page_number, {_K.format('page_id')} AS page FROM manual_pages) AS p ON p.page = c.page WHERE c.page_number IS DISTINCT FROM p.page_number
+UNION ALL SELECT 'page_4_signs', row_id, page, n FROM (SELECT row_id, page, TRY_CAST(nullif(regexp_extract(lower(filename), '{PAGE_OF_FILE}', 1), '') AS INTEGER) AS n FROM page_4_signs) AS s
+WHERE n IS NOT NULL AND page IS DISTINCT FROM n"""
+
+#: rule, table, key of its rows, referring columns, table and columns referred to.
+REFERENCES = [
+    ("page_edition", "manual_pages", "page_id", ["edition_id"], "manual_editions", ["edition_id"]),
+    ("cell_edition", "reference_cells", "row_id", ["edition_id"], "manual_editions", ["edition_id"]),
+    ("cell_page", "reference_cells", "row_id", ["page_id"], "manual_pages", ["page_id"]),
+    ("cell_edition_page", "reference_cells", "row_id", ["edition_id", "page_number"], "manual_pages", ["edition_id", "page_number"]),
+    ("position_edition", "reference_positions", "row_id", ["edition_id"], "manual_editions", ["edition_id"]),
+    ("position_page", "reference_positions", "row_id", ["page_id"], "manual_pages", ["page_id"]),
+    ("position_edition_page", "reference_positions", "row_id", ["edition_id", "page_number"], "manual_pages", ["edition_id", "page_number"]),
+    ("position_cell", "reference_positions", "row_id", ["reference_cell_id"], "reference_cells", ["reference_cell_id"]),
+    ("candidate_position", "candidate_assignments", "candidate_assignment_id", ["reference_position_id"], "reference_positions", ["reference_position_id"]),
+    ("candidate_run", "candidate_assignments", "candidate_assignment_id", ["run_id"], "reference_matcher_run_manifest", ["run_id"]),
+]
+
+
+def unknown_references(spark: SparkSession, folder: str) -> DataFrame:
+    """Every reference of the registry that is not there (absent) or leads nowhere (missing); one read of each table for all its small parents."""
+    parts = []
+    for name in dict.fromkeys(child for _, child, *_ in REFERENCES):
+        mine = [r for r in REFERENCES if r[1] == name]
+        rows, key = table(spark, folder, name), mine[0][2]
+        found = failing_references(rows, key, F.lit(None).cast("timestamp"), [Reference(rule, tuple(cols), table(spark, folder, to), tuple(to_cols)) for rule, _, _, cols, to, to_cols in mine])
+        parts.append(found.select(F.col("ref_field").alias("rule"), F.lit(name).alias("entity"), F.col("row_id").cast("string").alias("key"), "kind"))
+        absent = F.filter(F.array(*[F.when(reduce(lambda a, b: a | b, [norm_key(c).isNull() for c in cols]), rule) for rule, _, _, cols, _, _ in mine]), lambda x: x.isNotNull())
+        parts.append(rows.select(F.explode(absent).alias("rule"), F.lit(name).alias("entity"), F.col(key).cast("string").alias("key"), F.lit("absent").alias("kind")))
+    return _union(parts)
+
+
+def _key_of(c: str) -> str:
+    return _K.format(f"CAST({c} AS VARCHAR)")
+
+
+UNKNOWN_REFERENCES_SQL = " UNION ALL ".join(
+    f"""SELECT '{rule}' AS rule, '{child}' AS entity, CAST(row AS VARCHAR) AS key, CASE WHEN {' OR '.join(f'k{i} IS NULL' for i in range(len(cols)))} THEN 'absent' ELSE 'missing' END AS kind
+FROM (SELECT {key} AS row, {', '.join(f'{_key_of(c)} AS k{i}' for i, c in enumerate(cols))} FROM {child}) AS c{n}
+WHERE NOT EXISTS (SELECT 1 FROM (SELECT {', '.join(f'{_key_of(c)} AS p{i}' for i, c in enumerate(to_cols))} FROM {to}) AS p WHERE {' AND '.join(f'p{i} = k{i}' for i in range(len(cols)))})"""
+    for n, (rule, child, key, cols, to, to_cols) in enumerate(REFERENCES)
+)
+
+
+def version_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions without versions, with another number of them than ``current_version`` says, or without history: rows and history entries of their cell."""
+    entries = F.coalesce(F.size(F.filter("provenance.history", lambda e: e.isNotNull())), F.lit(0))
+    cells = table(spark, folder, "reference_cells").select(norm_key("reference_cell_id").alias("cell"), F.greatest(entries, F.lit(0)).alias("entries")).filter("cell IS NOT NULL")
+    cells = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("versions"), F.sum("entries").alias("history"))
+    positions = table(spark, folder, "reference_positions").select("row_id", norm_key("reference_cell_id").alias("cell"), "current_version")
+    held = lookup(positions, cells, ["cell"], spread_by="row_id")
+    rules = F.array(
+        F.when(F.col("versions").isNull(), "versions_missing"),
+        F.when(F.col("versions").isNotNull() & ~F.col("versions").eqNullSafe(F.col("current_version").cast("bigint")), "version_mismatch"),
+        F.when(F.coalesce("history", F.lit(0)) == 0, "history_missing"),
+    )
+    return held.select("row_id", F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("rule"))
 
 
-PAGE_NUMBER_SQL = f"""SELECT c.row_id, c.page_number, p.page_number AS should_be FROM (SELECT row_id, page_number, {_K.format('page_id')} AS page FROM reference_cells) AS c
-JOIN (SELECT page_number, {_K.format('page_id')} AS page FROM manual_pages) AS p ON p.page = c.page WHERE c.page_number IS DISTINCT FROM p.page_number"""
+VERSION_RULES_SQL = f"""WITH c AS (SELECT cell, count(*) AS versions, sum(entries) AS history FROM (SELECT {_K.format('reference_cell_id')} AS cell,
+    coalesce(len(list_filter(provenance.history, lambda e: e IS NOT NULL)), 0) AS entries FROM reference_cells) AS x WHERE cell IS NOT NULL GROUP BY cell),
+h AS (SELECT p.row_id, p.current_version, c.versions, c.history FROM (SELECT row_id, current_version, {_K.format('reference_cell_id')} AS cell FROM reference_positions) AS p LEFT JOIN c ON c.cell = p.cell)
+SELECT row_id, 'versions_missing' AS rule FROM h WHERE versions IS NULL
+UNION ALL SELECT row_id, 'version_mismatch' FROM h WHERE versions IS NOT NULL AND versions IS DISTINCT FROM current_version
+UNION ALL SELECT row_id, 'history_missing' FROM h WHERE coalesce(history, 0) = 0"""
+
+
+def candidate_provenance(spark: SparkSession, folder: str) -> DataFrame:
+    """What is not known about the runs of candidates: (run_id, field, n_candidates); field 'manifest' where a run has none."""
+    said = {f: F.max(F.nullif(F.trim(F.col(f).cast("string")), F.lit(""))).alias(f"m{i}") for i, f in enumerate(PROVENANCE)}
+    runs = table(spark, folder, "reference_matcher_run_manifest").filter("run_id IS NOT NULL").groupBy("run_id").agg(*said.values(), F.lit(True).alias("there"))
+    counts = table(spark, folder, "candidate_assignments").groupBy("run_id").agg(F.count(F.lit(1)).alias("n_candidates"))
+    lacks = F.array(F.when(F.col("there").isNull(), "manifest"), *[F.when(F.col("there") & F.col(f"m{i}").isNull(), f) for i, f in enumerate(PROVENANCE)])
+    return counts.join(runs, "run_id", "left").select("run_id", F.explode(F.filter(lacks, lambda x: x.isNotNull())).alias("field"), "n_candidates")
+
+
+# Where a run says its candidates come from (fixed values).
+PROVENANCE = ["matcher_version", "contract_version", "run_at", "edition_id", "sample_limit", "top_k", "inputs.reference_positions", "inputs.reference_cells", "output_file"]
+_SAID = ", ".join(f"max(nullif(trim(CAST({f} AS VARCHAR)), '')) AS m{i}" for i, f in enumerate(PROVENANCE))
+CANDIDATE_PROVENANCE_SQL = f"""WITH m AS (SELECT run_id, {_SAID} FROM reference_matcher_run_manifest WHERE run_id IS NOT NULL GROUP BY run_id),
+c AS (SELECT run_id, count(*) AS n_candidates FROM candidate_assignments GROUP BY run_id)
+SELECT c.run_id, 'manifest' AS field, c.n_candidates FROM c LEFT JOIN m ON m.run_id = c.run_id WHERE m.run_id IS NULL
+""" + " ".join(f"UNION ALL SELECT c.run_id, '{f}', c.n_candidates FROM c JOIN m ON m.run_id = c.run_id WHERE m.m{i} IS NULL" for i, f in enumerate(PROVENANCE))
 
 
 def unapproved_candidates(spark: SparkSession, folder: str) -> DataFrame:
@@ -244,15 +338,44 @@ ORDERING_SQL = """SELECT row_id FROM (SELECT row_id, page_number AS a, grid_row
   FROM reference_positions WHERE page_number + grid_row + grid_col IS NOT NULL WINDOW w AS (PARTITION BY edition_id ORDER BY row_id)) AS o
 WHERE pa IS NOT NULL AND (a < pa OR (a = pa AND (b < pb OR (b = pb AND c < pc))))"""
 
+# Required fields of the stored documents and their records (fixed values).
 REQUIRED = {
     "manual_editions": ["edition_id", "source_pdf_path", "source_pdf_filename", "source_pdf_sha256", "publication_date", "status", "created_at", "model_version"],
     "manual_pages": ["page_id", "edition_id", "page_number", "image_width", "image_height", "page_image_path", "page_image_sha256", "render_dpi", "normalization_profile", "created_at"],
     "reference_cells": ["reference_cell_id", "edition_id", "page_id", "page_number", "grid_row", "grid_col", "geometry", "cell_status", "approval_state", "created_at", "updated_at", "provenance", "archived"],
-    "reference_positions": [*FIELDS, "page_number", "grid_row", "grid_col", "norm_x", "norm_y", "norm_w", "norm_h", "category_detail", "versions", "history", "current_version", "archived"],
-    "candidate_assignments": ["candidate_assignment_id", "run_id", "filename", "reference_position_id", "match_score", "geometry_agreement", "ocr_agreement", "status"],
+    "reference_positions": [
+        "reference_position_id", "edition_id", "page_id", "page_number", "reference_cell_id", "grid_row", "grid_col", "norm_x", "norm_y", "norm_w", "norm_h", "official_code", "official_description", "category",
+        "reference_status", "validation_status", "approval_state", "authoring_method", "pipeline_version", "manual_edition", "source_page", "created_at", "updated_at", "current_version", "versions", "history", "archived",
+    ],
+    "candidate_assignments": ["candidate_assignment_id", "reference_position_id", "extracted_sign_id", "match_score", "geometry_agreement", "ocr_agreement", "provenance", "validation_status", "review_status", "confidence", "audit"],
+    "reference_matcher_run_manifest": ["contract_version", "matcher_version", "run_type", "edition_id", "run_at", "sample_limit", "top_k", "inputs", "summary", "candidates"],
+}
+#: Of those, the fields that the tables of TESTDATA.md don't have.
+LACKING = {
+    "reference_positions": ["authoring_method", "pipeline_version", "manual_edition", "source_page", "versions", "history"],
+    "candidate_assignments": ["extracted_sign_id", "provenance", "validation_status", "review_status", "confidence", "audit"],
+    "reference_matcher_run_manifest": ["summary", "candidates"],
 }
 
 
+def required_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """(entity, field, in_schema, n_missing): rows without a value of each required field; one read of each table."""
+    parts = []
+    for name, required in REQUIRED.items():
+        df = table(spark, folder, name)
+        have = set(df.columns)
+        absent = [F.sum(F.col(c).isNull().cast("bigint")) if c in have else F.count(F.lit(1)) for c in required]
+        cells = [F.struct(F.lit(name).alias("entity"), F.lit(c).alias("field"), F.lit(c in have).alias("in_schema"), F.coalesce(n, F.lit(0)).alias("n_missing")) for c, n in zip(required, absent, strict=True)]
+        parts.append(df.agg(F.array(*cells).alias("fields")).select(F.inline("fields")))
+    return _union(parts)
+
+
+REQUIRED_FIELDS_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS entity, '{c}' AS field, {'false' if c in LACKING.get(t, ()) else 'true'} AS in_schema, {'count(*)' if c in LACKING.get(t, ()) else f'count(*) - count({c})'} AS n_missing FROM {t}"
+    for t, required in REQUIRED.items() for c in required
+)
+
+
 def schema_check(spark: SparkSession, folder: str) -> DataFrame:
     """Required fields that a table's schema lacks."""
     lacks = [(t, c) for t, required in REQUIRED.items() for c in v.required_columns(table(spark, folder, t), required)]
@@ -266,7 +389,7 @@ WHERE NOT EXISTS (SELECT 1 FROM information_schema.columns AS i WHERE i.table_na
 def queries() -> dict:
     named = {f.__name__: f for f in (
         findings_report, findings_summary, dup_keys, dup_occurrences, geometry_duplicates, missing_fields, empty_history, orphan_parents, mirror_mismatch, page_number_mismatch,
-        unapproved_candidates, code_not_in_dictionary, ordering_check, schema_check,
+        unapproved_candidates, code_not_in_dictionary, ordering_check, schema_check, unknown_references, version_rules, candidate_provenance, required_fields,
     )}
     return named | {"enum_violations": enum_violations, "range_violations": range_violations, "regex_violations": regex_violations}
 
@@ -276,5 +399,6 @@ def oracle_sql() -> dict[str, str]:
         "findings_report": FINDINGS_SQL, "findings_summary": f"SELECT entity, rule, count(*) AS n_findings FROM ({FINDINGS_SQL}) AS f GROUP BY 1, 2", "dup_keys": DUP_KEYS_SQL, "dup_occurrences": DUP_OCCURRENCES_SQL,
         "geometry_duplicates": GEOMETRY_SQL, "missing_fields": MISSING_SQL, "empty_history": EMPTY_HISTORY_SQL, "orphan_parents": ORPHAN_SQL, "mirror_mismatch": MIRROR_SQL,
         "page_number_mismatch": PAGE_NUMBER_SQL, "unapproved_candidates": UNAPPROVED_SQL, "code_not_in_dictionary": NOT_IN_SQL, "ordering_check": ORDERING_SQL,
+        "unknown_references": UNKNOWN_REFERENCES_SQL, "version_rules": VERSION_RULES_SQL, "candidate_provenance": CANDIDATE_PROVENANCE_SQL, "required_fields": REQUIRED_FIELDS_SQL,
         "enum_violations": ENUM_SQL, "range_violations": RANGE_SQL, "regex_violations": REGEX_SQL, "schema_check": SCHEMA_SQL,
     }
