@@ -135,7 +135,17 @@ class CanonicalMatcher:
                     self.token_near[d].add(t)
 
     def __call__(self, value: str) -> str:
-        return decide(self.evidence(value))[0]
+        return self.decided(value)[0]
+
+    def decided(self, value: str) -> tuple[str, str]:
+        """``decide`` of all evidence, without looking for what comes after a step that decides."""
+        words = plain(value)
+        if not words or not len(self.automaton):
+            return "", "none"
+        found = decide(self.mentions(words))
+        if not found[0]:
+            found = decide(self.similar(words))
+        return found if found[0] else decide(self.keystroke(value))
 
     def evidence(self, value: str) -> Evidence:
         words = plain(value)
@@ -193,7 +203,13 @@ class CanonicalMatcher:
                 near = {o for d in _deletes(t) for o in self.token_near.get(d, ()) if one_step(t, o, swap=True)}
                 alike[t] = dict.fromkeys(near, 0.9)
         best: dict[str, float] = defaultdict(float)
-        for words_of in {d for near in alike.values() for o in near for d in self.by_token[o]}:
+        common: dict[frozenset[str], int] = defaultdict(int)  # own tokens that a description has or nearly has
+        for near in alike.values():
+            for words_of in set().union(*(self.by_token[o] for o in near if o not in left_out)):
+                common[words_of] += 1
+        for words_of, most in common.items():
+            if most * (1 + SIMILAR) < SIMILAR * (len(own) + len(words_of) - len(words_of & left_out)) - 1e-9:
+                continue  # were all of them equal, it still wouldn't be similar
             gains, used = 0.0, set()
             for t, near in sorted(alike.items(), key=lambda x: -max(x[1].values(), default=0)):
                 pair = max(((g, o) for o, g in near.items() if o in words_of and o not in used and o not in left_out), default=None)
@@ -251,7 +267,7 @@ def _decided(shared: Broadcast) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
                 if v not in known:
                     if len(known) >= REMEMBER:
                         known = {u: known[u] for u in set(batch["v"]) if u in known}
-                    known[v] = decide(match.evidence(v))
+                    known[v] = match.decided(v)
             pairs = [known[v] for v in batch["v"]]
             yield pd.DataFrame({"id": batch["id"], "legend_code": [c for c, _ in pairs], "step": [s for _, s in pairs]})
 

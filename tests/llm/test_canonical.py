@@ -19,6 +19,7 @@ def match():
 ])
 def test_values(match, value, code):
     assert match(value) == code
+    assert match.decided(value) == c.decide(match.evidence(value))
 
 
 def test_longest_mention_wins(match):
