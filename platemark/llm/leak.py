@@ -101,8 +101,15 @@ def _resolved(m: re.Match) -> str:
     return html.unescape(html.unescape(m[0])) if m[0][0] == "&" else _repair(m)
 
 
-def _is_mark(c: str) -> bool:
-    return unicodedata.category(c) in ("Cf", "Mn")
+class _WithoutMarks(dict):
+    """For ``str.translate``: takes out accents that stand alone and invisible characters; each is looked up once."""
+
+    def __missing__(self, code: int) -> int | None:
+        kept = self[code] = None if unicodedata.category(chr(code)) in ("Cf", "Mn") else code
+        return kept
+
+
+_NO_MARKS = _WithoutMarks()
 
 
 def words_of(text: str) -> list[str]:
@@ -111,7 +118,7 @@ def words_of(text: str) -> list[str]:
         text = _HARD.sub(_resolved, text)
         if not text.isascii():
             # Accents are taken off the whole text at once; what words are made of stays in place.
-            text = "".join(c for c in unicodedata.normalize("NFKD", text) if not _is_mark(c))
+            text = unicodedata.normalize("NFKD", text).translate(_NO_MARKS)
     return _WORDS.findall(without_markup(text).casefold())
 
 
@@ -125,11 +132,10 @@ def places_of(text: str) -> list[tuple[int, int]]:
         """``piece`` came from text[start:stop], character by character if it is as long."""
         same = len(piece) == stop - start
         for i, c in enumerate(piece):
-            for d in unicodedata.normalize("NFKD", c):
-                if not _is_mark(d):
-                    out.append(d)
-                    begin.append(start + i if same else start)
-                    end.append(start + i + 1 if same else stop)
+            for d in unicodedata.normalize("NFKD", c).translate(_NO_MARKS):
+                out.append(d)
+                begin.append(start + i if same else start)
+                end.append(start + i + 1 if same else stop)
 
     last = 0
     for m in _HARD.finditer(text):
@@ -244,12 +250,22 @@ def shard_hits(docs: list[list[int]], items: Items) -> dict[tuple[int, int], lis
         text[b : b + len(d)] = d
     if not len(items.phrases) or not len(text):
         return {}
-    index = FMIndex(text, items.symbols)
+    # Only words of items in runs of a phrase's length can be found: the index is over these, a break after each run.
+    turns = np.flatnonzero(np.diff(np.concatenate(([False], text > OTHER)).astype(np.int8)))
+    first, stop = turns[::2], turns[1::2]  # every document ends with a break, so every run ends
+    first, stop = first[stop - first >= SEED], stop[stop - first >= SEED]
+    size = stop - first + 1
+    kept = np.repeat(first - np.concatenate(([0], np.cumsum(size)))[:-1], size) + np.arange(int(size.sum()))
+    if not len(kept):
+        return {}
+    runs = text[kept]
+    runs[np.cumsum(size) - 1] = BREAK
+    index = FMIndex(runs, items.symbols)
     low, high = index.search(items.phrases)
     hit = np.flatnonzero(high > low)
     count = (high - low)[hit]
     rows = np.repeat(low[hit] - np.concatenate(([0], np.cumsum(count)))[:-1], count) + np.arange(int(count.sum()))
-    where, phrase = index.locate(rows), np.repeat(hit, count)
+    where, phrase = kept[index.locate(rows)], np.repeat(hit, count)
     doc = np.searchsorted(begin, where, "right") - 1
     # Each occurrence stands for every place of its phrase in the items.
     many = items.first[phrase + 1] - items.first[phrase]
