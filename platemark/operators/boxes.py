@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,7 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from platemark.functions import geometry as g
-from platemark.session import cut
+from platemark.session import cut, tasks
+
+#: Undecided pairs that greedy suppression settles one after another.
+SETTLED = 500_000
 
 
 def fits(b: g.Box, min_area: int, max_area: int, min_side: int, max_aspect: float) -> Column:
@@ -41,61 +46,62 @@ def with_bins(df: DataFrame, b: g.Box, size: float, around: float = 0.0) -> Data
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Partitioned by ``keys`` over all cores, however few bytes there are: for steps whose work isn't told by their input's size."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(tasks(df.sparkSession), *keys)
+
 
+def square_side(df: DataFrame) -> float:
+    """A side for the squares boxes meet in: the mean of their longer sides, so a box touches a few squares and a square few boxes."""
+    return max(float(df.agg(F.avg(F.greatest("w", "h"))).first()[0] or 1.0), 1e-6)
 
-def overlapping_pairs(left: DataFrame, right: DataFrame, page: str, size: float, at_least: float) -> DataFrame:
+
+def overlapping_pairs(left: DataFrame, right: DataFrame, page: str, at_least: float, size: float | None = None, rank: str | None = None) -> DataFrame:
     """Pairs of boxes of the same page whose overlap over union reaches ``at_least`` (> 0).
 
-    Both sides have (id, ``page``, x, y, w, h); the result (left_id, right_id,
-    iou). An equi-join on page and square replaces the comparison of all
-    boxes of a page: a pair is met in the square that holds the top left
-    corner of the overlap, and only there, so nothing has to be made distinct.
+    Both sides have (id, ``page``, x, y, w, h); the result (``page``, left_id,
+    right_id, iou). With ``rank``, a column of both, only pairs whose left box
+    has the smaller one, so a table held against itself gives each pair once.
+    An equi-join on page and square replaces the comparison of all boxes of a
+    page: a pair is met in the square that holds the top left corner of the
+    overlap, and only there, so nothing has to be made distinct. The squares'
+    side follows the boxes unless ``size`` is given; it doesn't change the
+    result. The join sorts, so a dense square spills instead of failing.
     """
     names = ("x", "y", "w", "h")
-    a = with_bins(left.select(F.col("id").alias("left_id"), page, *[F.col(c).cast("double").alias(f"a{c}") for c in names]), g.box("ax", "ay", "aw", "ah"), size)
-    other = right.select(F.col("id").alias("right_id"), page, *[F.col(c).cast("double").alias(f"r{c}") for c in names])
-    b = with_bins(other, g.box("rx", "ry", "rw", "rh"), size)
-    met = (F.floor(F.greatest("ax", "rx") / size) == F.col("bx")) & (F.floor(F.greatest("ay", "ry") / size) == F.col("by"))
-    overlap = g.iou(g.box("ax", "ay", "aw", "ah"), g.box("rx", "ry", "rw", "rh"))
-    a, b = spread(a, page, "bx", "by"), spread(b, page, "bx", "by")
-    return a.join(b.hint("shuffle_hash"), [page, "bx", "by"]).filter(met).select("left_id", "right_id", overlap.alias("iou")).filter(F.col("iou") >= at_least)
+    size = size or square_side(left)
+    side = lambda df, p: df.select(F.col("id").alias(f"{p}_id"), page, *[F.col(c).cast("double").alias(f"{p}_{c}") for c in names], *([F.col(rank).alias(f"{p}_rank")] if rank else []))
+    box = lambda p: g.box(*[f"{p}_{c}" for c in names])
+    a, b = (spread(with_bins(side(df, p), box(p), size), page, "bx", "by") for df, p in ((left, "left"), (right, "right")))
+    met = (F.floor(F.greatest("left_x", "right_x") / size) == F.col("bx")) & (F.floor(F.greatest("left_y", "right_y") / size) == F.col("by"))
+    if rank:
+        met = met & (F.col("left_rank") < F.col("right_rank"))
+    return a.join(b, [page, "bx", "by"]).filter(met).select(page, "left_id", "right_id", g.iou(box("left"), box("right")).alias("iou")).filter(F.col("iou") >= at_least)
 
 
-def suppress(df: DataFrame, page: str, order: list[Column], at_least: float, size: float, rounds: int = 50) -> DataFrame:
+def suppress(df: DataFrame, page: str, order: list[Column], at_least: float, size: float | None = None) -> DataFrame:
     """Greedy suppression: in order, a box goes if it overlaps a kept one by ``at_least``.
 
     The sequential rule is decided in parallel rounds. A box is kept when no
     earlier neighbour is left that is kept or undecided, and dropped when an
     earlier neighbour is kept; each round settles at least the first box of
-    every chain. Only boxes that have neighbours take part in the rounds. What
-    is undecided after ``rounds`` is settled one box after another, a page in
-    one task.
+    every chain. Only boxes that have neighbours take part. As soon as no more
+    than SETTLED pairs are undecided they are settled one box after another, a
+    page in one task; until then rounds go on, however many it takes.
     ``df`` has (id, ``page``, x, y, w, h) and the columns of ``order``, which
     must be a total order within a page; ids are unique.
     """
-    pairs = overlapping_pairs(df, df, page, size, at_least).filter("left_id <> right_id")
-    keys = df.select("id", F.col(page).alias("page"), *[c.alias(f"o{i}") for i, c in enumerate(order)])
-    names = [f"o{i}" for i in range(len(order))]
-    earlier = keys.select(F.col("id").alias("left_id"), "page", *[F.col(c).alias(f"l{c}") for c in names])
-    later = keys.select(F.col("id").alias("right_id"), *[F.col(c).alias(f"r{c}") for c in names])
-    before = F.struct(*[f"l{c}" for c in names]) < F.struct(*[f"r{c}" for c in names])
-    edges = cut(pairs.join(earlier, "left_id").join(later, "right_id").filter(before).select("page", "left_id", "right_id"))
-    dropped = edges.select(F.col("right_id").alias("id")).limit(0)
-    for _ in range(rounds):
-        if edges.isEmpty():
-            break
+    boxes = df.select("id", page, "x", "y", "w", "h", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("rank"))
+    edges = cut(overlapping_pairs(boxes, boxes, page, at_least, size, "rank").select(F.col(page).alias("page"), "left_id", "right_id"))
+    dropped = [edges.select(F.col("right_id").alias("id")).limit(0)]
+    while (left := edges.count()) > SETTLED:
         # A box with no earlier neighbour left is kept; whatever it overlaps is dropped.
         kept = edges.select("left_id").distinct().join(edges.select(F.col("right_id").alias("left_id")).distinct(), "left_id", "left_anti")
-        gone = edges.join(kept, "left_id", "left_semi").select(F.col("right_id").alias("id")).distinct()
-        dropped = cut(dropped.unionByName(gone))
+        gone = cut(edges.join(kept, "left_id", "left_semi").select(F.col("right_id").alias("id")).distinct())
+        dropped.append(gone)
         both = edges.join(gone.withColumnRenamed("id", "left_id"), "left_id", "left_anti")
         edges = cut(both.join(gone.withColumnRenamed("id", "right_id"), "right_id", "left_anti"))
-    else:
-        if not edges.isEmpty():
-            left = edges.groupBy("page").applyInPandas(_suppressed, f"id {df.schema['id'].dataType.simpleString()}")
-            dropped = cut(dropped.unionByName(left))
-    return df.join(dropped, "id", "left_anti")
+    if left:
+        dropped.append(edges.groupBy("page").applyInPandas(_suppressed, f"id {df.schema['id'].dataType.simpleString()}"))
+    return df.join(reduce(DataFrame.unionByName, dropped), "id", "left_anti")
 
 
 def _suppressed(edges: pd.DataFrame) -> pd.DataFrame:
@@ -116,20 +122,24 @@ def _suppressed(edges: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": pd.Series(list(gone), dtype=edges["right_id"].dtype)})
 
 
-def nearest(left: DataFrame, right: DataFrame, page: str, first_size: float, growth: float = 4.0, last_size: float = 1e5) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, page: str, first_size: float, growth: float = 4.0) -> DataFrame:
     """(left_id, right_id, distance): the nearest box of the same page by centres, the smallest right_id on a tie.
 
     Searched in squares of growing size: a neighbour no farther than the
     square's side is surely the nearest; boxes without one go on to the next
-    size. Both sides have (id, ``page``, x, y, w, h). Boxes of pages without
-    any right box give no row.
+    size, as often as it takes. Both sides have (id, ``page``, x, y, w, h).
+    Boxes without a finite centre, and boxes of pages without any right box,
+    give no row.
     """
-    centre = lambda df, p: df.select(F.col("id").alias(f"{p}_id"), page, (F.col("x") + F.col("w") / 2.0).alias(f"{p}x"), (F.col("y") + F.col("h") / 2.0).alias(f"{p}y"))
+
+    def centre(df: DataFrame, p: str) -> DataFrame:
+        df = df.select(F.col("id").alias(f"{p}_id"), page, (F.col("x") + F.col("w") / 2.0).alias(f"{p}x"), (F.col("y") + F.col("h") / 2.0).alias(f"{p}y"))
+        return df.filter((F.abs(f"{p}x") < 1e15) & (F.abs(f"{p}y") < 1e15))
+
     todo, others = centre(left, "left"), centre(right, "right")
     todo = todo.join(others.select(page).distinct(), page, "left_semi")
     found, size = [], first_size
     while True:
-        last = size >= last_size
         bins = lambda df, p: df.withColumns({"bx": F.floor(F.col(f"{p}x") / size), "by": F.floor(F.col(f"{p}y") / size)})  # noqa: E731,B023
         near = bins(todo, "left")
         for axis in ("bx", "by"):
@@ -137,19 +147,12 @@ def nearest(left: DataFrame, right: DataFrame, page: str, first_size: float, gro
         dx, dy = F.col("leftx") - F.col("rightx"), F.col("lefty") - F.col("righty")
         pairs = near.join(bins(others, "right"), [page, "bx", "by"]).withColumn("distance", F.sqrt(dx * dx + dy * dy))
         best = pairs.groupBy("left_id").agg(F.min(F.struct("distance", "right_id")).alias("b")).select("left_id", "b.right_id", "b.distance")
-        if last:
-            found.append(best)
-            break
         sure = cut(best.filter(F.col("distance") <= size))
         found.append(sure)
         todo = cut(todo.join(sure.select("left_id"), "left_id", "left_anti"))
         if todo.isEmpty():
-            break
+            return reduce(DataFrame.unionByName, found)
         size *= growth
-    out = found[0]
-    for df in found[1:]:
-        out = out.unionByName(df)
-    return out
 
 
 def merge_group(frame: pd.DataFrame, at_least: float, distance: float) -> pd.DataFrame:
@@ -197,34 +200,49 @@ def merge_near(df: DataFrame, keys: list[str], at_least: float, distance: float)
     return spread(df.select(*keys, "x", "y", "w", "h"), *keys).groupBy(*keys).applyInPandas(run, schema)
 
 
+def _islands(df: DataFrame, keys: list[str], order: list[Column], starts: Column) -> DataFrame:
+    """Adds ``island``: rows in order, cut where ``starts`` is true. A sheet is only sorted for this, never gathered."""
+    w = W.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_new", starts.cast("int")).withColumn("island", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
+
+
 def row_buckets(df: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
     """Boxes in rows: a row's first box (by y, x, id) anchors it; boxes within ``tolerance`` below join it, then order by x.
 
-    Adds row_no and column_no, from 1. ``df`` has ``keys``, id, x, y.
+    Adds row_no and column_no, from 1. ``df`` has ``keys``, id, x, y. A box
+    farther than ``tolerance`` below the one before it begins a row whatever
+    the anchor; what lies between two such places is folded by itself.
     """
-    item = F.struct(F.col("y").cast("double").alias("y"), F.col("x").cast("double").alias("x"), F.col("id").cast("string").alias("id"))
-    start = F.expr("named_struct('anchor', cast(null as double), 'row', 0, 'out', cast(array() as array<struct<row: int, x: double, id: string>>))")
-
-    def step(acc: Column, b: Column) -> Column:
-        new = acc["anchor"].isNull() | (b["y"] - acc["anchor"] > tolerance)
-        row = F.when(new, acc["row"] + 1).otherwise(acc["row"])
-        return F.struct(
-            F.when(new, b["y"]).otherwise(acc["anchor"]).alias("anchor"), row.alias("row"),
-            F.concat(acc["out"], F.array(F.struct(row.alias("row"), b["x"].alias("x"), b["id"].alias("id")))).alias("out"),
-        )
+    flat = df.select(*keys, "id", F.col("y").cast("double").alias("y"), F.col("x").cast("double").alias("x"), F.col("id").cast("string").alias("name"))
+    order = [F.col("y"), F.col("x"), F.col("name")]
+    before = F.lag("y").over(W.partitionBy(*keys).orderBy(*order))
+    cutting = _islands(flat.withColumn("_before", before), keys, order, F.coalesce(F.col("y") - F.col("_before") > tolerance, F.lit(True)))
+    start = F.expr("cast(array() as array<double>)")
+
+    def step(anchors: Column, y: Column) -> Column:
+        return F.when((F.size(anchors) > 0) & (y - F.element_at(anchors, -1) <= tolerance), anchors).otherwise(F.concat(anchors, F.array(y)))
 
-    folded = df.groupBy(*keys).agg(F.aggregate(F.sort_array(F.collect_list(item)), start, step, lambda a: a["out"]).alias("o"))
-    rows = folded.select(*keys, F.inline("o"))
-    w = W.partitionBy(*keys, "row").orderBy("x", "id")
-    return rows.select(*keys, "id", F.col("row").alias("row_no"), F.row_number().over(w).alias("column_no"))
+    anchors = cutting.groupBy(*keys, "island").agg(F.aggregate(F.array_sort(F.collect_set("y")), start, step).alias("anchors"))
+    ahead = F.coalesce(F.sum(F.size("anchors")).over(W.partitionBy(*keys).orderBy("island").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    anchors = anchors.withColumn("_ahead", ahead)
+    row = (F.size(F.filter("anchors", lambda a: a <= F.col("y"))) + F.col("_ahead")).cast("int")
+    placed = cutting.join(anchors, [*keys, "island"]).withColumn("row_no", row)
+    return placed.select(*keys, "id", "row_no", F.row_number().over(W.partitionBy(*keys, "row_no").orderBy("x", "name")).alias("column_no"))
 
 
 def coalesce_boxes(df: DataFrame, keys: list[str], gap: float) -> DataFrame:
     """Boxes in (y, x, w, h) order, each joined to the running one if it begins no farther than ``gap`` below its bottom and right of its edge.
 
-    (keys, block_no, x, y, w, h, members); ``df`` has ``keys``, x, y, w, h.
+    (keys, block_no, x, y, w, h, members); ``df`` has ``keys``, x, y, w, h. A
+    box that begins farther than ``gap`` below all before it begins a block
+    whatever the running one is; what lies between two such places is folded
+    by itself.
     """
-    item = F.struct(*[F.col(c).cast("double").alias(c) for c in ("y", "x", "w", "h")])
+    names = ("y", "x", "w", "h")
+    flat = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in names])
+    order = [F.col(c) for c in names]
+    lowest = F.max(F.col("y") + F.col("h")).over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    cutting = _islands(flat.withColumn("_lowest", lowest), keys, order, F.coalesce(F.col("y") > F.col("_lowest") + gap, F.lit(True)))
     start = F.expr("cast(array() as array<struct<x: double, y: double, r: double, b: double, n: int>>)")
 
     def step(done: Column, b: Column) -> Column:
@@ -237,6 +255,7 @@ def coalesce_boxes(df: DataFrame, keys: list[str], gap: float) -> DataFrame:
         fresh = F.struct(b["x"].alias("x"), b["y"].alias("y"), (b["x"] + b["w"]).alias("r"), (b["y"] + b["h"]).alias("b"), F.lit(1).alias("n"))
         return F.when(joined, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))).otherwise(F.concat(done, F.array(fresh)))
 
-    folded = df.groupBy(*keys).agg(F.aggregate(F.sort_array(F.collect_list(item)), start, step).alias("o"))
-    out = folded.select(*keys, F.posexplode("o").alias("i", "b"))
-    return out.select(*keys, (F.col("i") + 1).alias("block_no"), "b.x", "b.y", (F.col("b.r") - F.col("b.x")).alias("w"), (F.col("b.b") - F.col("b.y")).alias("h"), F.col("b.n").alias("members"))
+    folded = cutting.groupBy(*keys, "island").agg(F.aggregate(F.sort_array(F.collect_list(F.struct(*names))), start, step).alias("o"))
+    out = folded.select(*keys, "island", F.posexplode("o").alias("i", "b"))
+    number = F.row_number().over(W.partitionBy(*keys).orderBy("island", "i")).alias("block_no")
+    return out.select(*keys, number, "b.x", "b.y", (F.col("b.r") - F.col("b.x")).alias("w"), (F.col("b.b") - F.col("b.y")).alias("h"), F.col("b.n").alias("members"))

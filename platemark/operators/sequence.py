@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from platemark.session import cut
+from platemark.session import cut, tasks
 
 
 def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal") -> DataFrame:
@@ -16,8 +16,7 @@ def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal") -> D
     partition plus the rows of the partitions before, which is one small row
     per partition.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    placed = cut(df.repartitionByRange(tasks(df.sparkSession), *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
     part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     ahead = sizes.withColumn("_ahead", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platemark.operators.sizing import lookup
+from platemark.operators.sizing import HOT_ROWS, lookup
+from platemark.session import written
 
 
 @dataclass(frozen=True)
@@ -27,15 +28,22 @@ def broken(df: DataFrame, r: Rule) -> DataFrame:
     return df.filter(F.expr(r.sql("regexp_like"))).select(F.lit(r.rule).alias("rule"), F.lit(r.table).alias("entity"), F.col(r.key).cast("string").alias("key"))
 
 
+def _against_repeated(df: DataFrame, rows: DataFrame, repeated: DataFrame, columns: list[str], spread_by: str) -> DataFrame:
+    """``rows`` of ``df`` beside their repeated key; of a table in which no key can be hot without a look at sizes."""
+    if df.count() <= HOT_ROWS:
+        return rows.join(repeated, columns)
+    return lookup(rows, written(repeated, "repeated"), columns, spread_by=spread_by)
+
+
 def extra_occurrences(df: DataFrame, rule: str, table: str, key: str, columns: list[str], row: str) -> DataFrame:
     """A finding for every row but the first (by ``row``) of rows equal in ``columns``, none of them null.
 
-    Counts and first rows come from one aggregation; rows are then held
-    against the repeated keys only, safe against a hot key.
+    Counts and first rows come from one aggregation, written once where the
+    table is large; rows are then held against the repeated keys only, safe against a hot key.
     """
     rows = df.dropna(subset=columns).select(F.col(key).cast("string").alias("key"), F.col(row).alias("row"), *columns)
     repeated = rows.groupBy(*columns).agg(F.min("row").alias("first_row"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    held = lookup(rows, repeated, columns, spread_by="row")
+    held = _against_repeated(df, rows, repeated, columns, "row")
     return held.filter("row > first_row").select(F.lit(rule).alias("rule"), F.lit(table).alias("entity"), "key")
 
 
@@ -48,7 +56,7 @@ def repeated_occurrences(df: DataFrame, rule: str, table: str, key: str, columns
     rows = df.dropna(subset=columns).select(F.struct(F.col(row).alias("row"), F.col(key).cast("string").alias("key")).alias("at"), *columns)
     counted = rows.groupBy("at", *columns).agg(F.count(F.lit(1)).alias("n"))
     repeated = counted.groupBy(*columns).agg(F.min("at").alias("first_at"), F.sum("n").alias("rows")).filter("rows > 1").drop("rows")
-    held = lookup(counted, repeated, columns, spread_by="at").filter("first_at IS NOT NULL")
+    held = _against_repeated(df, counted, repeated, columns, "at").filter("first_at IS NOT NULL")
     extra = held.withColumn("extra", F.col("n") - F.when(F.col("at") == F.col("first_at"), 1).otherwise(0)).filter("extra > 0")
     return extra.select(F.lit(rule).alias("rule"), F.lit(table).alias("entity"), F.col("at.key").alias("key"), F.explode(F.sequence(F.lit(1), F.col("extra").cast("int")))).drop("col")
 

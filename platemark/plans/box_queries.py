@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from platemark.functions import geometry as g
 from platemark.operators import boxes, grid, matching
 from platemark.operators.references import norm_key
-from platemark.operators.sizing import small_or_shuffled
+from platemark.operators.sizing import lookup, small_or_shuffled
 from platemark.sources.tables import table
 
 PAGE_W, PAGE_H = 6736, 9536
@@ -172,8 +172,11 @@ def _references(spark: SparkSession, folder: str) -> DataFrame:
 
 def match_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The three best approved references of every crop among its candidate pairs, scored anew."""
-    pairs = table(spark, folder, "candidate_assignments").select("filename", "reference_position_id").distinct()
-    joined = pairs.join(_references(spark, folder), "reference_position_id").join(_instances(spark, folder), "filename")
+    pairs = table(spark, folder, "candidate_assignments").select("filename", "reference_position_id").dropna().distinct()
+    crops = _instances(spark, folder).withColumn("crop_there", F.lit(True))
+    refs = _references(spark, folder).withColumn("ref_there", F.lit(True))
+    joined = lookup(pairs, refs, ["reference_position_id"], spread_by="filename").filter("ref_there")
+    joined = lookup(joined, crops, ["filename"], spread_by="reference_position_id").filter("crop_there")
     best = matching.ranked(_rescored(joined), ["filename"], 3, "reference_position_id")
     ident = matching.pair_id(F.col("reference_position_id"), matching.instance_id(F.col("filename")))
     return best.select(ident.alias("candidate_assignment_id"), "filename", "reference_position_id", "rank", *SCORES)
@@ -245,9 +248,6 @@ MATCH_SUMMARY_SQL = MATCH_SQL + f""" SELECT (SELECT count(*) FROM reference_posi
 
 # --- joins and reductions of boxes on one page --------------------------------
 
-SIZE = 600.0
-
-
 def _boxes(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     return signs(spark, folder).select(F.col("row_id").alias("id"), "page", "x", "y", "w", "h", *more)
 
@@ -255,14 +255,14 @@ def _boxes(spark: SparkSession, folder: str, *more: str) -> DataFrame:
 def iou_threshold_join(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of different crops of a page that overlap by a fifth or more."""
     b = _boxes(spark, folder)
-    return boxes.overlapping_pairs(b, b, "page", SIZE, 0.2).filter("left_id < right_id").select("left_id", "right_id", g.round6(F.col("iou")).alias("iou"))
+    return boxes.overlapping_pairs(b, b, "page", 0.2, rank="id").select("left_id", "right_id", g.round6(F.col("iou")).alias("iou"))
 
 
 def nms_greedy(spark: SparkSession, folder: str) -> DataFrame:
     """Crops that survive greedy suppression: larger first, then more confident, then by id."""
     b = _boxes(spark, folder, "confidence")
     order = [-(F.col("w").cast("long") * F.col("h")), -F.coalesce("confidence", F.lit(-1.0)), F.col("id")]
-    return boxes.suppress(b, "page", order, 0.55, SIZE).select("id", "page")
+    return boxes.suppress(b, "page", order, 0.55).select("id", "page")
 
 
 def nearest_box(spark: SparkSession, folder: str) -> DataFrame:

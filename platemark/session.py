@@ -23,11 +23,16 @@ CONF = {
 
 
 def build(master: str = "local[8]", app: str = "platemark", **extra: str) -> SparkSession:
-    """A session with the library's settings; ``extra`` wins over them."""
-    conf = CONF | {"spark.sql.shuffle.partitions": "8"} | extra
+    """A session with the library's settings; ``extra`` wins over them. Only a local one has a fixed number of shuffle partitions."""
+    conf = CONF | ({"spark.sql.shuffle.partitions": "8"} if master.startswith("local") else {}) | extra
     return SparkSession.builder.master(master).appName(app).config(map=conf).getOrCreate()
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks for a step that should use all cores: the session's shuffle partitions, or its cores if they are more."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 

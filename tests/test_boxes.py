@@ -19,11 +19,13 @@ def overlap(a, b):
     return both / (a[4] * a[5] + b[4] * b[5] - both) if both else 0.0
 
 
-@pytest.mark.parametrize("size", [40.0, 1000.0])
+@pytest.mark.parametrize("size", [40.0, 1000.0, None])
 def test_pairs_once_each(spark, size):
     rows, df = some(spark)
-    got = sorted((r.left_id, r.right_id) for r in boxes.overlapping_pairs(df, df, "page", size, 0.1).collect())
+    got = sorted((r.left_id, r.right_id) for r in boxes.overlapping_pairs(df, df, "page", 0.1, size).collect())
     assert got == sorted((a[0], b[0]) for a in rows for b in rows if a[1] == b[1] and overlap(a, b) >= 0.1)
+    once = sorted((r.left_id, r.right_id) for r in boxes.overlapping_pairs(df, df, "page", 0.1, size, "id").collect())
+    assert once == [p for p in got if p[0] < p[1]]
 
 
 def test_suppression_equals_the_sequential_rule(spark):
@@ -46,6 +48,13 @@ def test_nearest(spark):
     assert {r.left_id: r.right_id for r in got.collect()} == expected
 
 
+def test_nearest_knows_no_limit_and_no_missing_centres(spark):
+    left = spark.createDataFrame([(1, 1, 0.0, 0.0, 2.0, 2.0), (2, 1, None, 0.0, 2.0, 2.0), (3, 2, 0.0, 0.0, 2.0, 2.0), (4, 1, float("nan"), 0.0, 2.0, 2.0)], "id long, page int, x double, y double, w double, h double")
+    right = spark.createDataFrame([(7, 1, 3e7, 0.0, 2.0, 2.0), (8, 1, 5e7, 0.0, 2.0, 2.0), (9, 1, None, None, None, None)], "id long, page int, x double, y double, w double, h double")
+    assert [tuple(r) for r in boxes.nearest(left, right, "page", 10.0, 100.0).collect()] == [(1, 7, 3e7)]
+    assert boxes.nearest(left, right.limit(0), "page", 10.0).count() == 0
+
+
 def plain_merge(todo, at_least, distance):
     todo, out = sorted(todo, key=lambda b: (b[1], b[0], b[2], b[3])), []
     while todo:
@@ -78,10 +87,11 @@ def test_rows_are_anchored(spark):
     assert got == {"b": (1, 1), "a": (1, 2), "c": (2, 1), "d": (2, 2), "e": (3, 1)}
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 3])
-def test_suppression_of_long_chains(spark, rounds):
-    at = random.Random(rounds)
-    rows = [(i, 1 + i % 2, i // 2 * 4, 0, 10, 10) for i in range(120)] + [(200 + i, 3, at.randrange(60), at.randrange(60), 10, 10 + at.randrange(5)) for i in range(80)]
+@pytest.mark.parametrize("settled", [0, 150, 500_000])
+def test_suppression_of_long_chains(spark, monkeypatch, settled):
+    monkeypatch.setattr(boxes, "SETTLED", settled)
+    at = random.Random(settled)
+    rows = [(i, 1 + i % 2, i // 2 * 4, 0, 10, 10) for i in range(24)] + [(200 + i, 3, at.randrange(60), at.randrange(60), 10, 10 + at.randrange(5)) for i in range(80)]
     kept = []
     for b in rows:
         def iou(a, b=b):
@@ -91,5 +101,32 @@ def test_suppression_of_long_chains(spark, rounds):
         if not any(a[1] == b[1] and iou(a) >= 0.2 for a in kept):
             kept.append(b)
     df = spark.createDataFrame(rows, "id int, page int, x int, y int, w int, h int")
-    got = boxes.suppress(df, "page", [F.col("id")], 0.2, 60.0, rounds)
+    got = boxes.suppress(df, "page", [F.col("id")], 0.2, 60.0)
     assert sorted(r.id for r in got.collect()) == sorted(b[0] for b in kept)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_folds_of_a_sheet_equal_plain_loops(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice(["a", "b"]), f"i{n:03d}", float(rng.randrange(300)), float(rng.randrange(900 if seed % 2 else 90)), float(rng.randrange(1, 60)), float(rng.randrange(1, 60))) for n in range(90)]
+    df = spark.createDataFrame(rows, "p string, id string, x double, y double, w double, h double")
+    placed, blocks = {}, []
+    for p in ("a", "b"):
+        anchor, number, members = None, 0, []
+        for r in sorted((r for r in rows if r[0] == p), key=lambda r: (r[3], r[2], r[1])):
+            if anchor is None or r[3] - anchor > 20:
+                anchor, number = r[3], number + 1
+            members.append((number, r[2], r[1]))
+        for n in range(1, number + 1):
+            placed |= {m[2]: (n, k) for k, m in enumerate(sorted(m for m in members if m[0] == n), 1)}
+        run = None
+        mine = []
+        for r in sorted((r for r in rows if r[0] == p), key=lambda r: (r[3], r[2], r[4], r[5])):
+            if run and r[3] <= run[3] + 15 and r[2] <= run[2] + 15:
+                run[:] = [min(run[0], r[2]), min(run[1], r[3]), max(run[2], r[2] + r[4]), max(run[3], r[3] + r[5]), run[4] + 1]
+            else:
+                run = [r[2], r[3], r[2] + r[4], r[3] + r[5], 1]
+                mine.append(run)
+        blocks += [(p, n, b[0], b[1], b[2] - b[0], b[3] - b[1], b[4]) for n, b in enumerate(mine, 1)]
+    assert {r.id: (r.row_no, r.column_no) for r in boxes.row_buckets(df, ["p"], 20.0).collect()} == placed
+    assert sorted(tuple(r) for r in boxes.coalesce_boxes(df, ["p"], 15.0).collect()) == sorted(blocks)
