@@ -127,51 +127,35 @@ FROM page_4_signs WHERE code IS NOT NULL"""
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:
-    """``labels_all`` of what was entered in printable ASCII only."""
+    """Readable forms of whatever was entered, in any script, and safe names."""
     s = table(spark, folder, "page_4_signs").filter("code IS NOT NULL")
-    return _labels(s.filter(F.col("code").rlike(r"^[\x20-\x7e]*$")))
-
-
-def labels_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Readable forms of whatever was entered, and safe names."""
-    return _labels(table(spark, folder, "page_4_signs").filter("code IS NOT NULL"))
-
-
-def _labels(s: DataFrame) -> DataFrame:
     return s.select(
         "row_id", text.humanize_title(F.col("code")).alias("title"), text.humanize_label(F.col("code")).alias("label"),
         text.safe_filename(F.col("code")).alias("safe_name"), text.valid_description(F.col("code")).alias("valid_description"),
     )
 
 
-LABELS_SQL = r"""WITH a AS (SELECT row_id, code, regexp_replace(regexp_replace(code, '([a-z])([A-Z])', '\1 \2', 'g'), '([A-Za-z])([0-9])', '\1 \2', 'g') AS t FROM page_4_signs WHERE code IS NOT NULL AND regexp_matches(code, '^[\x20-\x7e]*$')),
-b AS (SELECT row_id, code, trim(regexp_replace(t, '\s+', ' ', 'g')) AS t, regexp_replace(regexp_replace(t, '([0-9])([A-Za-z])', '\1 \2', 'g'), '(?i)sign\b', 'sign', 'g') AS u FROM a),
-c AS (SELECT row_id, code, t, trim(regexp_replace(array_to_string(list_transform(regexp_extract_all(u, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+'), lambda p: CASE WHEN regexp_matches(p, '^[A-Z]{2,}$') THEN lower(p) ELSE p END), ''), '\s+', ' ', 'g')) AS u FROM b)
-SELECT row_id, coalesce(array_to_string(list_transform(regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]+'), lambda p: upper(substr(p, 1, 1)) || lower(substr(p, 2))), ''), '') AS title,
+# The engine of the SQL has its own names for the classes of characters; blanks are those of functions/text.py.
+_BLANKS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+LABELS_SQL = rf"""WITH a AS (SELECT row_id, code, regexp_replace(code, '([a-z])([A-Z])', '\1 \2', 'g') AS s FROM page_4_signs WHERE code IS NOT NULL),
+b AS (SELECT row_id, code, trim(regexp_replace(regexp_replace(s, '([A-Za-z])(\p{{Nd}})', '\1 \2', 'g'), '{_BLANKS}+', ' ', 'g')) AS t,
+  regexp_replace(regexp_replace(regexp_replace(s, '([A-Za-z])([0-9])', '\1 \2', 'g'), '([0-9])([A-Za-z])', '\1 \2', 'g'), '(?i)sign\b', 'sign', 'g') AS u FROM a),
+c AS (SELECT row_id, code, t, trim(regexp_replace(array_to_string(list_transform(regexp_extract_all(u, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+'), lambda p: CASE WHEN regexp_matches(p, '^[A-Z]{{2,}}$') THEN lower(p) ELSE p END), ''), '{_BLANKS}+', ' ', 'g')) AS u FROM b),
+d AS (SELECT *, length(regexp_replace(code, '[^\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(code, '[^\p{{Nd}}\x{{b2}}\x{{b3}}\x{{b9}}\x{{2070}}-\x{{2089}}\x{{2460}}-\x{{2468}}]', '', 'g')) AS digits FROM c)
+SELECT row_id, coalesce(array_to_string(list_transform(regexp_extract_all(t, '[{_CASED}]+|[^{_CASED}]+'), lambda p: upper(substr(p, 1, 1)) || lower(substr(p, 2))), ''), '') AS title,
   coalesce(array_to_string(list_transform(string_split(u, ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' '), '') AS label, regexp_replace(code, '[^A-Za-z0-9_.-]', '_', 'g') AS safe_name,
-  length(regexp_replace(code, '[^A-Za-z]', '', 'g')) >= 3 AND length(regexp_replace(code, '[^0-9]', '', 'g')) <= length(regexp_replace(code, '[^A-Za-z]', '', 'g')) AS valid_description FROM c"""
+  letters >= 3 AND digits <= letters AS valid_description FROM d"""
 
 
 def fallback_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """``fallback_labels_all`` of mappings that have a page."""
-    return _fallback_labels(table(spark, folder, "sign_mappings_clean").filter("page IS NOT NULL"))
-
-
-def fallback_labels_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Label and description of every mapping."""
-    return _fallback_labels(table(spark, folder, "sign_mappings_clean"))
-
-
-def _fallback_labels(s: DataFrame) -> DataFrame:
+    """Label and description of every mapping; a null page reads Pnull-."""
     label, description = text.fallback_label(F.col("page"), F.col("filename"), F.col("code"), F.col("description"))
-    return s.select("mapping_id", label.alias("label"), description.alias("description"))
-
-
-FALLBACK_SQL = """SELECT mapping_id, CASE WHEN coalesce(code, '') <> '' THEN code ELSE 'P' || CAST(page AS VARCHAR) || '-' || CASE WHEN regexp_matches(filename, '_([0-9]+)[.]') THEN regexp_extract(filename, '_([0-9]+)[.]', 1) ELSE 'UNK' END END AS label,
-  CASE WHEN coalesce(description, '') <> '' THEN description WHEN coalesce(code, '') <> '' THEN 'Code ' || code ELSE 'Extracted sign (unlabeled)' END AS description FROM sign_mappings_clean WHERE page IS NOT NULL"""
+    return table(spark, folder, "sign_mappings_clean").select("mapping_id", label.alias("label"), description.alias("description"))
 
 
-FALLBACK_ALL_SQL = FALLBACK_SQL.replace("CAST(page AS VARCHAR)", "coalesce(CAST(page AS VARCHAR), 'null')").removesuffix(" WHERE page IS NOT NULL")
+FALLBACK_SQL = """SELECT mapping_id, CASE WHEN coalesce(code, '') <> '' THEN code ELSE 'P' || coalesce(CAST(page AS VARCHAR), 'null') || '-' || CASE WHEN regexp_matches(filename, '_([0-9]+)[.]') THEN regexp_extract(filename, '_([0-9]+)[.]', 1) ELSE 'UNK' END END AS label,
+  CASE WHEN coalesce(description, '') <> '' THEN description WHEN coalesce(code, '') <> '' THEN 'Code ' || code ELSE 'Extracted sign (unlabeled)' END AS description FROM sign_mappings_clean"""
 
 
 def normalized_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -281,7 +265,7 @@ JOIN ring AS o ON o.place = (a.place - 1 + s.step) % t.total + 1 WHERE p.code <>
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        segments, content_extent, lifecycle_fold, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, labels_all, fallback_labels, fallback_labels_all, normalized_lines,
+        segments, content_extent, lifecycle_fold, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, fallback_labels, normalized_lines,
         grid_cells, region_report, region_from_corners, seeded_cells, library_search, library_page, sample_limit, quiz_options,
     )}
 
@@ -289,7 +273,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "segments": SEGMENTS_SQL, "content_extent": EXTENT_SQL, "lifecycle_fold": LIFECYCLE_SQL, "version_snapshots": VERSIONS_SQL, "id_allocation": ID_SQL,
-        "legend_parse": LEGEND_PARSE_SQL, "legend_line_regex": LINE_REGEX_SQL, "codes_of_text": CODES_SQL, "fallback_labels": FALLBACK_SQL, "fallback_labels_all": FALLBACK_ALL_SQL, "labels": LABELS_SQL, "normalized_lines": NORMALIZED_LINES_SQL,
+        "legend_parse": LEGEND_PARSE_SQL, "legend_line_regex": LINE_REGEX_SQL, "codes_of_text": CODES_SQL, "fallback_labels": FALLBACK_SQL, "labels": LABELS_SQL, "normalized_lines": NORMALIZED_LINES_SQL,
         "grid_cells": GRID_SQL, "region_report": REGION_SQL, "region_from_corners": CORNERS_SQL, "seeded_cells": SEEDED_SQL,
         "library_search": SEARCH_SQL, "library_page": PAGE_SQL, "sample_limit": SAMPLE_SQL, "quiz_options": QUIZ_SQL,
     }

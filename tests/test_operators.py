@@ -109,7 +109,7 @@ def test_repeated_occurrences_at_one_time(spark, monkeypatch, broadcast):
 def test_fallback_labels_without_a_page(spark, tmp_path):
     rows = [(1, None, "p_12.png", "", None), (2, None, "x.png", "R1", "Stop"), (3, 4, None, None, ""), (4, None, None, None, "Stop")]
     spark.createDataFrame(rows, "mapping_id int, page int, filename string, code string, description string").write.parquet(str(tmp_path / "sign_mappings_clean.parquet"))
-    got = sorted(tuple(r) for r in sequence_queries.fallback_labels_all(spark, str(tmp_path)).collect())
+    got = sorted(tuple(r) for r in sequence_queries.fallback_labels(spark, str(tmp_path)).collect())
     assert got == [(1, "Pnull-12", "Extracted sign (unlabeled)"), (2, "R1", "Stop"), (3, "P4-UNK", "Extracted sign (unlabeled)"), (4, "Pnull-UNK", "Stop")]
 
 
@@ -130,7 +130,7 @@ def test_labels_of_all_texts(spark, tmp_path):
     at = random.Random(7)
     texts = fixed + ["".join(at.choice("abZSIGNsign  09_-.éÉßΣσ–·Ｒ３\u00a0²①漢\u0301٣") for _ in range(at.randrange(14))) for _ in range(400)]
     spark.createDataFrame(list(enumerate(texts)), "row_id int, code string").write.parquet(str(tmp_path / "page_4_signs.parquet"))
-    got = {r.row_id: (r.title, r.label, r.safe_name, r.valid_description) for r in sequence_queries.labels_all(spark, str(tmp_path)).collect()}
+    got = {r.row_id: (r.title, r.label, r.safe_name, r.valid_description) for r in sequence_queries.labels(spark, str(tmp_path)).collect()}
     assert [(t, got.get(i)) for i, t in enumerate(texts) if got.get(i) != plain_labels(t)] == []
 
 
