@@ -313,6 +313,23 @@ walk AS (SELECT edition, page_number, n, x, y, x + w AS r, y + h AS b, 1 AS bloc
   FROM walk AS k JOIN o ON o.edition = k.edition AND o.page_number = k.page_number AND o.n = k.n + 1),
 done AS (SELECT *, row_number() OVER (PARTITION BY edition, page_number, block_no ORDER BY n DESC) AS last FROM walk)
 SELECT edition, page_number, block_no, x, y, r - x AS w, b - y AS h, members FROM done WHERE last = 1"""
+_ACROSS, _DOWN = "least(x + w, b.x + b.w) - greatest(x, b.x)", "least(y + h, b.y + b.h) - greatest(y, b.y)"
+_BOTH = f"(CASE WHEN {_ACROSS} > 0 AND {_DOWN} > 0 THEN ({_ACROSS}) * ({_DOWN}) ELSE 0.0 END)"
+_SHARE = f"coalesce({_BOTH} / nullif(w * h + b.w * b.h - {_BOTH}, 0), 0.0) >= 0.14"
+_APART = "sqrt(((x + w / 2) - (b.x + b.w / 2)) * ((x + w / 2) - (b.x + b.w / 2)) + ((y + h / 2) - (b.y + b.h / 2)) * ((y + h / 2) - (b.y + b.h / 2))) <= 40"
+_FIRST_HIT = f"list_position(list_transform(rest, lambda b: {_SHARE} OR {_APART}), true)"
+# The running box and those after it; a step takes in the first that is hit, or, with none, goes on to the next box.
+MERGE_SQL = f"""WITH RECURSIVE {SHEET_SQL},
+q AS (SELECT edition, page_number, list(struct_pack(x := x, y := y, w := w, h := h) ORDER BY y, x, w, h) AS l FROM sheet GROUP BY edition, page_number),
+walk AS (
+  SELECT *, {_FIRST_HIT} AS k FROM (SELECT edition, page_number, l[1].x AS x, l[1].y AS y, l[1].w AS w, l[1].h AS h, 1 AS members, l[2:] AS rest FROM q) AS s
+  UNION ALL
+  SELECT *, {_FIRST_HIT} AS k FROM (
+    SELECT edition, page_number, CASE WHEN k > 0 THEN least(x, rest[k].x) ELSE rest[1].x END AS x, CASE WHEN k > 0 THEN least(y, rest[k].y) ELSE rest[1].y END AS y,
+      CASE WHEN k > 0 THEN greatest(x + w, rest[k].x + rest[k].w) - least(x, rest[k].x) ELSE rest[1].w END AS w, CASE WHEN k > 0 THEN greatest(y + h, rest[k].y + rest[k].h) - least(y, rest[k].y) ELSE rest[1].h END AS h,
+      CASE WHEN k > 0 THEN members + 1 ELSE 1 END AS members, CASE WHEN k > 0 THEN list_concat(rest[1:k - 1], rest[k + 1:]) ELSE rest[2:] END AS rest
+    FROM walk WHERE k > 0 OR len(rest) > 0) AS s)
+SELECT edition, page_number, x, y, w, h, CAST(members AS INTEGER) AS members FROM walk WHERE coalesce(k, 0) = 0"""
 IOU_JOIN_SQL = f"""SELECT left_id, right_id, {_r6('iou')} AS iou FROM (
   SELECT a.row_id AS left_id, b.row_id AS right_id, {_iou('a.', 'b.')} AS iou FROM page_4_signs AS a JOIN page_4_signs AS b ON a.page = b.page AND a.row_id < b.row_id
   WHERE a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h) AS p WHERE iou >= 0.2"""
@@ -345,5 +362,5 @@ def oracle_sql() -> dict[str, str]:
         "box_normalize": BOX_NORMALIZE_SQL, "box_size_filter": BOX_SIZE_FILTER_SQL, "box_fp_filter": BOX_FP_FILTER_SQL, "box_clamp": BOX_CLAMP_SQL,
         "box_pad": BOX_PAD_SQL, "box_pad_fixed": _fixed(6), "box_expand": _fixed(10), "confidence_score": CONFIDENCE_SQL, "refine_retry": REFINE_SQL,
         "match_topk": MATCH_TOPK_SQL, "page_match": PAGE_MATCH_SQL, "page_match_all": PAGE_MATCH_ALL_SQL, "match_summary": MATCH_SUMMARY_SQL,
-        "iou_threshold_join": IOU_JOIN_SQL, "nms_greedy": NMS_SQL, "nearest_box": NEAREST_SQL, "row_bucketing": ROW_BUCKETING_SQL, "coalesce_text_boxes": COALESCE_SQL,
+        "iou_threshold_join": IOU_JOIN_SQL, "nms_greedy": NMS_SQL, "nearest_box": NEAREST_SQL, "merge_boxes_fixpoint": MERGE_SQL, "row_bucketing": ROW_BUCKETING_SQL, "coalesce_text_boxes": COALESCE_SQL,
     }

@@ -261,6 +261,6 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
-_HEX = " + ".join(f"CAST(strpos('0123456789abcdef', substr(d, {i + 1}, 1)) - 1 AS BIGINT) * {16 ** (14 - i)}" for i in range(15))
-CANONICAL_SQL = f"""SELECT run_id, count(*) AS n_rows, CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS digest FROM (SELECT run_id, {_HEX} AS h FROM (
-  SELECT run_id, sha256(coalesce(candidate_assignment_id, '~') || '|' || coalesce(filename, '~') || '|' || coalesce(reference_position_id, '~') || '|' || coalesce(status, '~')) AS d FROM candidate_assignments) AS s) AS t GROUP BY run_id"""
+_VALUES = " || ".join(f"CASE WHEN {c} IS NULL THEN 'n' ELSE 's' || strlen({c}) || ':' || {c} END" for c in ("candidate_assignment_id", "filename", "reference_position_id", "status"))
+_QUARTERS = " || '-' || ".join(f"CAST(sum(CAST(CAST('0x' || substr(h, {1 + 16 * i}, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(4))
+CANONICAL_SQL = f"SELECT run_id, count(*) AS n_rows, {_QUARTERS} AS digest FROM (SELECT run_id, sha256({_VALUES}) AS h FROM candidate_assignments) AS s GROUP BY run_id"

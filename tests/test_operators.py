@@ -69,6 +69,9 @@ def test_digest_ignores_order_and_partitions_but_not_rows(spark):
     digest = lambda d: sorted(tuple(r) for r in merge.canonical_hash(d, ["v"], ["g"]).collect())
     assert digest(df) == digest(df.orderBy(F.desc("v")).repartition(7))
     assert digest(df) != digest(df.filter("v <> 'v3'"))
+    texts = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("~", "c"), ("n", "c"), ("", "c"), ("a", None), (None, "a"), ("ab", ""), ("a", "b")]
+    one = lambda r: merge.canonical_hash(spark.createDataFrame([(1, *r)], "g int, v string, w string"), ["v", "w"], ["g"]).first().digest
+    assert len({one(r) for r in texts}) == len(texts)
 
 
 @pytest.mark.parametrize("parts", [1, 5])
