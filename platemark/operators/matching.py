@@ -20,6 +20,12 @@ class Weights:
     area: float = 0.1
     text_bonus: float = 0.15
 
+    @classmethod
+    def of(cls, config: dict) -> Weights:
+        """Weights of a configuration; what it doesn't name is as by default."""
+        names = {"iou": "overlap", "center": "centre", "area": "area", "ocr_bonus": "text_bonus"}
+        return cls(**{names[k]: float(v) for k, v in config.get("weights", {}).items() if k in names})
+
 
 def text_agreement(read: Column, official: Column) -> tuple[Column, Column]:
     """(agreement, score): unavailable without text, else consistent or inconsistent."""

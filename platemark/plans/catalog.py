@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from platemark.plans import box_queries, curation_queries, problem_queries, rule_queries, sequence_queries
+from platemark.plans import box_queries, curation_queries, io_queries, problem_queries, rule_queries, sequence_queries
 
-MODULES = [problem_queries, box_queries, curation_queries, rule_queries, sequence_queries]
+MODULES = [problem_queries, box_queries, curation_queries, rule_queries, sequence_queries, io_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +14,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place))
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str, required: bool = False) -> DataFrame:
-    """A JSON array (or several files of them) as rows of ``schema``; missing files are empty tables unless ``required``."""
+def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str, required: bool = False, lines: bool = False) -> DataFrame:
+    """A JSON array (or several files of them; with ``lines`` an object on each line) as rows of ``schema``; missing files are empty tables unless ``required``."""
     paths = [p for p in ([path] if isinstance(path, str) else path) if required or _exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(paths, multiLine=True)
+    return spark.read.schema(schema).json(paths, multiLine=not lines)
 
 
 def read_document(spark: SparkSession, path: str, rows: str, row_schema: T.StructType, header: T.StructType | None = None) -> DataFrame:
@@ -71,27 +69,52 @@ def write_csv(df: DataFrame, path: str) -> None:
     (df.withColumns(nested) if nested else df).write.mode("overwrite").csv(path, header=True)
 
 
-def write_manifest(path: str, **facts: object) -> None:
-    """One run's facts as readable JSON: a driver-side file of a few lines."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as out:
-        json.dump(facts, out, indent=2, ensure_ascii=False, sort_keys=True)
-        out.write("\n")
+def write_json_array(df: DataFrame, path: str, order: list[str], most: int = 100_000) -> None:
+    """One JSON array, indented, in ``order``: a document that people read, of at most ``most`` rows; larger tables go to ``write_json``."""
+    rows = df.orderBy(*order).limit(most + 1).select(F.to_json(F.struct(*df.columns), {"pretty": "true", "ignoreNullFields": "false"})).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows are no document")
+    body = ",\n".join("  " + r[0].replace("\n", "\n  ") for r in rows)
+    write_bytes(df.sparkSession, path, (f"[\n{body}\n]\n" if rows else "[]\n").encode())
 
 
-def missing_sources(wanted: DataFrame, files: DataFrame, name: str) -> DataFrame:
-    """Rows whose file isn't there: a publication that copies all must find none."""
-    return with_existence(wanted, files, name).filter(~F.col("exists")).drop("exists")
+def write_manifest(spark: SparkSession, path: str, **facts: object) -> None:
+    """One run's facts as readable JSON: a few lines, on whatever file system the path is."""
+    write_bytes(spark, path, (json.dumps(facts, indent=2, ensure_ascii=False, sort_keys=True) + "\n").encode())
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file, on whatever file system the path is; one that is there is replaced."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    for at in range(0, len(content), 8_000_000):
+        out.write(bytearray(content[at : at + 8_000_000]))
+    out.close()
+
 
+def read_config(spark: SparkSession, path: str) -> dict:
+    """A configuration: one JSON object of a few lines."""
+    found = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    if not isinstance(found, dict):
+        raise ValueError(f"{path} is no JSON object")
+    return found
 
-def plugin(name: str, library: str) -> Callable[..., DataFrame]:
-    """An operator on pixels that needs a library which isn't part of the engine; says so when it is called."""
 
-    def call(*_: object, **__: object) -> DataFrame:
-        try:
-            __import__(library)
-        except ImportError as e:
-            raise RuntimeError(f"{name} needs the optional library {library}, which isn't installed") from e
-        raise NotImplementedError(f"{name}: give a function of image bytes to images.map_images")
+def create_if_absent(spark: SparkSession, path: str, document: dict) -> bool:
+    """Writes a document where there is none yet; tells whether it did."""
+    if _exists(spark, path):
+        return False
+    write_bytes(spark, path, (json.dumps(document, indent=2, ensure_ascii=False) + "\n").encode())
+    return True
 
-    return call
+
+def container_problems(spark: SparkSession, path: str, expected: str) -> DataFrame:
+    """(path, problem) of JSON files that aren't the ``expected`` container, 'list' or 'object'."""
+    first = F.substring(F.regexp_replace("value", r"^[\s\x{feff}]+", ""), 1, 1)
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), first.alias("first"))
+    return files.filter(F.col("first") != {"list": "[", "object": "{"}[expected]).select("path", F.lit(f"expected {expected}").alias("problem"))
+
+
+def missing_sources(wanted: DataFrame, files: DataFrame, name: str) -> DataFrame:
+    """Rows whose file isn't there: a publication that copies all must find none."""
+    return with_existence(wanted, files, name).filter(~F.col("exists")).drop("exists")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from platemark.operators.matching import Weights
 from platemark.operators.sequence import last_states
 from platemark.sources import images, io
 from platemark.streaming import lifecycle
@@ -56,18 +57,35 @@ def test_sinks_and_manifest(spark, tmp_path):
     assert [tuple(r) for r in spark.read.schema(ROW).json(str(tmp_path / "j")).collect()] == [(1, "")]
     io.write_json(df.limit(0), str(tmp_path / "j"))
     assert spark.read.schema(ROW).json(str(tmp_path / "j")).count() == 0
-    io.write_manifest(str(tmp_path / "m" / "run.json"), rows=3, name="ü")
+    io.write_manifest(spark, f"file://{tmp_path}/m/run.json", rows=3, name="ü")
     assert json.loads((tmp_path / "m" / "run.json").read_text()) == {"name": "ü", "rows": 3}
 
 
+def test_documents_and_configurations(spark, tmp_path):
+    df = spark.createDataFrame([(2, "ü\n"), (1, None)], ROW)
+    io.write_json_array(df, str(tmp_path / "a.json"), ["a"])
+    text = (tmp_path / "a.json").read_text()
+    assert json.loads(text) == [{"a": 1, "b": None}, {"a": 2, "b": "ü\n"}] and text.startswith("[\n  {\n    ")
+    io.write_json_array(df.limit(0), str(tmp_path / "e.json"), ["a"])
+    assert json.loads((tmp_path / "e.json").read_text()) == []
+    with pytest.raises(ValueError, match="no document"):
+        io.write_json_array(df, str(tmp_path / "b.json"), ["a"], most=1)
+    assert io.create_if_absent(spark, str(tmp_path / "c.json"), {"weights": {"iou": 0.5, "ocr_bonus": 0}, "top_k": 3})
+    assert not io.create_if_absent(spark, str(tmp_path / "c.json"), {})
+    config = io.read_config(spark, str(tmp_path / "c.json"))
+    assert config["top_k"] == 3 and Weights.of(config) == Weights(overlap=0.5, text_bonus=0.0) and Weights.of({}) == Weights()
+    with pytest.raises(ValueError, match="no JSON object"):
+        io.read_config(spark, str(tmp_path / "e.json"))
+    assert [(r.path.split("/")[-1], r.problem) for r in io.container_problems(spark, str(tmp_path), "list").collect()] == [("c.json", "expected list")]
+    assert io.container_problems(spark, str(tmp_path / "c.json"), "object").count() == 0
+
+
 def test_images(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"abc")
     files = spark.read.format("binaryFile").load(str(tmp_path))
     assert [tuple(r) for r in images.map_images(files, lambda p, c: [{"n": len(c)}], "n int").collect()] == [(3,)]
     pixels = spark.createDataFrame([("p", 0, 10), ("p", 0, 255), ("p", 1, 255)], "page string, y int, value int")
     assert sorted((r.y, r.ink, r.density) for r in images.ink_profile(pixels, ["page"], "y").collect()) == [(0, 1, 0.5), (1, 0, 0.0)]
-    with pytest.raises((RuntimeError, NotImplementedError)):
-        images.detect_regions()
 
 
 def test_streams_equal_batches(spark, tmp_path):
