@@ -1,4 +1,8 @@
-"""Text expressions: normalisation, labels, codes, descriptions."""
+"""Text expressions: normalisation, labels, codes, descriptions.
+
+Patterns, and the order in which they are applied, are fixed values: results
+depend on them.
+"""
 
 from __future__ import annotations
 
@@ -72,19 +76,24 @@ def split_codes(part: Column) -> Column:
 
 
 def code_key(code: Column) -> tuple[Column, Column]:
-    """Natural order: the letters, then the rest without points as a number."""
+    """Natural order: the letters, then the rest without points as a number of up to 38 digits; null if it is none."""
     letters = F.regexp_replace(code, r"[^\p{L}]", "")
-    return letters, F.try_to_number(F.replace(F.substr(code, F.length(letters) + 1), F.lit("."), F.lit("")), F.lit("999999999")).cast("long")
+    rest = F.replace(F.substr(code, F.length(letters) + 1), F.lit("."), F.lit(""))
+    return letters, F.when(rest.rlike("^[0-9]+$"), rest.try_cast("decimal(38,0)"))
 
 
 def safe_filename(name: Column) -> Column:
     return F.regexp_replace(name, r"[^A-Za-z0-9_.-]", "_")
 
 
+# Wordings where a label or a description is missing (fixed values).
+NO_NUMBER, CODE_ONLY, UNLABELED = "UNK", "Code ", "Extracted sign (unlabeled)"
+
+
 def fallback_label(page: Column, filename: Column, code: Column, description: Column) -> tuple[Column, Column]:
     """(label, description): the code, else page (or null) and running number; the description, else a phrase for it."""
     number = F.regexp_extract(F.coalesce(filename, F.lit("")), r"_([0-9]+)\.", 1)
     blank = lambda c: F.coalesce(c, F.lit("")) == ""
-    label = F.when(~blank(code), code).otherwise(F.concat(F.lit("P"), F.coalesce(page.cast("string"), F.lit("null")), F.lit("-"), F.when(number != "", number).otherwise("UNK")))
-    text = F.when(~blank(description), description).when(~blank(code), F.concat(F.lit("Code "), code)).otherwise("Extracted sign (unlabeled)")
+    label = F.when(~blank(code), code).otherwise(F.concat(F.lit("P"), F.coalesce(page.cast("string"), F.lit("null")), F.lit("-"), F.when(number != "", number).otherwise(NO_NUMBER)))
+    text = F.when(~blank(description), description).when(~blank(code), F.concat(F.lit(CODE_ONLY), code)).otherwise(UNLABELED)
     return label, text

@@ -13,6 +13,7 @@ from platemark.operators.references import norm_key
 from platemark.operators.sizing import lookup, small_or_shuffled
 from platemark.sources.tables import table
 
+# Size of a page in pixels, and in the queries below thresholds, shares and paddings (fixed values).
 PAGE_W, PAGE_H = 6736, 9536
 APPROVED = "approval_state = 'approved' AND reference_status = 'verified'"
 

@@ -209,16 +209,34 @@ def region_from_corners(spark: SparkSession, folder: str) -> DataFrame:
 CORNERS_SQL = "SELECT row_id, CAST(round_even((w - 6) / 4.0, 0) AS INTEGER) AS column_width, CAST(round_even((h - 6) / 3.0, 0) AS INTEGER) AS row_height FROM page_4_signs"
 
 
+# Grid of seeded cells: columns, pages, left and top of the first, steps to the next (fixed values).
+SEED_COLUMNS, SEED_PAGES, SEED_X, SEED_Y, SEED_STEP_X, SEED_STEP_Y = 4, 5, 0.06, 0.08, 0.20, 0.22
+# Events each seeded position goes through, and what its creation sets (fixed values).
+SEED_EVENTS = ["create", "review", "approve"]
+CREATED = {"create": {"reference_status": "draft", "validation_status": "pending", "approval_state": "draft"}}
+
+
 def seeded_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Pages in turn, grid places and boxes for new cells, one for each row of the legend."""
     i = F.col("legend_row") - 1
-    column, row = F.pmod(i, F.lit(4)), F.floor(F.pmod(i, F.lit(16)) / 4)
+    column, row = F.pmod(i, F.lit(SEED_COLUMNS)), F.floor(F.pmod(i, F.lit(16)) / SEED_COLUMNS)
     return table(spark, folder, "sign_legend").select(
-        "legend_row", (F.pmod(i, F.lit(5)) + 1).alias("page"), (F.floor(i / 4) + 1).alias("grid_row"), (column + 1).alias("grid_col"),
-        round6(0.06 + column * 0.20).alias("norm_x"), round6(0.08 + row * 0.22).alias("norm_y"),
+        "legend_row", (F.pmod(i, F.lit(SEED_PAGES)) + 1).alias("page"), (F.floor(i / SEED_COLUMNS) + 1).alias("grid_row"), (column + 1).alias("grid_col"),
+        round6(SEED_X + column * SEED_STEP_X).alias("norm_x"), round6(SEED_Y + row * SEED_STEP_Y).alias("norm_y"),
     )
 
 
+def seeded_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions of the positions of seeded cells: created, reviewed, approved."""
+    events = table(spark, folder, "sign_legend").select("legend_row", F.posexplode(F.array(*[F.lit(e) for e in SEED_EVENTS])).alias("place", "event"))
+    states = sequence.versions(events, "legend_row", [F.col("place")], CREATED | EFFECTS, "event")
+    return states.select("legend_row", "version_no", "event", "reference_status", "validation_status", "approval_state")
+
+
+SEEDED_LIFECYCLE_SQL = """SELECT legend_row, v.* FROM sign_legend, (VALUES (CAST(1 AS BIGINT), 'create', 'draft', 'pending', 'draft'), (2, 'review', 'draft', 'reviewed', 'in_review'), (3, 'approve', 'verified', 'valid', 'approved'))
+AS v(version_no, event, reference_status, validation_status, approval_state)"""
+
+
 SEEDED_SQL = """SELECT legend_row, (legend_row - 1) % 5 + 1 AS page, CAST(floor((legend_row - 1) / 4.0) AS BIGINT) + 1 AS grid_row, (legend_row - 1) % 4 + 1 AS grid_col,
   floor((0.06 + ((legend_row - 1) % 4) * 0.20) * 1000000.0 + 0.5) / 1000000.0 AS norm_x, floor((0.08 + floor(((legend_row - 1) % 16) / 4.0) * 0.22) * 1000000.0 + 0.5) / 1000000.0 AS norm_y FROM sign_legend WHERE legend_row >= 1"""
 
@@ -266,7 +284,7 @@ JOIN ring AS o ON o.place = (a.place - 1 + s.step) % t.total + 1 WHERE p.code <>
 def queries() -> dict:
     return {f.__name__: f for f in (
         segments, content_extent, lifecycle_fold, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, fallback_labels, normalized_lines,
-        grid_cells, region_report, region_from_corners, seeded_cells, library_search, library_page, sample_limit, quiz_options,
+        grid_cells, region_report, region_from_corners, seeded_cells, seeded_lifecycle, library_search, library_page, sample_limit, quiz_options,
     )}
 
 
@@ -274,6 +292,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "segments": SEGMENTS_SQL, "content_extent": EXTENT_SQL, "lifecycle_fold": LIFECYCLE_SQL, "version_snapshots": VERSIONS_SQL, "id_allocation": ID_SQL,
         "legend_parse": LEGEND_PARSE_SQL, "legend_line_regex": LINE_REGEX_SQL, "codes_of_text": CODES_SQL, "fallback_labels": FALLBACK_SQL, "labels": LABELS_SQL, "normalized_lines": NORMALIZED_LINES_SQL,
-        "grid_cells": GRID_SQL, "region_report": REGION_SQL, "region_from_corners": CORNERS_SQL, "seeded_cells": SEEDED_SQL,
+        "grid_cells": GRID_SQL, "region_report": REGION_SQL, "region_from_corners": CORNERS_SQL, "seeded_cells": SEEDED_SQL, "seeded_lifecycle": SEEDED_LIFECYCLE_SQL,
         "library_search": SEARCH_SQL, "library_page": PAGE_SQL, "sample_limit": SAMPLE_SQL, "quiz_options": QUIZ_SQL,
     }
