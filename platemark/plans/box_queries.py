@@ -186,8 +186,10 @@ def match_topk(spark: SparkSession, folder: str) -> DataFrame:
 def page_match(spark: SparkSession, folder: str) -> DataFrame:
     """The three best references of a crop in each edition that some run was made for, and in no other; ``page_match_all`` knows no editions.
 
-    References of one edition's page are what a sheet holds, so the pairs of a
-    crop are few; the partial rank limit cuts them before anything is shuffled.
+    A crop knows no edition, so it meets the references of its page number in
+    every edition that has a run: the pairs grow with crops times editions
+    times what a sheet holds. The partial rank limit cuts them before anything
+    is shuffled.
     """
     editions = table(spark, folder, "reference_matcher_run_manifest").select(norm_key("edition_id").alias("edition")).distinct()
     refs = _references(spark, folder).join(small_or_shuffled(editions), "edition").withColumnRenamed("page_number", "page")
