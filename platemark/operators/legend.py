@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from platemark.functions import text as t
+from platemark.operators.running import Running, running
 
 #: A code of a legend (fixed value).
 CODE = r"[A-Z]{1,3}[0-9]{1,3}(?:\.[0-9]+)?"
@@ -26,8 +26,8 @@ def parse(lines: DataFrame, block: str, place: str, line: str) -> DataFrame:
     clean = lines.filter(F.trim(line) != "").select(block, F.col(place).alias("line_no"), t.normalize_line(F.col(line)).alias("line"))
     is_codes = F.col("line").rlike(CODES_LINE)
     marked = clean.withColumn("codes", F.when(is_codes, t.split_codes(F.regexp_extract("line", CODES_LINE, 1)))).withColumn("rest", F.when(is_codes, F.trim(F.regexp_extract("line", CODES_LINE, 2))).otherwise(F.col("line")))
-    w = W.partitionBy(block).orderBy("line_no").rowsBetween(W.unboundedPreceding, 0)
-    grouped = marked.withColumn("segment", F.sum(F.when(F.col("codes").isNotNull(), 1).otherwise(0)).over(w)).filter("segment > 0")
+    begun = F.when(F.col("codes").isNotNull(), 1).otherwise(0)
+    grouped = running(marked, [block], ["line_no"], Running(sums={"segment": begun})).filter("segment > 0")
     first = F.min_by("rest", F.when(t.valid_description(F.col("rest")), F.col("line_no")))
     entries = grouped.groupBy(block, "segment").agg(F.min("line_no").alias("line_no"), F.first("codes", ignorenulls=True).alias("codes"), first.alias("description"))
     return entries.filter(F.col("description").isNotNull()).select(block, "line_no", F.explode("codes").alias("code"), "description")

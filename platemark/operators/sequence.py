@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from platemark.operators.running import Running, running
 from platemark.session import cut, tasks
 
 
@@ -66,13 +67,11 @@ def last_states(events: DataFrame, key: str, place: list[Column], effects: dict[
     )
 
 
-def versions(events: DataFrame, key: str, place: list[Column], effects: dict[str, dict[str, str]], event: str) -> DataFrame:
-    """Every event as a version: version_no from 1, and the fields as they stand after it."""
-    w = W.partitionBy(key).orderBy(*place)
-    running = w.rowsBetween(W.unboundedPreceding, 0)
+def versions(events: DataFrame, key: str, place: list[str], effects: dict[str, dict[str, str]], event: str) -> DataFrame:
+    """Every event as a version: version_no from 1, and the fields as they stand after it. A hot key is cut into chunks."""
     fields = sorted({f for e in effects.values() for f in e})
     sets = {f: F.coalesce(*[F.when(F.col(event) == e, v[f]) for e, v in effects.items() if f in v]) for f in fields}
-    return events.select("*", F.row_number().over(w).cast("long").alias("version_no"), *[F.last(c, ignorenulls=True).over(running).alias(f) for f, c in sets.items()])
+    return running(events, [key], place, Running(number="version_no", last=sets))
 
 
 def page_of(df: DataFrame, order: list[Column], offset: int, size: int) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platemark.operators.running import Running, running
 from platemark.operators.sizing import HOT_ROWS, lookup
 from platemark.session import written
 
@@ -68,11 +69,9 @@ def missing_fields(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 
 def unordered(df: DataFrame, ordinal: str, keys: list[str], partition: str) -> DataFrame:
-    """Rows (by ``ordinal``, within ``partition``) whose keys are smaller than those of the row before."""
-    from pyspark.sql.window import Window as W
-
-    before = F.lag(F.struct(*keys)).over(W.partitionBy(partition).orderBy(ordinal))
-    return df.withColumn("_before", before).filter(F.col("_before").isNotNull() & (F.struct(*keys) < F.col("_before"))).drop("_before")
+    """Rows (by ``ordinal``, within ``partition``) whose keys are smaller than those of the row before. A hot partition is cut into chunks."""
+    rows = running(df, [partition], [ordinal], Running(before={"_before": F.struct(*keys)}))
+    return rows.filter(F.col("_before").isNotNull() & (F.struct(*keys) < F.col("_before"))).drop("_before")
 
 
 def required_columns(df: DataFrame, required: list[str]) -> list[str]:

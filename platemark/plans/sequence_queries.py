@@ -62,7 +62,7 @@ def lifecycle_fold(spark: SparkSession, folder: str) -> DataFrame:
 
 def version_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Every event as a version with the state after it."""
-    out = sequence.versions(_log(spark, folder), "user_id", [F.col("ts"), F.col("event_id")], EFFECTS, "event")
+    out = sequence.versions(_log(spark, folder), "user_id", ["ts", "event_id"], EFFECTS, "event")
     return out.select("user_id", "event_id", "event", "version_no", "approval_state", "archived", "reference_status", "validation_status")
 
 
@@ -229,7 +229,7 @@ def seeded_cells(spark: SparkSession, folder: str) -> DataFrame:
 def seeded_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
     """Versions of the positions of seeded cells: created, reviewed, approved."""
     events = table(spark, folder, "sign_legend").select("legend_row", F.posexplode(F.array(*[F.lit(e) for e in SEED_EVENTS])).alias("place", "event"))
-    states = sequence.versions(events, "legend_row", [F.col("place")], CREATED | EFFECTS, "event")
+    states = sequence.versions(events, "legend_row", ["place"], CREATED | EFFECTS, "event")
     return states.select("legend_row", "version_no", "event", "reference_status", "validation_status", "approval_state")
 
 
