@@ -68,14 +68,15 @@ def canonical_hash(df: DataFrame, columns: list[str], by: list[str]) -> DataFram
     """(by, n_rows, digest): a hash of each group's rows as a multiset, whatever their order.
 
     A row's text gives each value with its length, and null by another letter,
-    so different rows have different texts. The digest is the sums of the four
-    quarters of the rows' SHA-256, exact and mergeable, so no group is
-    gathered to be sorted.
+    so different rows have different texts. The digest is the sums of four
+    parts, 60 bits each, of the rows' SHA-256, exact and mergeable, so no
+    group is gathered to be sorted.
     """
     value = lambda c: F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("s"), F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")))
     hashed = df.select(*by, F.sha2(F.concat(*[value(c) for c in columns]), 256).alias("h"))
-    quarters = [F.sum(F.conv(F.substring("h", 1 + 16 * i, 16), 16, 10).cast("decimal(38,0)")).cast("string") for i in range(4)]
-    return hashed.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *quarters).alias("digest"))
+    parts = hashed.select(*by, *[F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("long").alias(f"h{i}") for i in range(4)])
+    sums = [F.sum(F.col(f"h{i}").cast("decimal(38,0)")).cast("string") for i in range(4)]
+    return parts.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *sums).alias("digest"))
 
 
 def sorted_union(a: Column, b: Column) -> Column:

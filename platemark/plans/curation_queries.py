@@ -262,5 +262,5 @@ def oracle_sql() -> dict[str, str]:
 
 
 _VALUES = " || ".join(f"CASE WHEN {c} IS NULL THEN 'n' ELSE 's' || strlen({c}) || ':' || {c} END" for c in ("candidate_assignment_id", "filename", "reference_position_id", "status"))
-_QUARTERS = " || '-' || ".join(f"CAST(sum(CAST(CAST('0x' || substr(h, {1 + 16 * i}, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(4))
+_QUARTERS = " || '-' || ".join(f"CAST(sum(CAST(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS UBIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(4))
 CANONICAL_SQL = f"SELECT run_id, count(*) AS n_rows, {_QUARTERS} AS digest FROM (SELECT run_id, sha256({_VALUES}) AS h FROM candidate_assignments) AS s GROUP BY run_id"
