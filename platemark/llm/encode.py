@@ -12,11 +12,9 @@ depend on which words are in the lexicon; only the speed does.
 from __future__ import annotations
 
 import os
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -28,28 +26,27 @@ from platemark.session import shared_path
 
 #: Most words of the lexicon (bounds what the driver compiles and an executor fetches), and their most bytes.
 LEXICON_WORDS, LEXICON_BYTES = 65_536, 48
-#: Distinct words a task counts, or remembers the merges of, before it hands over or starts anew.
-COUNT_AT, REMEMBER = 400_000, 200_000
+#: Characters of a text whose words are counted at once.
+STRETCH = 1_000_000
+#: Distinct words a task remembers the merges of before it starts anew.
+REMEMBER = 200_000
 #: Characters of text that are split at once.
 CHUNK = 4_000_000
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
-    """(word, n) over all texts: words as the pattern splits them, whole texts, all rows."""
+    """(word, n) over all texts: words as the pattern splits them, whole texts, all rows; counted without leaving the JVM.
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, seen = vocab.splitter().findall, Counter()
-        for batch in batches:
-            for t in batch["t"]:
-                seen.update(split(t))
-                if len(seen) >= COUNT_AT:
-                    yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-                    seen = Counter()
-        if seen:
-            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-
-    texts = df.select(F.col(text).alias("t")).filter(F.col("t") != "")
-    return texts.mapInPandas(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    A text of more than STRETCH characters is taken in stretches of that size,
+    whose words are all that is held at once. A word across two of them, or of
+    characters that the encoder's own splitter should class in another way,
+    is counted as what isn't looked up later: that costs time, never a wrong id.
+    """
+    length = F.length(text)
+    stretches = F.transform(F.sequence(F.lit(0), F.floor((length - 1) / STRETCH).cast("int")), lambda i: F.substr(F.col(text), i * STRETCH + 1, F.lit(STRETCH)))
+    texts = df.filter(F.col(text) != "").select(F.explode(F.when(length <= STRETCH, F.array(text)).otherwise(stretches)).alias("t"))
+    words = texts.select(F.explode(F.regexp_extract_all("t", F.lit(vocab.PATTERN), 0)).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def build_lexicon(df: DataFrame, text: str, ranks: dict[bytes, int]) -> str:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -65,5 +66,19 @@ def test_words_of_all_texts_are_counted(spark):
     assert {(r.word, r.n) for r in encode.word_counts(df, "text").collect()} == {("a", 2), (" b", 2), (" a", 2)}
 
 
+def test_counts_equal_the_encoders_own_splitting(spark):
+    texts = ["It's a déjà vu,\u00a0isn't it?  1234 \r\n\t 漢字 かな 한국어 🚲🚲 x\u0085y \u3000", "über  \n\n ÀB c9d", "", " "]
+    own = Counter(w for t in texts for w in vocab.splitter().findall(t))
+    assert {r.word: r.n for r in encode.word_counts(spark.createDataFrame([(t,) for t in texts], "text string"), "text").collect()} == own
+
+
+def test_long_texts_are_counted_in_stretches(spark, monkeypatch, ranks):
+    monkeypatch.setattr(encode, "STRETCH", 10)
+    text = "abc de fgh " * 20
+    df = spark.createDataFrame([(1, text), (2, "tiny")], "doc_id long, text string")
+    assert sum(len(r.word) * r.n for r in encode.word_counts(df, "text").collect()) == len(text) + 4
+    assert {r.doc_id: r.ids for r in encode.encode_corpus(df, "doc_id", "text").collect()}[1] == encode.Encoder(ranks)([text])[1].tolist()
+
+
 def test_spans():
     assert encode._spans(np.array([5, 9, 2]), np.array([2, 0, 3])).tolist() == [5, 6, 2, 3, 4]
