@@ -15,6 +15,14 @@ REPEATED = 500_000
 HOT_ROWS, SALTS = 200_000, 32
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def small_or_shuffled(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """``broadcast(df)`` if it really has at most ``max_rows`` rows, else ``df`` as it is.
 
@@ -58,10 +66,10 @@ def without_repeats(df: DataFrame, key: str) -> tuple[DataFrame | None, DataFram
     and, if they are few (counted), broadcast; else the first part is None and
     all rows are the rest.
     """
-    mark, code = "__repeated", "__hash"
+    mark, code = unused(df, "repeated"), unused(df, "hash")
     hashes = df.select(F.xxhash64(key).alias(code)).groupBy(code).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(code)
     repeated = written(hashes, "repeated")
     if repeated.count() > REPEATED:
         return None, df
     marked = df.withColumn(code, F.xxhash64(key)).join(F.broadcast(repeated.withColumn(mark, F.lit(True))), code, "left")
-    return marked.filter(F.col(mark).isNull()).drop(mark, code), marked.filter(mark).drop(mark, code)
+    return marked.filter(F.col(mark).isNull()).drop(mark, code), marked.filter(F.col(mark)).drop(mark, code)

@@ -52,8 +52,9 @@ def test_partitioning_changes_nothing(spark, name):
 @pytest.mark.parametrize("most", [0, 1_000_000])
 def test_keys_that_repeat_are_told_from_the_others(spark, monkeypatch, most):
     monkeypatch.setattr(sizing, "REPEATED", most)
-    rows = [("a", 1), ("b", 2), ("a", 3), (None, 4), (None, 5), ("c", 6)]
-    once, rest = sizing.without_repeats(spark.createDataFrame(rows, "k string, v int").repartition(3), "k")
+    rows = [("a", 1, "x", True), ("b", 2, "x", None), ("a", 3, "x", True), (None, 4, "x", True), (None, 5, "x", True), ("c", 6, "x", False)]
+    once, rest = sizing.without_repeats(spark.createDataFrame(rows, "k string, v int, hash string, repeated boolean").repartition(3), "k")
+    assert rest.columns == ["k", "v", "hash", "repeated"]
     if most:
         assert sorted(r.v for r in once.collect()) == [2, 6] and sorted(r.v for r in rest.collect()) == [1, 3, 4, 5]
     else:

@@ -26,6 +26,9 @@ def test_running_values_equal_a_plain_loop(spark, monkeypatch, hot):
         state[k] = (n + 1, total + v, s if s is not None else kept, s, (v, i))
     assert {r.i: (r.k, r.n, r.total, r.kept, r.prior, r.pair and tuple(r.pair)) for r in got.collect()} == expected
     assert set(got.columns) == {"k", "i", "s", "v", "n", "total", "kept", "prior", "pair"}
+    clash = df.withColumns({"chunk": F.lit(7), "c_number": F.col("v"), "_c_x": F.lit("q"), "nth_of_chunk": F.lit(2)})
+    got = running(clash, ["k"], ["i"], Running("n", before={"prior": F.col("s")})).collect()
+    assert {r.i: (r.k, r.n, r.prior) for r in got} == {i: (e[0], e[1], e[4]) for i, e in expected.items()} and {(r.chunk, r.nth_of_chunk, r._c_x, r.c_number == r.v) for r in got} == {(7, 2, "q", True)}
 
 
 def test_operators_over_a_hot_key(spark, monkeypatch):
