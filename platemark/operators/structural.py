@@ -49,17 +49,19 @@ class StructuralIndex:
         buf = self.buf = np.frombuffer(self.bytes, np.uint8)
         n, docs = len(buf), len(texts)
         begin = np.concatenate(([0], np.cumsum(sizes + 1)))[:-1]
-        doc_of = np.repeat(np.arange(docs), sizes + 1)
-        at = np.arange(n)
+        small = np.int32 if n < 2**31 - 1 else np.int64  # of arrays as long as the texts
+        doc_of = np.repeat(np.arange(docs, dtype=small), sizes + 1)
+        at = np.arange(n, dtype=small)
 
         slash = buf == 92
-        last_other = np.maximum.accumulate(np.where(slash, -1, at))
-        run = np.concatenate(([0], (at - last_other)[:-1]))  # backslashes just before
-        escaped = run % 2 == 1
+        last_other = np.maximum.accumulate(np.where(slash, small(-1), at))
+        escaped = np.zeros(n, bool)
+        escaped[1:] = (at - last_other)[:-1] & 1  # an odd number of backslashes just before
+        del at, last_other
         quote = (buf == 34) & ~escaped
-        count = np.cumsum(quote)
+        count = np.cumsum(quote, dtype=small)
         before = np.concatenate(([0], count))[begin]
-        inside = (count - before[doc_of]) % 2 == 1  # from an opening quote to before the closing one
+        inside = (count - before.astype(small)[doc_of]) & 1 == 1  # from an opening quote to before the closing one
         within = inside & ~quote
         ok = ~np.bincount(doc_of[(buf < 32) & within], minlength=docs).astype(bool)
         ok &= (np.concatenate(([0], count))[begin + sizes] - before) % 2 == 0
@@ -148,7 +150,7 @@ class StructuralIndex:
         commas = np.sort(np.maximum(level[kind == COMMA], 0) * wide + rank[kind == COMMA])
         self.place = np.searchsorted(commas, np.maximum(level, 0) * wide + rank) - np.searchsorted(commas, np.maximum(level, 0) * wide + np.maximum(parent, 0))
 
-        self.slashes = np.concatenate(([0], np.cumsum(slash)))
+        self.slashes = np.concatenate((np.zeros(1, small), np.cumsum(slash, dtype=small)))
         lists = np.concatenate(([0], np.cumsum((kind == ARR).astype(np.int64) - (kind == END_ARR))))
         self.lists = lists[:-1] - lists[first_token[doc]]
         self.key = np.full(m, -1, np.int64)
