@@ -48,8 +48,7 @@ def crop_name(filename: Column) -> Column:
     for code, char in (("%20", " "), ("%5f", "_"), ("%2d", "-"), ("%2f", "/")):
         f = F.replace(f, F.lit(code), F.lit(char))
     f = F.regexp_replace(F.replace(f, F.lit("\\"), F.lit("/")), r"(?s)^.*/", "")
-    parts = [F.regexp_extract(f, CROP, i) for i in (1, 2, 3, 4)]
-    return F.when(f.rlike(CROP), F.concat_ws("/", *parts))
+    return F.nullif(F.regexp_replace(f, rf"(?s){CROP}.*$|^.*$", "$1/$2/$3/$4"), F.lit("///"))
 
 
 def skyline_survivors(df: DataFrame, key: str, fields: dict[str, Column], trust: str, recency: str, record: str, policy: Sequence[str] = POLICY, completeness: str = "fields") -> DataFrame:

@@ -25,20 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from platemark.operators.sizing import small_or_shuffled, without_repeats
+from platemark.operators.sizing import small_or_shuffled, unused, without_repeats
 
 #: Bounds that are broadcast at most.
 BOUNDS = 20_000
 
 
-def _unused(df: DataFrame, name: str) -> str:
-    """``name``, with as many underscores before it as it takes to be no column of ``df``."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
 def _worths(df: DataFrame, order: list[tuple[str, bool]]) -> list[Column]:
     """The leading numeric columns of the order as numbers of which greater ones come first, null last."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -86,7 +78,7 @@ def within_bounds(df: DataFrame, keys: list[str], order: list[tuple[str, bool]],
     Groups are known by a hash. Of groups that share one the smallest bound
     counts, which holds for all of them.
     """
-    most, code = _unused(df, "group_bound"), _unused(df, "group_hash")
+    most, code = unused(df, "group_bound"), unused(df, "group_hash")
     sent = bounds.orderBy(F.desc("partitions"), *keys).limit(BOUNDS).groupBy(F.xxhash64(*keys).alias(code)).agg(F.min("bound").alias(most))
     near = df.withColumn(code, F.xxhash64(*keys)).join(F.broadcast(sent), code, "left")
     return near.filter(F.col(most).isNull() | (F.struct(*[w.alias(f"w{i}") for i, w in enumerate(_worths(df, order))]) >= F.col(most))).select(*df.columns)
