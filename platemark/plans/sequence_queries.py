@@ -10,6 +10,7 @@ from platemark.functions.geometry import round6
 from platemark.operators import browse, grid, legend, sequence
 from platemark.plans.curation_queries import PUBLISH_CTE, publish_records
 from platemark.sources.tables import table
+from platemark.streaming import lifecycle
 
 # --- events -------------------------------------------------------------------
 
@@ -51,7 +52,10 @@ SELECT event_type, coalesce(greatest(0, lo - {int(HOURS * 0.08)}), 0) AS top, CA
 
 
 def _log(spark: SparkSession, folder: str) -> DataFrame:
-    e = table(spark, folder, "events")
+    return _of_lifecycle(table(spark, folder, "events"))
+
+
+def _of_lifecycle(e: DataFrame) -> DataFrame:
     return e.select("user_id", "ts", "event_id", F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in LIFECYCLE.items()]).alias("event"))
 
 
@@ -66,6 +70,22 @@ def version_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("user_id", "event_id", "event", "version_no", "approval_state", "archived", "reference_status", "validation_status")
 
 
+def stream_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of each type per hour, counted by a stream that reads the table file by file."""
+    events = lifecycle.stream_of(spark, f"{folder}/events.parquet")
+    counts = lifecycle.windowed_counts(events, "ts", "event_type", "1 hour", "1 day")
+    return lifecycle.drained(counts, "windows").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
+STREAM_WINDOWS_SQL = "SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2"
+
+
+def stream_states(spark: SparkSession, folder: str) -> DataFrame:
+    """``lifecycle_fold`` by a stream."""
+    events = lifecycle.stream_of(spark, f"{folder}/events.parquet")
+    return lifecycle.drained(lifecycle.running_states(_of_lifecycle(events), "user_id", [F.col("ts"), F.col("event_id")], EFFECTS, "event"), "states")
+
+
 def _sets(field: str) -> str:
     return "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{EFFECTS[v][field]}'" for k, v in LIFECYCLE.items() if field in EFFECTS[v]) + " END"
 
@@ -283,14 +303,14 @@ JOIN ring AS o ON o.place = (a.place - 1 + s.step) % t.total + 1 WHERE p.code <>
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        segments, content_extent, lifecycle_fold, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, fallback_labels, normalized_lines,
+        segments, content_extent, lifecycle_fold, stream_states, stream_windows, version_snapshots, id_allocation, legend_parse, legend_line_regex, codes_of_text, labels, fallback_labels, normalized_lines,
         grid_cells, region_report, region_from_corners, seeded_cells, seeded_lifecycle, library_search, library_page, sample_limit, quiz_options,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "segments": SEGMENTS_SQL, "content_extent": EXTENT_SQL, "lifecycle_fold": LIFECYCLE_SQL, "version_snapshots": VERSIONS_SQL, "id_allocation": ID_SQL,
+        "segments": SEGMENTS_SQL, "content_extent": EXTENT_SQL, "lifecycle_fold": LIFECYCLE_SQL, "stream_states": LIFECYCLE_SQL, "stream_windows": STREAM_WINDOWS_SQL, "version_snapshots": VERSIONS_SQL, "id_allocation": ID_SQL,
         "legend_parse": LEGEND_PARSE_SQL, "legend_line_regex": LINE_REGEX_SQL, "codes_of_text": CODES_SQL, "fallback_labels": FALLBACK_SQL, "labels": LABELS_SQL, "normalized_lines": NORMALIZED_LINES_SQL,
         "grid_cells": GRID_SQL, "region_report": REGION_SQL, "region_from_corners": CORNERS_SQL, "seeded_cells": SEEDED_SQL, "seeded_lifecycle": SEEDED_LIFECYCLE_SQL,
         "library_search": SEARCH_SQL, "library_page": PAGE_SQL, "sample_limit": SAMPLE_SQL, "quiz_options": QUIZ_SQL,
