@@ -143,7 +143,7 @@ def _against_large(child: DataFrame, row: str, created: Column, ref: Reference,
         on, known = _known(ref, m)
         mine = rows.filter(F.col("0_mask") == m).select("row_id", "created", *[F.col(f"0_{k}").alias(k) for k in on])
         if plain:
-            held = mine.join(known.select(*on), on, "left_anti").withColumn("kind", F.lit("missing"))
+            held = sizing.lookup(mine, known.select(*on), on, spread_by="row_id", parent_rows=parents, how="left_anti").withColumn("kind", F.lit("missing"))
         else:
             kind = F.when(F.col("there").isNull(), "missing").when(F.col("gone"), "deleted").when(F.col("born") > F.col("created"), "late")
             held = sizing.lookup(mine, known.withColumn("there", F.lit(True)), on, spread_by="row_id", parent_rows=parents).withColumn("kind", kind)

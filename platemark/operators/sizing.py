@@ -32,8 +32,8 @@ def small_or_shuffled(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def lookup(child: DataFrame, parent: DataFrame, on: list[str], spread_by: str, parent_rows: int | None = None) -> DataFrame:
-    """``child`` left join ``parent``, which is unique in ``on``.
+def lookup(child: DataFrame, parent: DataFrame, on: list[str], spread_by: str, parent_rows: int | None = None, how: str = "left") -> DataFrame:
+    """``child`` left join ``parent``, which is unique in ``on``; ``how`` may also be left_anti.
 
     A small parent (counted, not assumed; ``parent_rows`` is a bound the caller
     knows already) is broadcast, so a hot key moves nothing. Beyond that bound
@@ -43,18 +43,18 @@ def lookup(child: DataFrame, parent: DataFrame, on: list[str], spread_by: str, p
     needs are joined without looking for one.
     """
     if (parent.limit(SMALL + 1).count() if parent_rows is None else parent_rows) <= SMALL:
-        return child.join(F.broadcast(parent), on, "left")
+        return child.join(F.broadcast(parent), on, how)
     total = child.count()
     if total <= HOT_ROWS:
-        return child.join(parent, on, "left")
+        return child.join(parent, on, how)
     limit = max(HOT_ROWS, total // 1000)
-    hot = child.groupBy(*on).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > limit).select(*on, F.lit(SALTS).alias("salts"))
+    hot = written(child.groupBy(*on).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > limit).select(*on, F.lit(SALTS).alias("salts")), "hot")
     if hot.isEmpty():
-        return child.join(parent, on, "left")
+        return child.join(parent, on, how)
     salts = F.coalesce("salts", F.lit(1))
     salted = child.join(F.broadcast(hot), on, "left").withColumn("salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")).drop("salts")
     copies = parent.join(F.broadcast(hot), on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts.cast("int") - 1))).drop("salts")
-    return salted.join(copies, [*on, "salt"], "left").drop("salt")
+    return salted.join(copies, [*on, "salt"], how).drop("salt")
 
 
 def without_repeats(df: DataFrame, key: str) -> tuple[DataFrame | None, DataFrame]:

@@ -1,7 +1,10 @@
 """Rules over planted cases: what the tables of TESTDATA.md may not hold."""
 
 import pytest
+from helpers import FOLDER, rows
 
+from platemark.operators import sizing, validate
+from platemark.plans import catalog
 from platemark.plans import rule_queries as rules
 
 SIDES = "named_struct('norm_x', {}D, 'norm_y', 0.2D, 'norm_w', 0.1D, 'norm_h', 0.1D)"
@@ -55,3 +58,20 @@ def test_unknown_references(spark, folder):
 
 def test_provenance(spark, folder):
     assert found(rules.candidate_provenance(spark, folder), "run_id", "field", "n_candidates") == [("r1", "contract_version", 1), ("r1", "edition_id", 1), ("r1", "sample_limit", 1), ("r2", "manifest", 2)]
+
+
+def test_large_tables_are_checked_for_repeats_in_the_same_way(spark, monkeypatch):
+    small = [rows(q(spark, FOLDER)) for q in (rules.dup_keys, rules.dup_occurrences, rules.geometry_duplicates)]
+    monkeypatch.setattr(validate, "HOT_ROWS", 0)
+    monkeypatch.setattr(sizing, "HOT_ROWS", 3)
+    monkeypatch.setattr(sizing, "SMALL", 2)
+    assert [rows(q(spark, FOLDER)) for q in (rules.dup_keys, rules.dup_occurrences, rules.geometry_duplicates)] == small
+
+
+@pytest.mark.parametrize("name", ["match_topk", "version_rules", "mirror_mismatch", "unknown_references", "publish_records", "p3_found"])
+def test_hot_keys_give_the_same(spark, monkeypatch, name):
+    query = catalog.queries()[name]
+    plain = rows(query(spark, FOLDER))
+    monkeypatch.setattr(sizing, "HOT_ROWS", 3)
+    monkeypatch.setattr(sizing, "SMALL", 2)
+    assert rows(query(spark, FOLDER)) == plain
