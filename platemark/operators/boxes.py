@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from platemark.functions import geometry as g
+from platemark.functions.closest import Closest
+from platemark.operators.sizing import lookup
 from platemark.session import cut, tasks
 
 #: Undecided pairs that greedy suppression settles one after another.
 SETTLED = 500_000
+#: Left boxes of one tile that are searched in one task.
+SEARCHED = 100_000
 
 
 def fits(b: g.Box, min_area: int, max_area: int, min_side: int, max_aspect: float) -> Column:
@@ -122,37 +126,56 @@ def _suppressed(edges: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": pd.Series(list(gone), dtype=edges["right_id"].dtype)})
 
 
-def nearest(left: DataFrame, right: DataFrame, page: str, first_size: float, growth: float = 4.0) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, page: str, first_size: float | None = None, growth: float = 4.0) -> DataFrame:
     """(left_id, right_id, distance): the nearest box of the same page by centres, the smallest right_id on a tie.
 
-    Searched in squares of growing size: a neighbour no farther than the
-    square's side is surely the nearest; boxes without one go on to the next
-    size, as often as it takes. Both sides have (id, ``page``, x, y, w, h).
-    Boxes without a finite centre, and boxes of pages without any right box,
-    give no row.
+    Right boxes of one centre count as the first of them. The others are cut
+    into as many tiles as there are tasks, each with about as many boxes, so
+    crowded places get more tiles. A left box is searched in the tile next to
+    it, which bounds its distance, and then in those no farther than that; in a
+    tile by a tree, so boxes aren't paired. Both sides have (id, ``page``, x,
+    y, w, h). Boxes without a finite centre, and boxes of pages without any
+    right box, give no row. ``first_size`` and ``growth`` are of a search in
+    squares that this one replaced; they change nothing.
     """
 
     def centre(df: DataFrame, p: str) -> DataFrame:
-        df = df.select(F.col("id").alias(f"{p}_id"), page, (F.col("x") + F.col("w") / 2.0).alias(f"{p}x"), (F.col("y") + F.col("h") / 2.0).alias(f"{p}y"))
+        df = df.select(F.col("id").alias(f"{p}_id"), F.col(page).alias(page), (F.col("x") + F.col("w") / 2.0).alias(f"{p}x"), (F.col("y") + F.col("h") / 2.0).alias(f"{p}y"))
         return df.filter((F.abs(f"{p}x") < 1e15) & (F.abs(f"{p}y") < 1e15))
 
-    todo, others = centre(left, "left"), centre(right, "right")
-    todo = todo.join(others.select(page).distinct(), page, "left_semi")
-    found, size = [], first_size
-    while True:
-        bins = lambda df, p: df.withColumns({"bx": F.floor(F.col(f"{p}x") / size), "by": F.floor(F.col(f"{p}y") / size)})  # noqa: E731,B023
-        near = bins(todo, "left")
-        for axis in ("bx", "by"):
-            near = near.withColumn(axis, F.explode(F.array(*[F.col(axis) + d for d in (-1, 0, 1)])))
-        dx, dy = F.col("leftx") - F.col("rightx"), F.col("lefty") - F.col("righty")
-        pairs = near.join(bins(others, "right"), [page, "bx", "by"]).withColumn("distance", F.sqrt(dx * dx + dy * dy))
-        best = pairs.groupBy("left_id").agg(F.min(F.struct("distance", "right_id")).alias("b")).select("left_id", "b.right_id", "b.distance")
-        sure = cut(best.filter(F.col("distance") <= size))
-        found.append(sure)
-        todo = cut(todo.join(sure.select("left_id"), "left_id", "left_anti"))
-        if todo.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-        size *= growth
+    n = tasks(left.sparkSession)
+    others = centre(right, "right").groupBy(page, "rightx", "righty").agg(F.min("right_id").alias("right_id"))
+    others = cut(others.repartitionByRange(n, page, "rightx", "righty").withColumn("tile", F.spark_partition_id()))
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("rightx", "righty") for f in (F.min, F.max)]
+    tiles = others.groupBy(page, "tile").agg(*ends).groupBy(page).agg(F.collect_list(F.struct("tile", "min_rightx", "max_rightx", "min_righty", "max_righty")).alias("tiles"))
+
+    def apart(t: Column) -> Column:
+        dx, dy = (F.greatest(t[f"min_right{a}"] - F.col(f"left{a}"), F.col(f"left{a}") - t[f"max_right{a}"], F.lit(0.0)) for a in "xy")
+        return F.sqrt(dx * dx + dy * dy)
+
+    def searched(todo: DataFrame) -> DataFrame:
+        """The nearest box in the tile that each row of ``todo`` names."""
+        keys = [page, "tile", "part"]
+        parts = todo.groupBy(page, "tile").agg(F.ceil(F.count(F.lit(1)) / SEARCHED).cast("int").alias("parts"))
+        a = lookup(todo, parts, [page, "tile"], "left_id").withColumn("part", F.pmod(F.xxhash64("left_id"), F.col("parts")).cast("int")).drop("parts")
+        b = others.join(parts, [page, "tile"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        kinds = {f.name: f.dataType.simpleString() for f in [*todo.schema, *others.schema]} | {"distance": "double"}
+        schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*todo.columns, "right_id", "distance"])
+        return spread(a, *keys).groupBy(*keys).cogroup(spread(b, *keys).groupBy(*keys)).applyInPandas(_nearest, schema)
+
+    todo = lookup(centre(left, "left"), tiles, [page], "left_id").filter(F.col("tiles").isNotNull())
+    home = F.array_min(F.transform("tiles", lambda t: F.struct(apart(t).alias("apart"), t["tile"].alias("tile"))))["tile"]
+    first = cut(searched(cut(todo.withColumn("tile", home).drop("tiles"))))
+    also = F.explode(F.transform(F.filter("tiles", lambda t: (t["tile"] != F.col("tile")) & (apart(t) <= F.col("distance"))), lambda t: t["tile"]))
+    rest = lookup(first, tiles, [page], "left_id").select("left_id", page, "leftx", "lefty", also.alias("tile"))
+    found = (df.select("left_id", F.struct("distance", "right_id").alias("b")) for df in (first, searched(cut(rest))))
+    return reduce(DataFrame.unionByName, found).groupBy("left_id").agg(F.min("b").alias("b")).select("left_id", "b.right_id", "b.distance")
+
+
+def _nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    right = right.sort_values("right_id", ignore_index=True)
+    place, distance = Closest(right["rightx"].to_numpy(), right["righty"].to_numpy()).search(left["leftx"].to_numpy(), left["lefty"].to_numpy())
+    return left.drop(columns="part").assign(right_id=right["right_id"].to_numpy()[place], distance=distance)
 
 
 def merge_group(frame: pd.DataFrame, at_least: float, distance: float) -> pd.DataFrame:

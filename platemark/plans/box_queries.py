@@ -272,7 +272,7 @@ def nearest_box(spark: SparkSession, folder: str) -> DataFrame:
     """For each crop without a code the nearest crop of its page that has one."""
     b = _boxes(spark, folder, "code")
     coded = F.coalesce(F.trim("code"), F.lit("")) != ""
-    near = boxes.nearest(b.filter(~coded), b.filter(coded), "page", 300.0)
+    near = boxes.nearest(b.filter(~coded), b.filter(coded), "page")
     return near.select("left_id", "right_id", g.round6(F.col("distance")).alias("distance"))
 
 

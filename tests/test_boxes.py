@@ -55,6 +55,26 @@ def test_nearest_knows_no_limit_and_no_missing_centres(spark):
     assert boxes.nearest(left, right.limit(0), "page", 10.0).count() == 0
 
 
+@pytest.mark.parametrize("searched", [50, 100_000])
+def test_nearest_pairs_nothing_where_boxes_crowd(spark, monkeypatch, searched):
+    """1,200 and 1,500 boxes in one place, many on the same centre, and some far from it: all would meet in one square."""
+    plans, cut = [], boxes.cut
+    monkeypatch.setattr(boxes, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    monkeypatch.setattr(boxes, "SEARCHED", searched, raising=False)
+    at = random.Random(searched)
+    some = lambda n, far: [(at.randrange(10**6), 1 + (i % 9 == 0), *((at.randrange(far), at.randrange(far)) if i % 50 == 0 else (at.randrange(30), at.randrange(30))), 2 * at.randrange(4), 3) for i in range(n)]
+    left, right = ([(i, *r[1:]) for i, r in enumerate(some(n, 10**7))] for n in (1200, 1500))
+    at.shuffle(right)
+    names = "id long, page int, x int, y int, w int, h int"
+    got = boxes.nearest(spark.createDataFrame(left, names), spark.createDataFrame(right, names), "page", 300.0).collect()
+    centre = lambda r: (r[2] + r[4] / 2.0, r[3] + r[5] / 2.0)
+    distance = lambda a, b: (((centre(a)[0] - centre(b)[0]) ** 2) + ((centre(a)[1] - centre(b)[1]) ** 2)) ** 0.5
+    expected = sorted((a[0], *min((distance(a, b), b[0]) for b in right if b[1] == a[1])) for a in left)
+    assert [(r.left_id, r.right_id) for r in sorted(got)] == [(a, b) for a, _, b in expected]
+    assert [r.distance for r in sorted(got)] == pytest.approx([d for _, d, _ in expected])
+    assert not any("bx#" in p for p in plans)
+
+
 def plain_merge(todo, at_least, distance):
     todo, out = sorted(todo, key=lambda b: (b[1], b[0], b[2], b[3])), []
     while todo:
