@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from platemark.functions import geometry as g
+from platemark.session import tasks
 
 
 @dataclass(frozen=True)
@@ -64,29 +65,54 @@ SLACK = 4e-6
 
 
 def _rough(c: pd.DataFrame, r: pd.DataFrame, weights: Weights) -> np.ndarray:
-    """Unrounded match scores, crops by references; NaN where a side is null."""
-    a = [c[f"norm_{n}"].to_numpy(float)[:, None] for n in "xywh"]
-    b = [r[f"ref_{n}"].to_numpy(float)[None, :] for n in "xywh"]
+    """Unrounded match scores, crops by references; NaN where a side is null, or the score is left open.
+
+    Distance and area are taken of all pairs, overlap and bonus only of those that have any.
+    """
+    a = [c[f"norm_{n}"].to_numpy(float) for n in "xywh"]
+    b = [r[f"ref_{n}"].to_numpy(float) for n in "xywh"]
     with np.errstate(all="ignore"):
-        across = np.minimum(a[0] + a[2], b[0] + b[2]) - np.maximum(a[0], b[0])
-        down = np.minimum(a[1] + a[3], b[1] + b[3]) - np.maximum(a[1], b[1])
-        inter, mine, other = across * down, a[2] * a[3], b[2] * b[3]
-        union = mine + other - inter
-        iou = np.where((across > 0) & (down > 0) & (union > 0), inter / union, 0.0)
-        apart = np.sqrt((a[0] + a[2] / 2 - b[0] - b[2] / 2) ** 2 + (a[1] + a[3] / 2 - b[1] - b[3] / 2) ** 2)
-        ratio = np.where((mine > 0) & (other > 0), np.minimum(mine, other) / np.maximum(mine, other), 0.0)
-        score = iou * weights.overlap + np.maximum(0.0, 1 - np.minimum(1.0, apart / np.sqrt(2.0))) * weights.centre + ratio * weights.area
-    read, official = c["code"].fillna("").str.strip(" ").to_numpy(object)[:, None], r["official_code"].to_numpy(object)[None, :]
-    score = np.where((read != "") & (read == official), np.minimum(1.0, score + weights.text_bonus), score)
-    return np.where(np.isnan(sum(a) + sum(b)), np.nan, score)
-
-
-def contenders(crops: DataFrame, refs: DataFrame, page: str, ident: str, k: int, weights: Weights = Weights()) -> DataFrame:
+        score = np.subtract.outer(a[0] + a[2] / 2, b[0] + b[2] / 2)
+        down = np.subtract.outer(a[1] + a[3] / 2, b[1] + b[3] / 2)
+        np.sqrt(np.add(np.square(score, out=score), np.square(down, out=down), out=score), out=score)
+        score *= -weights.centre / np.sqrt(2.0)
+        score += weights.centre
+        np.maximum(score, 0.0, out=score)
+        mine, other = a[2] * a[3], b[2] * b[3]
+        inverse = lambda v: np.where(v > 0, np.where(v > 1e-300, weights.area / v, np.nan), 0.0)  # noqa: E731 - areas too small to divide by leave it open
+        score += np.minimum(np.multiply.outer(np.maximum(mine, 0.0), inverse(other)), np.multiply.outer(inverse(mine), np.maximum(other, 0.0), out=down), out=down)
+        meet = np.less.outer(a[0], b[0] + b[2]) & np.greater.outer(a[0] + a[2], b[0]) & np.less.outer(a[1], b[1] + b[3]) & np.greater.outer(a[1] + a[3], b[1])
+        i, j = np.nonzero(meet)
+        inter = (np.minimum(a[0][i] + a[2][i], b[0][j] + b[2][j]) - np.maximum(a[0][i], b[0][j])) * (np.minimum(a[1][i] + a[3][i], b[1][j] + b[3][j]) - np.maximum(a[1][i], b[1][j]))
+        union = mine[i] + other[j] - inter
+        sized = (a[2][i] > 0) & (a[3][i] > 0) & (b[2][j] > 0) & (b[3][j] > 0)
+        score[i, j] += np.where(sized & (union > 0), inter / union, 0.0) * weights.overlap
+    read = c["code"].fillna("").str.strip(" ")
+    numbers = pd.factorize(pd.concat([read.where(read != ""), r["official_code"]]))[0]  # equal texts have equal numbers, null has -1
+    i, j = np.nonzero(np.equal.outer(np.where(numbers[: len(c)] < 0, -2, numbers[: len(c)]), numbers[len(c) :]))
+    score[i, j] = np.minimum(1.0, score[i, j] + weights.text_bonus)
+    score[np.isnan(sum(a))] = np.nan
+    score[:, np.isnan(sum(b))] = np.nan
+    return score
+
+
+def _kth(known: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row, -1 where there are no more than ``k``."""
+    if known.shape[1] <= k:
+        return np.full(len(known), -1.0)
+    known, each = known.copy(), np.arange(len(known))
+    for _ in range(k - 1):
+        known[each, known.argmax(axis=1)] = -1.0
+    return known.max(axis=1)
+
+
+def contenders(crops: DataFrame, refs: DataFrame, page: str, ident: str, k: int, weights: Weights = Weights(), per: str | None = None) -> DataFrame:
     """Crops joined to the references of their page, without pairs that surely aren't among a crop's first ``k``.
 
     ``crops`` has (``ident``, ``page``, code, norm_x to norm_h), ``refs``
-    (``page``, official_code, ref_x to ref_h and more). All pairs of a page
-    are scored, a block at a time, and only those that reach the crop's k-th
+    (``page``, official_code, ref_x to ref_h and more). With ``per``, a column
+    of ``refs``, the first ``k`` are those among the references of one value
+    each. All pairs of a page are scored, a block at a time, and only those that reach the crop's k-th
     best score, less a slack for rounding, or have a null leave the task: the
     exact scores and the ties are left to ``scored`` and ``ranked``. A page with many
     crops is cut into parts by a hash of ``ident``; its references go to each.
@@ -99,17 +125,23 @@ def contenders(crops: DataFrame, refs: DataFrame, page: str, ident: str, k: int,
     def best(c: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         found = [(np.empty(0, int), np.empty(0, int))]
         step = max(1, CELLS // max(1, len(r)))
+        if per:
+            r = r.sort_values(per, ignore_index=True)
+        starts = [0, *(np.flatnonzero(np.diff(pd.factorize(r[per])[0])) + 1 if per else []), len(r)]
         for at in range(0, len(c) if len(r) else 0, step):
             score = _rough(c.iloc[at : at + step], r, weights)
-            known = np.where(np.isnan(score), -1.0, score)
-            kth = np.partition(known, len(r) - k, axis=1)[:, len(r) - k] if len(r) > k else np.full(len(score), -1.0)
-            row, col = np.nonzero(np.isnan(score) | (known >= kth[:, None] - SLACK))
+            leave = np.isnan(score)
+            known = np.where(leave, -1.0, score)
+            for a, b in zip(starts, starts[1:]):  # noqa: B905 - one shorter
+                leave[:, a:b] |= known[:, a:b] >= _kth(known[:, a:b], k)[:, None] - SLACK
+            row, col = np.nonzero(leave)
             found.append((row + at, col))
         row, col = (np.concatenate(x) for x in zip(*found, strict=True))
         return pd.concat([c[mine].iloc[row].reset_index(drop=True), r[theirs].iloc[col].reset_index(drop=True)], axis=1)
 
     fields = [crops.schema[c] for c in mine] + [refs.schema[c] for c in theirs]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    left, right = (df.repartition(tasks(df.sparkSession), page, "part") for df in (left, right))  # the work isn't told by the bytes
     return left.groupBy(page, "part").cogroup(right.groupBy(page, "part")).applyInPandas(best, schema)
 
 

@@ -186,15 +186,15 @@ def match_topk(spark: SparkSession, folder: str) -> DataFrame:
 def page_match(spark: SparkSession, folder: str) -> DataFrame:
     """The three best references of a crop in each edition that some run was made for, and in no other; ``page_match_all`` knows no editions.
 
-    A crop knows no edition, so it meets the references of its page number in
-    every edition that has a run: the pairs grow with crops times editions
-    times what a sheet holds. The partial rank limit cuts them before anything
-    is shuffled.
+    A crop knows no edition, so it is scored with the references of its page
+    number in every edition that has a run: the pairs grow with crops times
+    what the sheets of that number hold. Only pairs that may be among an
+    edition's best leave the task that scores them.
     """
     editions = table(spark, folder, "reference_matcher_run_manifest").select(norm_key("edition_id").alias("edition")).distinct()
     refs = _references(spark, folder).join(small_or_shuffled(editions), "edition").withColumnRenamed("page_number", "page")
-    joined = boxes.spread(_instances(spark, folder), "filename").join(refs, "page")
-    best = matching.ranked(_rescored(joined), ["edition", "filename"], 3, "reference_position_id")
+    met = matching.contenders(_instances(spark, folder), refs, "page", "filename", 3, per="edition")
+    best = matching.ranked(_rescored(met), ["edition", "filename"], 3, "reference_position_id")
     return best.select("edition", "filename", "reference_position_id", "rank", *SCORES)
 
 
